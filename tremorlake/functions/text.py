@@ -42,21 +42,12 @@ def float_text(value: Column) -> Column:
     """
     size = F.abs(value)
     spark_text = value.cast("string")
-    padded = value.cast("decimal(38,21)").cast("string")
-    trimmed = F.regexp_replace(padded, "0+$", "")
-    plain = F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
-    mantissa = F.regexp_replace(F.substring_index(spark_text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(spark_text, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
+    plain = F.regexp_replace(value.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    scientific = F.replace(F.lower(spark_text), F.lit("infinity"), F.lit("inf"))
+    for pattern, replacement in ((r"\.0e", "e"), (r"e(-?)(\d)$", "e$10$2"), (r"e(\d)", "e+$1")):
+        scientific = F.regexp_replace(scientific, pattern, replacement)
     return (
-        F.when(F.isnan(value) | (size == float("inf")),
-               F.replace(F.lower(spark_text), F.lit("infinity"), F.lit("inf")))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), spark_text)
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), spark_text)
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(scientific)
     )

@@ -34,26 +34,28 @@ def time_id(latitude: Column, longitude: Column, clock: Clock = None) -> Column:
                        float_text(longitude))
 
 
-def _coordinate_text(coordinates: Column) -> Column:
-    return F.when(coordinates.isNull(), F.lit("0,0")).when(is_text(coordinates), text_of(coordinates))
+def _number_text(value: Column, unit: str) -> Column:
+    """The trimmed text of a textual number without its unit; NULL for anything else."""
+    return F.when(is_text(value), strip(F.replace(text_of(value), F.lit(unit), F.lit(""))))
 
 
-def _number(value: Column, unit: str, kind: str, parse) -> Column:
-    """Text loses its unit and must then parse; a JSON number is converted; absent means zero."""
-    from_text = parse(strip(F.replace(text_of(value), F.lit(unit), F.lit(""))))
+def _number_value(value: Column, kind: str) -> Column:
+    """A JSON number as ``kind`` (cut to whole for ``bigint``); zero when the key is absent."""
     return (
         F.when(value.isNull(), F.lit(0).cast(kind))
-        .when(is_text(value), from_text)
-        .otherwise(F.try_variant_get(value, "$", kind))
+        .when(~is_text(value), F.try_variant_get(value, "$", kind))
     )
 
 
 def _read_fields(raw_events: DataFrame, raw: str, by_content: bool) -> DataFrame:
-    """Typed fields plus ``_valid``; the raw event stays in its column."""
+    """Typed fields plus ``_valid``; the raw event stays in its column.
+
+    Each projection uses the costly results of the one before more than once, so Catalyst keeps them
+    apart and every text is read and trimmed a single time.
+    """
     key = {name: F.col(f"_k.{name}") for name in _KEYS}
-    keep = [c for c in raw_events.columns if c != raw]
+    keep = [c for c in raw_events.columns if c != raw] + [raw]
     shape = ", ".join(f"{name}: variant" for name in _KEYS)
-    parts = F.col("_parts")
     if by_content:
         # The day-and-time fallback is built even when unused, so a bad part of it spoils the event.
         parts_ok = ((key["Tanggal"].isNull() | is_text(key["Tanggal"]))
@@ -63,28 +65,47 @@ def _read_fields(raw_events: DataFrame, raw: str, by_content: bool) -> DataFrame
     else:
         parts_ok = F.lit(True)
         datetime = text_or(key["DateTime"], "")
-    return (
+    place = F.col("_place")
+    texts = (
         raw_events
         .withColumn("_k", F.try_variant_get(F.col(raw), "$", f"struct<{shape}>"))
-        .withColumn("_parts", F.split(_coordinate_text(key["Coordinates"]), ","))
         .select(
-            *keep, raw,
+            *keep,
             datetime.alias("datetime"),
-            parse_float(strip(F.get(parts, F.lit(0)))).alias("latitude"),
-            F.when(F.size(parts) > 1, parse_float(strip(F.get(parts, F.lit(1)))))
-            .otherwise(F.lit(0.0)).alias("longitude"),
-            _number(key["Magnitude"], "SR", "double", parse_float).alias("magnitude"),
-            _number(key["Kedalaman"], "km", "bigint", parse_integer).alias("_depth"),
-            text_or(key["Wilayah"], text_or(key["Dirasakan"], UNKNOWN_REGION)).alias("region"),
+            F.when(key["Coordinates"].isNull(), F.lit("0,0"))
+            .when(is_text(key["Coordinates"]), text_of(key["Coordinates"])).alias("_place"),
+            _number_text(key["Magnitude"], "SR").alias("_size_text"),
+            _number_value(key["Magnitude"], "double").alias("_size"),
+            _number_text(key["Kedalaman"], "km").alias("_depth_text"),
+            _number_value(key["Kedalaman"], "bigint").alias("_depth_value"),
+            key["Wilayah"].isNotNull().alias("_has_region"),
+            key["Dirasakan"].isNotNull().alias("_has_felt"),
+            F.when(key["Wilayah"].isNotNull(), text_of(key["Wilayah"])).alias("_region"),
             text_or(key["Dirasakan"], "").alias("felt_intensity"),
             text_or(key["Shakemap"], "").alias("shakemap"),
             text_or(key["Potensi"], "").alias("potensi"),
             (F.col("_k").isNotNull() & parts_ok).alias("_shaped"),
         )
-        .withColumn("_valid", F.col("_shaped") & F.col("latitude").isNotNull()
-                    & F.col("longitude").isNotNull() & F.col("magnitude").isNotNull()
-                    & F.col("_depth").isNotNull())
     )
+    rest = F.substring_index(F.substring_index(place, ",", 2), ",", -1)
+    parsed = (
+        texts
+        .withColumn("_lat", strip(F.substring_index(place, ",", 1)))
+        .withColumn("_lon", F.when(place.contains(","), strip(rest)).otherwise(F.lit("0")))
+        .select(
+            *keep, "datetime", "felt_intensity", "shakemap", "potensi", "_shaped",
+            parse_float(F.col("_lat")).alias("latitude"),
+            parse_float(F.col("_lon")).alias("longitude"),
+            F.coalesce(parse_float(F.col("_size_text")), F.col("_size")).alias("magnitude"),
+            F.coalesce(parse_integer(F.col("_depth_text")), F.col("_depth_value")).alias("_depth"),
+            F.when(F.col("_has_region"), F.col("_region"))
+            .when(F.col("_has_felt"), F.col("felt_intensity"))
+            .otherwise(F.lit(UNKNOWN_REGION)).alias("region"),
+        )
+    )
+    return parsed.withColumn(
+        "_valid", F.col("_shaped") & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+        & F.col("magnitude").isNotNull() & F.col("_depth").isNotNull())
 
 
 def _only(fields: DataFrame, valid: bool) -> DataFrame:
