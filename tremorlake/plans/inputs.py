@@ -19,8 +19,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream of files."""
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet").select(
+    """The events table read as a stream of files.
+
+    The name is given as a pattern, because a file stream takes no plain path to a single file.
+    """
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/{{events.parquet}}").select(
         F.col("event_id").alias("seq"), "user_id", "event_type")
 
 
@@ -110,7 +113,8 @@ def _pair(seq: Column) -> Column:
 
 def raw_quakes(events_df: DataFrame) -> DataFrame:
     """One payload per event; events ``2k`` and ``2k+1`` carry the same quake."""
-    return events_df.select("seq", _envelope(quake_object(_pair(F.col("seq")))).alias("payload"))
+    return events_df.select("seq", _envelope(quake_object(_pair(F.col("seq")))).alias("payload"),
+                            _instant(F.col("seq")).alias("arrived_at"))
 
 
 def raw_payload_mix(events_df: DataFrame) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 FIRST_PAGE, LAST_PAGE = 1, 238
 PAGE_FILE = r"page_(\d+)\.html$"
 
-_ARRIVAL = F.col("_metadata.file_modification_time")
+_ARRIVAL = "_metadata.file_modification_time"
 
 
 def payloads(spark: SparkSession, path: str) -> DataFrame:
     """Payload text of every file with its arrival time."""
     return spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("payload"), _ARRIVAL.alias("arrived_at"))
+        F.col("value").alias("payload"), F.col(_ARRIVAL).alias("arrived_at"))
 
 
 def payload_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -20,7 +20,7 @@ def payload_stream(spark: SparkSession, path: str, max_files: int | None = None)
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select(F.col("value").alias("payload"), _ARRIVAL.alias("arrived_at"))
+    return reader.load(path).select(F.col("value").alias("payload"), F.col(_ARRIVAL).alias("arrived_at"))
 
 
 def pages(spark: SparkSession, path: str, first: int | None = FIRST_PAGE,
