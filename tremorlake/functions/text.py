@@ -21,17 +21,25 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _trimmed_number(text: Column, pattern: str, kind: str) -> Column:
+    def parse(trimmed: Column) -> Column:
+        return F.when(trimmed.rlike(pattern), trimmed.try_cast(kind))
+
+    # Most texts carry blanks at most; only the others pay for the wider trim.
+    return F.coalesce(parse(F.trim(text)), parse(strip(text)))
+
+
 def parse_float(text: Column) -> Column:
-    """Double, or NULL when the text is not a number.
+    """Double, or NULL when the trimmed text is not a number.
 
     The pattern keeps out spellings only the JVM accepts, such as ``1.0d``.
     """
-    return F.when(text.rlike(FLOAT_PATTERN), text.try_cast("double"))
+    return _trimmed_number(text, FLOAT_PATTERN, "double")
 
 
 def parse_integer(text: Column) -> Column:
-    """Long, or NULL when the text is not a whole number (``10.5`` is not)."""
-    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
+    """Long, or NULL when the trimmed text is not a whole number (``10.5`` is not)."""
+    return _trimmed_number(text, INTEGER_PATTERN, "bigint")
 
 
 def float_text(value: Column) -> Column:

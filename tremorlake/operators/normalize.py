@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions import clock as clocks
 from tremorlake.functions.clock import Clock
-from tremorlake.functions.text import float_text, parse_float, parse_integer, strip
+from tremorlake.functions.text import float_text, parse_float, parse_integer
 from tremorlake.functions.variants import is_text, text_of, text_or
 
 # The source tag, and the region of an event that names none.
@@ -35,8 +35,8 @@ def time_id(latitude: Column, longitude: Column, clock: Clock = None) -> Column:
 
 
 def _number_text(value: Column, unit: str) -> Column:
-    """The trimmed text of a textual number without its unit; NULL for anything else."""
-    return F.when(is_text(value), strip(F.replace(text_of(value), F.lit(unit), F.lit(""))))
+    """The text of a textual number without its unit; NULL for anything else."""
+    return F.when(is_text(value), F.replace(text_of(value), F.lit(unit), F.lit("")))
 
 
 def _number_value(value: Column, kind: str) -> Column:
@@ -51,7 +51,7 @@ def _read_fields(raw_events: DataFrame, raw: str, by_content: bool) -> DataFrame
     """Typed fields plus ``_valid``; the raw event stays in its column.
 
     Each projection uses the costly results of the one before more than once, so Catalyst keeps them
-    apart and every text is read and trimmed a single time.
+    apart and every text is read a single time.
     """
     key = {name: F.col(f"_k.{name}") for name in _KEYS}
     keep = [c for c in raw_events.columns if c != raw] + [raw]
@@ -90,8 +90,8 @@ def _read_fields(raw_events: DataFrame, raw: str, by_content: bool) -> DataFrame
     rest = F.substring_index(F.substring_index(place, ",", 2), ",", -1)
     parsed = (
         texts
-        .withColumn("_lat", strip(F.substring_index(place, ",", 1)))
-        .withColumn("_lon", F.when(place.contains(","), strip(rest)).otherwise(F.lit("0")))
+        .withColumn("_lat", F.substring_index(place, ",", 1))
+        .withColumn("_lon", F.when(place.contains(","), rest).otherwise(F.lit("0")))
         .select(
             *keep, "datetime", "felt_intensity", "shakemap", "potensi", "_shaped",
             parse_float(F.col("_lat")).alias("latitude"),

@@ -6,6 +6,8 @@ The functions take a batch or a streaming ``events`` frame alike.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tremorlake.session import spread, spread_factor
+
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 ROWS_PER_PAGE = 15
 #: Event minutes are counted from this day.
@@ -13,9 +15,12 @@ FIRST_DAY = "2026-06-01"
 FIRST_SECOND = 1780272000
 
 
+def _event_columns(df: DataFrame) -> DataFrame:
+    return df.select(F.col("event_id").alias("seq"), "user_id", "event_type")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("seq"), "user_id", "event_type")
+    return spread(_event_columns(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")))
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +28,10 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The name is given as a pattern, because a file stream takes no plain path to a single file.
     """
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/{{events.parquet}}").select(
-        F.col("event_id").alias("seq"), "user_id", "event_type")
+    path = f"{sf_dir}/{{events.parquet}}"
+    stream = _event_columns(spark.readStream.schema(EVENTS_SCHEMA).parquet(path))
+    tasks = spread_factor(spark.read.schema(EVENTS_SCHEMA).parquet(path))
+    return stream.repartition(tasks) if tasks else stream
 
 
 def _text(value: Column) -> Column:
@@ -231,5 +238,5 @@ def quake_pages(events_df: DataFrame) -> DataFrame:
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given web pages, none of which holds a bulletin table."""
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(
-        F.col("page_id").alias("page_num"), "html")
+    return spread(spark.read.schema("page_id bigint, html string").parquet(f"{sf_dir}/pages.parquet").select(
+        F.col("page_id").alias("page_num"), "html"))
