@@ -1,0 +1,186 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tremorlake import jobs, schemas
+from tremorlake.operators import codec, load, monitor
+from tremorlake.sinks import jdbc as jdbc_sink, kafka as kafka_sink
+from tremorlake.sources import jdbc as jdbc_source, kafka as kafka_source, lake, landing
+
+EVENTS = [
+    ("a", "2026-06-07T13:06:08+00:00", -8.12, 107.89, 5.2, 10, "W", "III", "BMKG_REALTIME", "t"),
+    ("b", "07 Jun 2026 13:06:08 WIB", 0.0, 0.0, 1.0, 0, "W", "", "BMKG_REALTIME", "t"),
+    ("c", "soon", 0.0, 0.0, 1.0, 0, None, "", "OTHER", "t"),
+    ("d", "2026-06-07T13:06:08+00:00", 0.0, 0.0, 1.0, 0, "W", "", "OTHER", "t"),
+    ("e", "2026-06-08T00:00:00", 0.0, 0.0, 1.0, 0, "W", "", "OTHER", "t"),
+    ("f", None, 0.0, 0.0, 1.0, 0, "W", "", "OTHER", "t"),
+]
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return spark.createDataFrame(EVENTS, schemas.STREAM_EVENT)
+
+
+def records(spark, *values, topic="earthquake-events"):
+    rows = [(None, v.encode(), topic, 0, i, None, 0) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, schemas.KAFKA_RECORD).withColumn(
+        "timestamp", F.timestamp_seconds(F.lit(1780837568)))
+
+
+def test_warehouse_rows(events):
+    renamed = load.with_event_time(events)
+    assert "datetime" not in renamed.columns and "original_datetime" in renamed.columns
+    rows = load.warehouse_rows(events)
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in schemas.WAREHOUSE]
+    times = {r.event_id: r.t for r in rows.select("event_id", F.unix_seconds("event_time").alias("t")).collect()}
+    assert times == {"a": 1780837568, "b": 1780837568 - 25200, "c": None, "d": 1780837568, "e": 1780876800, "f": None}
+
+
+def test_newest_sample_and_count(events):
+    rows = load.warehouse_rows(events)
+    newest = load.newest(rows)
+    assert [r.event_id for r in newest.collect()] == ["e", "a", "d", "b", "c"]
+    assert "TakeOrderedAndProject" in newest._jdf.queryExecution().executedPlan().toString()
+    assert load.sample(events, 2).columns == ["event_id", "datetime", "magnitude", "latitude", "longitude", "source"]
+    assert [r.event_id for r in load.sample(events, 2).collect()] == ["a", "b"]
+    assert load.row_count(events).first().n_rows == 6
+
+
+def test_nothing_landed(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for path in (tmp_path / "missing", tmp_path / "empty"):
+        nothing = lake.read_events(spark, str(path))
+        assert nothing.schema == schemas.STREAM_EVENT and nothing.isEmpty()
+        written = []
+        assert jobs.load_events(spark, str(path), written.append, lambda: nothing) == {"written": 0}
+        assert not written
+
+
+def test_other_read_failures_are_failures(spark, events, tmp_path):
+    events.drop("region").write.parquet(str(tmp_path / "events"))
+    with pytest.raises(Exception, match="region"):
+        lake.read_events(spark, str(tmp_path / "events"))
+
+
+def test_load_job(spark, events, tmp_path):
+    lake_path, table = str(tmp_path / "lake"), str(tmp_path / "table")
+    events.write.partitionBy("source").parquet(lake_path)
+
+    def read_back():
+        return spark.read.parquet(table)
+
+    for run in (1, 2):
+        summary = jobs.load_events(spark, lake_path, lambda df: df.write.mode("append").parquet(table), read_back)
+        # A second run appends everything again.
+        assert (summary["written"], summary["total"]) == (6, 6 * run)
+    assert [r.event_id for r in summary["newest"]] == ["e", "e", "a", "a", "d"]
+    pruned = lake.read_events(spark, lake_path).filter("source = 'OTHER'").select("event_id")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and "ReadSchema: struct<event_id:string>" in plan
+
+
+def test_jdbc_calls(spark, events, monkeypatch):
+    """No database here, so only what is handed to the connector is checked."""
+    from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
+
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, properties=None: calls.append(
+        ("write", url, table, properties)))
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties=None: calls.append(
+        ("read", url, table, properties)))
+    jdbc_sink.append(events, "jdbc:x", {"user": "u"}, connections=4)
+    jdbc_source.read_table(spark, "jdbc:x", {"user": "u"})
+    assert calls == [("write", "jdbc:x", "earthquakes", {"user": "u"}), ("read", "jdbc:x", "earthquakes", {"user": "u"})]
+    assert jdbc_sink.options(4) == {"batchsize": "10000", "numPartitions": "4"}
+    options = {}
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: options.update(o) or self)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: None)
+    jdbc_source.read_table(spark, "jdbc:x", {"user": "u"}, split=("depth", "0", "700", 8))
+    assert options == {"url": "jdbc:x", "dbtable": "earthquakes", "user": "u", "partitionColumn": "depth",
+                       "lowerBound": "0", "upperBound": "700", "numPartitions": 8}
+
+
+def test_kafka_options(spark, events):
+    """No queue connector here, so only options and record layout are checked."""
+    assert kafka_source.options("h:1", "a", "b", starting="earliest") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "earliest"}
+    assert kafka_source.options("h:1", "a", starting="latest", group="g", max_per_trigger=100, min_partitions=8) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "a", "startingOffsets": "latest", "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "100", "minPartitions": "8"}
+    assert kafka_sink.options("h:1", "t")["kafka.compression.type"] == "gzip"
+    assert kafka_sink.options("h:1", "t", one_shot=True) == {
+        "kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "all", "kafka.retries": "3"}
+    assert kafka_sink.write_events(events, "h:1", sink="noop") == 6
+    kafka_sink.write_logs(spark.createDataFrame([("t", "s", "l", "v", "m")], schemas.LOG), "h:1", sink="noop")
+
+
+def test_records_of_events_and_logs(spark, events):
+    sent = {r.key: json.loads(r.value) for r in codec.event_records(events).collect()}
+    assert sent["c"] == dict(zip(schemas.STREAM_EVENT.fieldNames(), EVENTS[2]))
+    logs = spark.createDataFrame([("t", "s", None, "v", 'm"é')], schemas.LOG)
+    row = codec.log_records(logs).first()
+    assert json.loads(row.value) == {"timestamp": "t", "service": "s", "log_type": None, "level": "v", "message": 'm"é'}
+
+
+def test_decode_round_trip_and_bad_values(spark, events):
+    sent = codec.event_records(events).select(F.col("value").cast("binary").alias("value"))
+    assert sorted(map(str, codec.decode_records(sent).collect())) == sorted(map(str, events.collect()))
+    got = codec.decode_records(records(
+        spark, "{bad", '{"event_id":"a","depth":10.5,"magnitude":5,"new":1}', '{"depth":"10"}')).collect()
+    assert [(r.event_id, r.depth, r.magnitude) for r in got] == [(None, None, None), ("a", None, 5.0), (None, None, None)]
+
+
+VIEWED = json.dumps({"event_id": "0123456789", "datetime": "d", "latitude": -8.12, "longitude": 95.0, "magnitude": 5.2,
+                     "depth": 10, "region": "r" * 40, "felt_intensity": "", "source": "s", "ingested_at": "i"})
+BAD = ["{bad", "", "5", "[1]", "null", '{"a":1} x', '{"a":1}{}']
+
+
+def test_event_view(spark):
+    rows = monitor.event_view(records(spark, VIEWED, "{}", '{"event_id":"short","region":null}', *BAD))
+    full, empty, short = sorted(rows.collect(), key=lambda r: r.offset)
+    assert full.record_time == "2026-06-07T13:06:08" and full.key is None
+    assert (full.location, full.depth, full.region) == ("-8.12, 95.0", "10 km", "r" * 40)
+    assert full.summary == ("Processed earthquake | id=01234567... | mag=5.2 | lat=-8.12 lon=95.0 | depth=10km | region="
+                            + "r" * 30 + " | offset=0")
+    assert (empty.event_id, empty.location, empty.depth, empty.ingested_at) == ("N/A", "N/A, N/A", "N/A km", "N/A")
+    assert empty.summary == ("Processed earthquake | id=N/A... | mag=None | lat=None lon=None | depth=Nonekm | "
+                             "region=N/A | offset=1")
+    assert short.event_id == "short" and short.region == "N/A"
+
+
+def test_brief_event_view(spark):
+    rows = monitor.event_view_brief(records(spark, VIEWED, "{}")).orderBy("offset").collect()
+    assert (rows[0].location, rows[0].magnitude) == ("-8.12, 95.0", "5.2")
+    assert (rows[1].location, rows[1].event_id, rows[1].region) == ("None, None", None, None)
+
+
+def test_malformed_records_are_kept_aside(spark):
+    everything = records(spark, VIEWED, *BAD, "{}")
+    aside = monitor.malformed(everything)
+    assert aside.columns == everything.columns
+    assert sorted(r.value.decode() for r in aside.collect()) == sorted(BAD)
+    assert monitor.processed_counts(everything).first().n_processed == 2
+
+
+def test_log_view(spark):
+    texts = [json.dumps({"timestamp": "t", "service": "s", "log_type": "L", "level": level, "message": "m" * n})
+             for level, n in (("INFO", 49), ("WARNING", 50), ("ERROR", 51), ("CRITICAL", 0), ("DEBUG", 1))] + ["{}"]
+    rows = sorted(monitor.log_view(records(spark, *texts, topic="system-logs")).collect(), key=lambda r: r.offset)
+    assert [(r.level, r.icon) for r in rows] == [("INFO", "[i]"), ("WARNING", "[!]"), ("ERROR", "[X]"),
+                                                ("CRITICAL", "[!!]"), ("DEBUG", "[i]"), ("INFO", "[i]")]
+    assert rows[2].title == "[[X] SYSTEM LOG - ERROR]"
+    assert rows[2].summary == f"Processed log | level=ERROR | service=s | type=L | msg={'m' * 50} | offset=2"
+    assert rows[2].message == "m" * 51
+    assert rows[5].summary == "Processed log | level=INFO | service=None | type=None | msg=N/A | offset=5"
+    brief = monitor.log_view_brief(records(spark, *texts)).orderBy("offset").collect()
+    assert [(r.level, r.service, r.message) for r in brief][-1] == (None, None, None)
+
+
+def test_landed_payloads(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"Infogempa":\n{}}')
+    (tmp_path / "b.json").write_text("{bad")
+    rows = landing.payloads(spark, str(tmp_path)).collect()
+    assert {r.payload for r in rows} == {'{"Infogempa":\n{}}', "{bad"}
+    assert all(r.arrived_at is not None for r in rows)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.clock import iso_seconds
+from tremorlake.functions.filters import keep_where
 from tremorlake.functions.text import or_na
 from tremorlake.operators.codec import decode_strict
 
@@ -26,14 +27,13 @@ def _messages(records: DataFrame, fields: list[str]) -> DataFrame:
         F.col("offset").alias("_offset"), F.col("key").cast("string").alias("_key"),
         F.col("timestamp").alias("_time"))
     decoded = decode_strict(positions, fields, "_topic", "_partition", "_offset", "_key", "_time")
-    # As in the normaliser, a one-element generator keeps the filter above the parse.
-    return decoded.withColumn("_kept", F.explode_outer(F.array("valid"))).filter("_kept")
+    return keep_where(decoded, F.col("valid"))
 
 
 def malformed(records: DataFrame) -> DataFrame:
     """Records the views leave out, whole."""
     decoded = decode_strict(records, [], *records.columns)
-    return decoded.filter(~F.col("valid")).select(*records.columns)
+    return keep_where(decoded, ~F.col("valid")).select(*records.columns)
 
 
 def event_view(records: DataFrame) -> DataFrame:

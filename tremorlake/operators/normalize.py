@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions import clock as clocks
 from tremorlake.functions.clock import Clock
+from tremorlake.functions.filters import keep_where
 from tremorlake.functions.text import float_text, parse_float, parse_integer
 from tremorlake.functions.variants import is_text, text_of, text_or
 
@@ -108,13 +109,6 @@ def _read_fields(raw_events: DataFrame, raw: str, by_content: bool) -> DataFrame
         & F.col("magnitude").isNotNull() & F.col("_depth").isNotNull())
 
 
-def _only(fields: DataFrame, valid: bool) -> DataFrame:
-    # The flag goes through a one-element generator: a plain filter would be pushed below the
-    # projections and evaluate all parsing twice.
-    wanted = F.col("_valid") if valid else ~F.col("_valid")
-    return fields.withColumn("_wanted", F.explode_outer(F.array(wanted))).filter("_wanted")
-
-
 def normalize(raw_events: DataFrame, raw: str = "raw", clock: Clock = None,
               by_content: bool = True) -> DataFrame:
     """Valid events, typed; other columns of the input are kept in front.
@@ -123,7 +117,7 @@ def normalize(raw_events: DataFrame, raw: str = "raw", clock: Clock = None,
     the ingest time and the datetime is read from one key only, as the one-shot ingest does.
     """
     keep = [c for c in raw_events.columns if c != raw]
-    fields = _only(_read_fields(raw_events, raw, by_content), valid=True)
+    fields = keep_where(_read_fields(raw_events, raw, by_content), F.col("_valid"))
     return _finish(fields, keep, clock, by_content)
 
 
@@ -146,7 +140,7 @@ def _finish(fields: DataFrame, keep: list[str], clock: Clock, by_content: bool)
 def rejects(raw_events: DataFrame, raw: str = "raw", by_content: bool = True) -> DataFrame:
     """Events that do not normalise: the kept columns and the raw event as JSON text."""
     keep = [c for c in raw_events.columns if c != raw]
-    return _only(_read_fields(raw_events, raw, by_content), valid=False).select(
+    return keep_where(_read_fields(raw_events, raw, by_content), ~F.col("_valid")).select(
         *keep, F.to_json(F.col(raw)).alias("raw"))
 
 

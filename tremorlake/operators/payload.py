@@ -49,7 +49,7 @@ def explode_events(unwrapped: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per raw event (``event_pos``, ``raw``), in payload order.
 
     With ``keep_empty`` a payload without events stays as one row of NULL position. The generator is
-    always the outer one: for the inner one Catalyst infers a filter on the array and pushes it below,
+    always the outer one: for the inner one Catalyst infers a filter on the array and pushes it down,
     where it would parse every payload a second time.
     """
     keep = [c for c in unwrapped.columns if c != "raw_events"]

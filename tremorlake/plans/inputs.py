@@ -4,7 +4,7 @@ Every value is integer arithmetic on the event number, so an SQL engine can deri
 The functions take a batch or a streaming ``events`` frame alike.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremorlake.session import spread, spread_factor
 
@@ -34,206 +34,152 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.repartition(tasks) if tasks else stream
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _text(value: str) -> str:
+    return f"string({value})"
 
 
-def _scaled(value: Column, digits: int) -> Column:
+def _scaled(value: str, digits: int) -> str:
     """``value / 10**digits`` with exactly that many decimals."""
-    unit = F.lit("0." + "0" * (digits - 1) + "1").cast(f"decimal({digits},{digits})")
-    return _text(value.cast("decimal(10,0)") * unit)
+    return f"string(decimal({value}) * {10 ** -digits:.{digits}f}BD)"
 
 
-def _day(minute: Column) -> Column:
-    return F.date_add(F.lit(FIRST_DAY).cast("date"), F.floor(minute / 1440).cast("int"))
+def _day(minute: str) -> str:
+    return f"date_add(date'{FIRST_DAY}', int(({minute}) div 1440))"
 
 
-def _clock(minute: Column) -> Column:
-    of_day = minute % 1440
-    return F.concat(F.lpad(_text(F.floor(of_day / 60)), 2, "0"), F.lit(":"),
-                    F.lpad(_text(of_day % 60), 2, "0"), F.lit(":00"))
+def _clock(minute: str) -> str:
+    return (f"concat(lpad(string(({minute}) % 1440 div 60), 2, '0'), ':', "
+            f"lpad(string(({minute}) % 60), 2, '0'), ':00')")
 
 
-def _iso(minute: Column) -> Column:
-    return F.concat(_text(_day(minute)), F.lit("T"), _clock(minute))
+def _iso(minute: str) -> str:
+    return f"concat(string({_day(minute)}), 'T', {_clock(minute)})"
 
 
-def _instant(minute: Column) -> Column:
-    return F.timestamp_seconds(F.lit(FIRST_SECOND) + minute * 60)
+def _instant(minute: str) -> str:
+    return f"timestamp_seconds({FIRST_SECOND} + ({minute}) * 60)"
 
 
-def _latitude(n: Column) -> Column:
-    return (n * 37) % 1700 - 1100
+def _latitude(n: str) -> str:
+    return f"(({n}) * 37 % 1700 - 1100)"
 
 
-def _key(name: str, text: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":"'), text, F.lit('"'))
+def _longitude(n: str) -> str:
+    return f"(9500 + ({n}) * 53 % 4600)"
 
 
-def quake_object(k: Column) -> Column:
+def _magnitude(n: str) -> str:
+    return _scaled(f"20 + ({n}) * 7 % 60", 1)
+
+
+def _depth(n: str) -> str:
+    return _text(f"5 + ({n}) * 11 % 600")
+
+
+def quake_object(k: str) -> str:
     """JSON text of raw quake ``k``; ``k % 20`` picks the variation of its spelling."""
-    kind = k % 20
-    iso, clock = _iso(k), _clock(k)
-    written_day = F.date_format(_day(k), "dd MMM yyyy")
-    when = (
-        F.when(kind == 3, _key("DateTime", iso))
-        .when(kind == 4, _key("DateTime", F.concat(written_day, F.lit(" "), clock, F.lit(" WIB"))))
-        .when(kind == 5, F.concat(_key("Tanggal", written_day), F.lit(","),
-                                  _key("Jam", F.concat(clock, F.lit(" WIB")))))
-        .otherwise(_key("DateTime", F.concat(iso, F.lit("+00:00"))))
-    )
-    lat = _scaled(_latitude(k), 2)
-    lon = _scaled(F.lit(9500) + (k * 53) % 4600, 2)
-    where = (
-        F.when(kind == 9, F.lit(',"Coordinates":"abc,1"'))
-        .when(kind == 10, F.concat(F.lit(","), _key("Coordinates", lat)))
-        .when(kind == 11, F.lit(""))
-        .otherwise(F.concat(F.lit(","), _key("Coordinates", F.concat(lat, F.lit(","), lon))))
-    )
-    mag = _scaled(F.lit(20) + (k * 7) % 60, 1)
-    size = (
-        F.when(kind == 6, F.concat(F.lit('"Magnitude":'), mag))
-        .when(k % 3 == 0, _key("Magnitude", F.concat(mag, F.lit(" SR"))))
-        .otherwise(_key("Magnitude", mag))
-    )
-    dep = _text(F.lit(5) + (k * 11) % 600)
-    depth = (
-        F.when(kind == 7, F.concat(F.lit('"Kedalaman":'), dep, F.lit(".7")))
-        .when(kind == 8, _key("Kedalaman", F.concat(dep, F.lit(".5 km"))))
-        .otherwise(_key("Kedalaman", F.concat(dep, F.lit(" km"))))
-    )
-    region = (
-        F.when(kind == 12, F.lit('"Dirasakan":"II-III"'))
-        .otherwise(F.lit('"Wilayah":"Pusat gempa","Dirasakan":""'))
-    )
-    return F.concat(F.lit("{"), when, where, F.lit(","), size, F.lit(","), depth, F.lit(","), region,
-                    F.lit("}"))
-
-
-def _envelope(gempa: Column) -> Column:
-    return F.concat(F.lit('{"Infogempa":{"gempa":'), gempa, F.lit("}}"))
-
-
-def _pair(seq: Column) -> Column:
-    return F.floor(seq / 2)
+    kind, iso, clock = f"({k}) % 20", _iso(k), _clock(k)
+    written = f"date_format({_day(k)}, 'dd MMM yyyy')"
+    lat, lon, mag, dep = _scaled(_latitude(k), 2), _scaled(_longitude(k), 2), _magnitude(k), _depth(k)
+    return f"""concat('{{',
+        CASE {kind}
+            WHEN 3 THEN concat('"DateTime":"', {iso}, '"')
+            WHEN 4 THEN concat('"DateTime":"', {written}, ' ', {clock}, ' WIB"')
+            WHEN 5 THEN concat('"Tanggal":"', {written}, '","Jam":"', {clock}, ' WIB"')
+            ELSE concat('"DateTime":"', {iso}, '+00:00"') END,
+        CASE {kind}
+            WHEN 9 THEN ',"Coordinates":"abc,1"'
+            WHEN 10 THEN concat(',"Coordinates":"', {lat}, '"')
+            WHEN 11 THEN ''
+            ELSE concat(',"Coordinates":"', {lat}, ',', {lon}, '"') END,
+        CASE WHEN {kind} = 6 THEN concat(',"Magnitude":', {mag})
+            WHEN ({k}) % 3 = 0 THEN concat(',"Magnitude":"', {mag}, ' SR"')
+            ELSE concat(',"Magnitude":"', {mag}, '"') END,
+        CASE {kind}
+            WHEN 7 THEN concat(',"Kedalaman":', {dep}, '.7')
+            WHEN 8 THEN concat(',"Kedalaman":"', {dep}, '.5 km"')
+            ELSE concat(',"Kedalaman":"', {dep}, ' km"') END,
+        CASE WHEN {kind} = 12 THEN ',"Dirasakan":"II-III"'
+            ELSE ',"Wilayah":"Pusat gempa","Dirasakan":""' END,
+        '}}')"""
+
+
+def _envelope(gempa: str) -> str:
+    return f"""concat('{{"Infogempa":{{"gempa":', {gempa}, '}}}}')"""
 
 
 def raw_quakes(events_df: DataFrame) -> DataFrame:
     """One payload per event; events ``2k`` and ``2k+1`` carry the same quake."""
-    return events_df.select("seq", _envelope(quake_object(_pair(F.col("seq")))).alias("payload"),
-                            _instant(F.col("seq")).alias("arrived_at"))
+    return events_df.selectExpr("seq", f"{_envelope(quake_object('seq div 2'))} AS payload",
+                                f"{_instant('seq')} AS arrived_at")
 
 
 def raw_payload_mix(events_df: DataFrame) -> DataFrame:
     """Payloads of every outcome, by the last digit of the event number."""
-    seq = F.col("seq")
-    k, digit = _pair(seq), seq % 10
-    return events_df.select("seq", (
-        F.when(digit == 0, F.lit("{bad"))
-        .when(digit == 1, F.lit("{}"))
-        .when(digit == 2, F.lit('{"Infogempa":{"gempa":[]}}'))
-        .when(digit == 3, F.lit('{"Infogempa":{"gempa":null}}'))
-        .when(digit == 4, _envelope(F.concat(F.lit("["), quake_object(k), F.lit(","),
-                                             quake_object(k + 1), F.lit("]"))))
-        .when(digit == 5, F.lit('{"Infogempa":{}}'))
-        .otherwise(_envelope(quake_object(k)))
-    ).alias("payload"))
-
-
-def _record(events_df: DataFrame, topic: str, key: Column, value: Column) -> DataFrame:
-    return events_df.select(
-        key.cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("seq").alias("offset"),
-        _instant(F.col("seq")).alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
+    one, two = quake_object("seq div 2"), quake_object("seq div 2 + 1")
+    return events_df.selectExpr("seq", f"""CASE seq % 10
+        WHEN 0 THEN '{{bad'
+        WHEN 1 THEN '{{}}'
+        WHEN 2 THEN '{{"Infogempa":{{"gempa":[]}}}}'
+        WHEN 3 THEN '{{"Infogempa":{{"gempa":null}}}}'
+        WHEN 4 THEN {_envelope(f"concat('[', {one}, ',', {two}, ']')")}
+        WHEN 5 THEN '{{"Infogempa":{{}}}}'
+        ELSE {_envelope(one)} END AS payload""")
+
+
+def _records(events_df: DataFrame, topic: str, key: str, value: str) -> DataFrame:
+    return events_df.selectExpr(
+        f"binary({key}) AS key", f"binary({value}) AS value", f"'{topic}' AS topic", "0 AS partition",
+        "seq AS offset", f"{_instant('seq')} AS timestamp", "0 AS timestampType")
 
 
 def kafka_quakes(events_df: DataFrame) -> DataFrame:
     """Event-topic records: normalised events as JSON, some malformed or incomplete."""
-    seq = F.col("seq")
-    k, slot = _pair(seq), seq % 50
-    value = F.when(slot == 7, F.lit("{bad")).otherwise(F.concat(
-        F.lit('{'), _key("event_id", F.md5(_text(k).cast("binary"))),
-        F.lit(','), _key("datetime", F.concat(_iso(k), F.lit("+00:00"))),
-        F.lit(',"latitude":'), _scaled(_latitude(k), 2),
-        F.lit(',"longitude":'), _scaled(F.lit(9500) + (k * 53) % 4600, 2),
-        F.lit(',"magnitude":'), _scaled(F.lit(20) + (k * 7) % 60, 1),
-        F.lit(',"depth":'), _text(F.lit(5) + (k * 11) % 600),
-        F.when(slot == 13, F.lit(".5")).otherwise(F.lit("")),
-        F.when(slot == 11, F.lit("")).otherwise(F.lit(',"region":"Pusat gempa di laut sebelah barat"')),
-        F.lit(',"felt_intensity":"","shakemap":"","potensi":"","source":"BMKG_REALTIME"'),
-        F.lit(','), _key("ingested_at", F.concat(_iso(seq), F.lit("+00:00"))),
-        F.lit('}'),
-    ))
-    return _record(events_df, "earthquake-events", _text(k), value)
+    k = "seq div 2"
+    value = f"""CASE WHEN seq % 50 = 7 THEN '{{bad' ELSE concat(
+        '{{"event_id":"', md5(binary(string({k}))), '","datetime":"', {_iso(k)}, '+00:00"',
+        ',"latitude":', {_scaled(_latitude(k), 2)}, ',"longitude":', {_scaled(_longitude(k), 2)},
+        ',"magnitude":', {_magnitude(k)}, ',"depth":', {_depth(k)}, IF(seq % 50 = 13, '.5', ''),
+        IF(seq % 50 = 11, '', ',"region":"Pusat gempa di laut sebelah barat"'),
+        ',"felt_intensity":"","shakemap":"","potensi":"","source":"BMKG_REALTIME"',
+        ',"ingested_at":"', {_iso('seq')}, '+00:00"}}') END"""
+    return _records(events_df, "earthquake-events", _text(k), value)
 
 
 def kafka_logs(events_df: DataFrame) -> DataFrame:
     """Log-topic records; the level follows the event type and is absent for clicks."""
-    seq, kind = F.col("seq"), F.col("event_type")
-    level = (
-        F.when(seq % 50 == 3, F.lit(',"level":"DEBUG"'))
-        .when(kind == "error", F.lit(',"level":"ERROR"'))
-        .when(kind == "signup", F.lit(',"level":"WARNING"'))
-        .when(kind == "purchase", F.lit(',"level":"CRITICAL"'))
-        .when(kind == "view", F.lit(',"level":"INFO"'))
-        .otherwise(F.lit(""))
-    )
-    message = F.concat(F.lit("Cycle: "), _text(seq % 5), F.lit(" dikirim, "), _text(F.col("user_id")),
-                       F.lit(" dedup, total unique: "), _text(seq),
-                       F.when(seq % 7 == 0, F.lit(" (siklus panjang)")).otherwise(F.lit("")))
-    value = F.concat(
-        F.lit('{'), _key("timestamp", F.concat(_iso(seq), F.lit("+00:00"))),
-        F.lit(',"service":"realtime_producer","log_type":"FETCH_SUCCESS"'), level,
-        F.lit(','), _key("message", message), F.lit('}'),
-    )
-    return _record(events_df, "system-logs", F.lit(None).cast("string"), value)
-
-
-def _page_row(seq: Column) -> Column:
-    c = _latitude(seq)
-    lat = (
-        F.when(seq % 23 == 0, F.lit("2.5"))
-        .when(seq % 29 == 0, F.lit("1.2.3 LS"))
-        .otherwise(F.concat(_scaled(F.abs(c), 2), F.when(c < 0, F.lit(" LS")).otherwise(F.lit(" LU"))))
-    )
-    east = F.lit(9500) + (seq * 53) % 9000
-    lon = (
-        F.when(east > 18000, F.concat(_scaled(F.lit(36000) - east, 2), F.lit(" BB")))
-        .otherwise(F.concat(_scaled(east, 2), F.lit(" BT")))
-    )
-    mag = (
-        F.when(seq % 37 == 0, F.lit("-"))
-        .otherwise(_scaled(F.lit(20) + (seq * 7) % 60, 1))
-    )
-    tail = F.when(seq % 31 == 0, F.lit("")).otherwise(F.concat(
-        F.lit("<td>"), _text(F.lit(5) + (seq * 11) % 600), F.lit(" km</td><td>"), mag, F.lit("</td>")))
-    region = (
-        F.when(seq % 5 == 0, F.lit(""))
-        .otherwise(F.lit("<td>Laut &amp; <i>Darat</i></td>"))
-    )
-    return F.concat(
-        F.lit('<tr class="r">\n<td>'), _text(seq % ROWS_PER_PAGE + 1),
-        F.lit("</td><td>01/06/2026</td><td>12:00:00</td><td><b>"), lat,
-        F.lit("</b></td><td> "), lon, F.lit(" </td>"), tail, region, F.lit("</tr>"),
-    )
+    value = f"""concat(
+        '{{"timestamp":"', {_iso('seq')}, '+00:00","service":"realtime_producer","log_type":"FETCH_SUCCESS"',
+        CASE WHEN seq % 50 = 3 THEN ',"level":"DEBUG"' WHEN event_type = 'error' THEN ',"level":"ERROR"'
+            WHEN event_type = 'signup' THEN ',"level":"WARNING"'
+            WHEN event_type = 'purchase' THEN ',"level":"CRITICAL"'
+            WHEN event_type = 'view' THEN ',"level":"INFO"' ELSE '' END,
+        ',"message":"Cycle: ', string(seq % 5), ' dikirim, ', string(user_id), ' dedup, total unique: ', string(seq),
+        IF(seq % 7 = 0, ' (siklus panjang)', ''), '"}}')"""
+    return _records(events_df, "system-logs", "CAST(NULL AS STRING)", value)
+
+
+def _page_row() -> str:
+    c, east = _latitude("seq"), "(9500 + seq * 53 % 9000)"
+    return f"""concat('<tr class="r">\n<td>', string(seq % {ROWS_PER_PAGE} + 1),
+        '</td><td>01/06/2026</td><td>12:00:00</td><td><b>',
+        CASE WHEN seq % 23 = 0 THEN '2.5' WHEN seq % 29 = 0 THEN '1.2.3 LS'
+            ELSE concat({_scaled(f"abs({c})", 2)}, IF({c} < 0, ' LS', ' LU')) END,
+        '</b></td><td> ',
+        IF({east} > 18000, concat({_scaled(f"36000 - {east}", 2)}, ' BB'), concat({_scaled(east, 2)}, ' BT')),
+        ' </td>',
+        IF(seq % 31 = 0, '', concat('<td>', {_depth('seq')}, ' km</td><td>',
+            IF(seq % 37 = 0, '-', {_magnitude('seq')}), '</td>')),
+        IF(seq % 5 = 0, '', '<td>Laut &amp; <i>Darat</i></td>'), '</tr>')"""
 
 
 def quake_pages(events_df: DataFrame) -> DataFrame:
     """HTML pages of a bulletin, fifteen event rows each."""
-    header = "<table><tr>" + "".join(
-        f"<td>{name}</td>" for name in
-        ("NO", "TANGGAL", "WAKTU", "LINTANG", "BUJUR", "KEDALAMAN", "MAG", "WILAYAH")) + "</tr>"
-    seq = F.col("seq")
-    rows = F.array_sort(F.collect_list(F.struct((seq % ROWS_PER_PAGE).alias("pos"),
-                                                _page_row(seq).alias("row"))))
-    return events_df.groupBy((F.floor(seq / ROWS_PER_PAGE) + 1).alias("page_num")).agg(
-        F.concat(F.lit(header), F.array_join(F.transform(rows, lambda r: r["row"]), ""),
-                 F.lit("</table>")).alias("html"))
+    header = "".join(f"<td>{name}</td>" for name in (
+        "NO", "TANGGAL", "WAKTU", "LINTANG", "BUJUR", "KEDALAMAN", "MAG", "WILAYAH"))
+    rows = F.expr(f"array_sort(collect_list(struct(seq AS pos, {_page_row()} AS row))).row")
+    return events_df.groupBy(F.expr(f"seq div {ROWS_PER_PAGE} + 1").alias("page_num")).agg(
+        F.concat(F.lit(f"<table><tr>{header}</tr>"), F.array_join(rows, ""), F.lit("</table>")).alias("html"))
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ DEFAULTS = {
     # Dedup state lives off-heap and on disk, so it is not bounded by executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Recording the Python call site of every column expression slows down building large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A repeated key in a payload keeps its last value instead of spoiling the payload.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -16,10 +16,15 @@ _CSV_SCHEMA = "page_num bigint, row_pos int, " + ", ".join(
 
 
 def _in_folders(df: DataFrame, pages_per_folder: int) -> DataFrame:
-    return df.withColumn("folder", F.floor(F.col("page_num") / pages_per_folder))
+    """Add the folder. Folders of many pages are gathered, or every task would write a file to each.
+
+    The rebalance leaves sizes to adaptive execution, which splits a folder that is too large.
+    """
+    foldered = df.withColumn("folder", F.floor(F.col("page_num") / pages_per_folder))
+    return foldered if pages_per_folder == 1 else foldered.hint("rebalance", "folder")
 
 
-def archive_html(pages: DataFrame, root: str, pages_per_folder: int = 1000) -> None:
+def archive_html(pages: DataFrame, root: str, pages_per_folder: int = 10_000) -> None:
     """Raw HTML as a table in folders of consecutive pages; empty bodies are skipped.
 
     Folders written again are replaced, others stay.
