@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions import clock as clocks
 from tremorlake.functions.clock import Clock
+from tremorlake.functions.filters import keep_where
 from tremorlake.functions.text import WHITESPACE_CLASS, strip
 
 # Table markup, row shape and wording of the bulletin pages.
@@ -19,125 +20,114 @@ NUMBER = r"([\d.]+)"
 SAMPLE_COLUMNS = ("no", "tanggal", "waktu", "latitude", "longitude", "magnitudo", "kedalaman_km", "wilayah")
 
 
-def _row_cells(html: Column) -> Column:
-    """Array of (row_pos, cells): every table row with its raw cells."""
-    return F.transform(
-        F.regexp_extract_all(html, F.lit(ROW), F.lit(1)),
-        lambda row, i: F.struct(i.alias("row_pos"),
-                                F.regexp_extract_all(row, F.lit(CELL), F.lit(1)).alias("cells")))
-
-
-def _data_rows(html: Column) -> Column:
-    """Array of (row_pos, cells): rows of enough cells, cleaned, without header and empty rows."""
-    wide = F.filter(_row_cells(html), lambda r: F.size(r["cells"]) >= MIN_CELLS)
-    clean = F.transform(wide, lambda r: F.struct(
-        r["row_pos"].alias("row_pos"),
-        F.transform(r["cells"], lambda c: strip(F.regexp_replace(c, TAG, ""))).alias("cells")))
-    return F.filter(clean, lambda r: ~r["cells"][0].isin(*HEADER_CELLS))
-
-
-def _degrees(cell: Column, positive: str, negative: str) -> tuple[Column, Column]:
-    """Number token at the start of a coordinate cell ('' without one) and whether it is negative."""
-    gap = WHITESPACE_CLASS + "+"
-    return (F.regexp_extract(cell, rf"^{NUMBER}{gap}({positive}|{negative})", 1),
-            cell.rlike(rf"^{NUMBER}{gap}{negative}"))
-
-
-def _tokens(row: Column) -> Column:
-    cells = row["cells"]
-    lat, south = _degrees(cells[3], "LU", "LS")
-    lon, west = _degrees(cells[4], "BT", "BB")
-    return F.struct(
-        row["row_pos"].alias("row_pos"),
-        cells[0].alias("no"), cells[1].alias("tanggal"), cells[2].alias("waktu"),
-        lat.alias("lat"), south.alias("south"), lon.alias("lon"), west.alias("west"),
-        F.regexp_extract(cells[5], NUMBER, 1).alias("depth"),
-        F.regexp_extract(cells[6], NUMBER, 1).alias("magnitude"),
-        F.when(F.size(cells) > MIN_CELLS, F.get(cells, F.lit(MIN_CELLS)))
-        .otherwise(F.lit(DEFAULT_REGION)).alias("wilayah"),
+def _rows(pages: DataFrame, html: str) -> DataFrame:
+    """One row per table row with its raw cells; a page without rows stays as one row of NULL position.
+
+    All rows of a page stay in the task that reads the page.
+    """
+    keep = [c for c in pages.columns if c != html]
+    rows = F.regexp_extract_all(F.col(html), F.lit(ROW), F.lit(1))
+    return (
+        pages.select(*keep, F.posexplode_outer(rows).alias("row_pos", "_row"))
+        .select(*keep, "row_pos", F.regexp_extract_all("_row", F.lit(CELL), F.lit(1)).alias("_raw"))
     )
 
 
-def _numbers(t: Column) -> Column:
-    def signed(token: str, negative: str) -> Column:
-        value = t[token].try_cast("double")
-        return F.when(t[negative], -value).otherwise(value)
-
-    broken = F.lit(False)
-    for token in ("lat", "lon", "depth", "magnitude"):
-        # No token at all leaves the field NULL; a token that is no number spoils the row.
-        broken = broken | ((t[token] != "") & t[token].try_cast("double").isNull())
-    return F.struct(
-        t["row_pos"].alias("row_pos"), t["no"].alias("no"), t["tanggal"].alias("tanggal"),
-        t["waktu"].alias("waktu"),
-        signed("lat", "south").alias("latitude"), signed("lon", "west").alias("longitude"),
-        t["depth"].try_cast("double").alias("kedalaman_km"),
-        t["magnitude"].try_cast("double").alias("magnitudo"),
-        t["wilayah"].alias("wilayah"), broken.alias("broken"),
-    )
+def _clean(cell: Column) -> Column:
+    return strip(F.when(cell.contains("<"), F.regexp_replace(cell, TAG, "")).otherwise(cell))
 
 
-def with_records(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Pages with the array ``records`` in place of the HTML; an absent page has none.
+def _is_data(n_cells: Column, first: Column) -> Column:
+    return F.coalesce((n_cells >= MIN_CELLS) & ~first.isin(*HEADER_CELLS), F.lit(False))
 
-    One page is one row from start to end: extraction needs no shuffle, and page counts no grouping.
-    """
-    keep = [c for c in pages.columns if c != html]
-    numbers = F.transform(F.transform(_data_rows(F.col(html)), _tokens), _numbers)
-    return pages.select(*keep, F.coalesce(F.filter(numbers, lambda r: ~r["broken"]), F.array())
-                        .alias("records"))
+
+#: Position of each cell a record is read from.
+_CELLS = {"no": 0, "tanggal": 1, "waktu": 2, "lat_cell": 3, "lon_cell": 4, "depth_cell": 5, "mag_cell": 6,
+          "region_cell": 7}
+#: Number token of each measured field.
+_TOKENS = {"lat": "latitude", "lon": "longitude", "depth": "kedalaman_km", "mag": "magnitudo"}
+
+
+def _is_negative(cell: str, direction: str) -> Column:
+    return F.col(cell).rlike(rf"^{NUMBER}{WHITESPACE_CLASS}+{direction}")
+
+
+def _read_rows(pages: DataFrame, html: str) -> DataFrame:
+    """Record fields of every table row plus ``is_record``, false for rows that are none."""
+    keep = [c for c in pages.columns if c != html] + ["row_pos"]
+    coordinate = rf"^{NUMBER}{WHITESPACE_CLASS}+"
+    cells = _rows(pages, html).select(
+        *keep, F.size("_raw").alias("n_cells"),
+        *[_clean(F.get("_raw", F.lit(i))).alias(name) for name, i in _CELLS.items()])
+    tokens = cells.select(
+        *keep, "no", "tanggal", "waktu", "lat_cell", "lon_cell",
+        _is_data(F.col("n_cells"), F.col("no")).alias("is_data"),
+        F.when(F.col("n_cells") > MIN_CELLS, F.col("region_cell")).otherwise(F.lit(DEFAULT_REGION)).alias("wilayah"),
+        F.regexp_extract("lat_cell", coordinate + "(LU|LS)", 1).alias("lat"),
+        F.regexp_extract("lon_cell", coordinate + "(BT|BB)", 1).alias("lon"),
+        F.regexp_extract("depth_cell", NUMBER, 1).alias("depth"),
+        F.regexp_extract("mag_cell", NUMBER, 1).alias("mag"))
+    # No token at all ('') leaves the field NULL; a token that is no number spoils the row.
+    values = tokens.withColumns(
+        {name: F.when(F.col(token) != "", F.col(token).try_cast("double")) for token, name in _TOKENS.items()})
+    sound = F.col("is_data")
+    for token, name in _TOKENS.items():
+        sound = sound & ((F.col(token) == "") | F.col(name).isNotNull())
+    signed = {
+        "latitude": F.when(_is_negative("lat_cell", "LS"), -F.col("latitude")).otherwise(F.col("latitude")),
+        "longitude": F.when(_is_negative("lon_cell", "BB"), -F.col("longitude")).otherwise(F.col("longitude")),
+    }
+    return values.withColumn("is_record", F.coalesce(sound, F.lit(False))).withColumns(signed)
 
 
 def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every table row of every page with its raw cell count."""
     keep = [c for c in pages.columns if c != html]
-    return (
-        pages.select(*keep, F.inline(_row_cells(F.col(html))))
-        .select(*keep, "row_pos", F.size("cells").alias("n_cells"))
-    )
+    return _rows(pages, html).filter(F.col("row_pos").isNotNull()).select(
+        *keep, "row_pos", F.size("_raw").alias("n_cells"))
 
 
 def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
     """Cleaned cells of the data rows."""
-    keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, F.inline(_data_rows(F.col(html))))
+    cells = _rows(pages, html).withColumn("cells", F.transform("_raw", _clean)).drop("_raw")
+    return keep_where(cells, _is_data(F.size("cells"), F.get("cells", F.lit(0))))
 
 
 def records(pages: DataFrame, html: str = "html", clock: Clock = None) -> DataFrame:
     """Historical records; ``row_pos`` orders them within their page."""
     keep = [c for c in pages.columns if c != html]
-    return (
-        with_records(pages, html).select(*keep, F.inline("records"))
-        .select(*keep, "row_pos", "no", "tanggal", "waktu", "latitude", "longitude", "kedalaman_km",
-                "magnitudo", "wilayah", F.lit(SOURCE).alias("source"),
-                clocks.naive_iso(clock).alias("scraped_at"))
-    )
-
-
-def union_runs(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Records of several extraction runs as one bag."""
-    for other in others:
-        first = first.unionByName(other)
-    return first
-
-
-def totals(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row: pages with at least one record, and records."""
-    size = F.size("records")
-    return with_records(pages, html).agg(
-        F.count_if(size > 0).alias("pages"), F.coalesce(F.sum(size), F.lit(0)).alias("records"))
+    return keep_where(_read_rows(pages, html), F.col("is_record")).select(
+        *keep, "row_pos", "no", "tanggal", "waktu", "latitude", "longitude", "kedalaman_km", "magnitudo", "wilayah",
+        F.lit(SOURCE).alias("source"), clocks.naive_iso(clock).alias("scraped_at"))
 
 
 def page_counts(pages: DataFrame, html: str = "html", page: str = "page_num",
                 wanted: DataFrame | None = None) -> DataFrame:
     """Records per page, zero included; ``wanted`` (page numbers) adds the pages that never arrived."""
-    counts = with_records(pages, html).select(page, F.size("records").cast("bigint").alias("n_records"))
+    counts = _read_rows(pages, html).groupBy(page).agg(F.count_if("is_record").alias("n_records"))
     if wanted is None:
         return counts
     return wanted.select(page).join(counts, page, "left").select(
         page, F.coalesce("n_records", F.lit(0)).alias("n_records"))
 
 
+def totals(pages: DataFrame, html: str = "html", page: str = "page_num") -> DataFrame:
+    """One row: pages with at least one record, and records."""
+    return count_totals(page_counts(pages, html, page))
+
+
+def count_totals(counts: DataFrame) -> DataFrame:
+    return counts.agg(F.count_if(F.col("n_records") > 0).alias("pages"),
+                      F.coalesce(F.sum("n_records"), F.lit(0)).alias("records"))
+
+
+def union_runs(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Records of several extraction runs as one bag."""
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
 def head(found: DataFrame, n: int = 3, page: str = "page_num") -> DataFrame:
     """First ``n`` records in page order, in the sample columns that exist."""
     return found.orderBy(page, "row_pos").limit(n).select(

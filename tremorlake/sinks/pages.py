@@ -6,7 +6,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremorlake import schemas
-from tremorlake.functions import clock as clocks
 from tremorlake.operators import html_table
 
 _CSV = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
@@ -43,19 +42,15 @@ def read_html(spark: SparkSession, root: str) -> DataFrame:
 def archive_records(pages: DataFrame, root: str, run: datetime, pages_per_folder: int = 1) -> dict[str, int]:
     """Records as CSV, per page and combined under the run's time; returns pages and records.
 
-    Nothing is written when there are no records. Pages are extracted once and kept on executor disk
-    for the two writers; a lost executor only costs its share of the extraction. All records of a
-    page come from one task, so with one page per folder every page is one file without a shuffle.
+    Nothing is written when there are no records. Records are extracted once and kept on executor
+    disk for the two writers; a lost executor only costs its share of the extraction. All records of
+    a page come from one task, so with one page per folder every page is one file without a shuffle.
     """
-    found = html_table.with_records(pages).persist(StorageLevel.DISK_ONLY)
+    rows = html_table.records(pages, clock=run).persist(StorageLevel.DISK_ONLY)
     try:
-        size = F.size("records")
-        counts = found.agg(F.count_if(size > 0).alias("pages"),
-                           F.coalesce(F.sum(size), F.lit(0)).alias("records")).first().asDict()
+        counts = html_table.count_totals(
+            rows.groupBy("page_num").agg(F.count("*").alias("n_records"))).first().asDict()
         if counts["records"]:
-            rows = found.select("page_num", F.inline("records")).withColumns(
-                {"source": F.lit(html_table.SOURCE), "scraped_at": clocks.naive_iso(run)}
-            ).select("page_num", "row_pos", *schemas.HISTORICAL.fieldNames())
             (
                 _in_folders(rows, pages_per_folder).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy("folder")
@@ -65,7 +60,7 @@ def archive_records(pages: DataFrame, root: str, run: datetime, pages_per_folder
                 f"{root}/combined/all_pages_combined_{run.strftime('%Y%m%d_%H%M%S')}")
         return counts
     finally:
-        found.unpersist()
+        rows.unpersist()
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
