@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact_dedup
+from tremorlake.llm import exact_dedup, license_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,52 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """Every block against every template, without filters."""
+    templates = ", ".join(
+        f"({i}, '{label}', {tokens}, {need})" for i, label, tokens, need in
+        license_scan._template_rows(license_scan.TEMPLATES, license_scan.THRESHOLD))
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    places = "list_concat(" + ", ".join(
+        "list_filter(range(len(words)), lambda i: list_slice(words, i + 1, i + {n}) = {p})".format(
+            n=len(phrase.split()), p=phrase.split()) for phrase in license_scan.PHRASES) + ")"
+    base = ", ".join(
+        "CASE WHEN contains(' ' || array_to_string(words, ' ') || ' ', ' {p} ') THEN '{label}' END".format(
+            p=phrase, label=label) for phrase, label in license_scan.PHRASES.items())
+    size, half = license_scan.BLOCK_WORDS, license_scan.BLOCK_WORDS // 2
+    return f"""
+WITH templates(template, label, tokens, need) AS (VALUES {templates}),
+low AS (SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+w AS (SELECT r, doc_id, regexp_extract_all(low, '{word}') AS words FROM low),
+line AS (SELECT r, row_number() OVER () AS line, regexp_extract_all(l, '{word}') AS words
+    FROM (SELECT r, unnest(string_split(low, chr(10))) AS l FROM low)),
+block AS (
+    SELECT r, line, 0 AS pos, words FROM line WHERE len(words) <= {size}
+    UNION ALL
+    SELECT r, line, pos, list_slice(words, pos + 1, pos + {size}) FROM (
+        SELECT r, line, words, unnest(range(0, len(words) - {half}, {half})) AS pos FROM line WHERE len(words) > {size})),
+hit AS (SELECT r, line, pos, template, label, tokens, len(list_intersect(tokens, words)) / len(tokens) AS containment
+    FROM block JOIN templates ON len(list_intersect(tokens, words)) >= need),
+stands AS (SELECT * FROM hit a WHERE NOT EXISTS (
+    SELECT 1 FROM hit b WHERE a.r = b.r AND a.line = b.line AND a.pos = b.pos
+    AND len(b.tokens) > len(a.tokens) AND list_has_all(b.tokens, a.tokens))),
+more AS (SELECT r, list(DISTINCT label) AS more, max(containment) AS containment FROM stands GROUP BY r),
+p AS (SELECT r, doc_id, words, {places} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base FROM w)
+SELECT doc_id, len(words) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+    array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,
+    CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0)::DOUBLE END AS score
+FROM p LEFT JOIN more USING (r)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_license_scan": op8_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -25,4 +69,5 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g USING (norm)""",
+    "op8_license_scan": _license_sql(),
 }
