@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact_dedup, license_scan
+from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,16 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder = byte_bpe.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, sf_dir, "documents"), encoder).drop("ids")
+
+
+def op5_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_reuse.encode_decode(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +71,8 @@ FROM p LEFT JOIN more USING (r)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_packing": op4_packing,
+    "op5_bpe_reuse": op5_bpe_reuse,
     "op8_license_scan": op8_license_scan,
 }
 
