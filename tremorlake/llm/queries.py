@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, packing
+from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,22 @@ def op5_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scores = toxicity.scored(docs.select("doc_id", "text"), model)
+    return scores.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.join(_table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -73,7 +90,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_packing": op4_packing,
     "op5_bpe_reuse": op5_bpe_reuse,
+    "op6_toxicity": op6_toxicity,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_license_scan": op8_license_scan,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
@@ -82,5 +102,24 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.norm) AS text_sha256
 FROM n JOIN g USING (norm)""",
+    "op7_ngram_jaccard": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+s AS (SELECT doc_id, list_sort(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END) AS grams
+    FROM w),
+c AS (SELECT grams, min(doc_id) AS node, count(*) AS copies FROM s WHERE len(grams) > 0 GROUP BY grams),
+g AS (SELECT node, copies, len(grams) AS n, unnest(grams) AS gram FROM c),
+p AS (SELECT a.node AS a, b.node AS b, any_value(b.copies) AS copies, count(*) AS shared, any_value(a.n + b.n) AS n
+    FROM g a JOIN g b ON a.gram = b.gram AND a.node != b.node GROUP BY ALL),
+l AS (SELECT a, b, copies FROM p WHERE 5 * shared >= 4 * (n - shared)),
+r(node, root) AS (SELECT a, a FROM l UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a),
+k AS (SELECT node, min(root) AS class_id FROM r GROUP BY node),
+d AS (SELECT a, sum(copies) AS links FROM l GROUP BY a),
+o AS (SELECT s.doc_id, coalesce(k.class_id, c.node, s.doc_id) AS class_id,
+    CAST(coalesce(c.copies - 1, 0) + coalesce(d.links, 0) AS BIGINT) AS n_links
+    FROM s LEFT JOIN c ON s.grams = c.grams LEFT JOIN k ON k.node = c.node LEFT JOIN d ON d.a = c.node)
+SELECT doc_id, class_id, n_links, doc_id = class_id AS kept FROM o""",
     "op8_license_scan": _license_sql(),
 }

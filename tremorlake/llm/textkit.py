@@ -10,10 +10,14 @@ import numpy as np
 #: Bytes of text handled at once; a longer text is handled alone and whole.
 SLICE = 2 << 20
 
-_LOWER = np.arange(256, dtype=np.uint8)
+_SAME = np.arange(256, dtype=np.uint8)
+_LOWER = _SAME.copy()
 _LOWER[65:91] += 32
-_IS_WORD = np.zeros(256, dtype=bool)
-_IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[65:91] = _IS_WORD[128:] = True
+#: 1 for bytes of words; in the second table also 2 for signs, which make tokens of their own.
+_WORDS = np.zeros(256, dtype=np.uint8)
+_WORDS[48:58] = _WORDS[97:123] = _WORDS[65:91] = _WORDS[128:] = 1
+_TOKENS = _WORDS.copy()
+_TOKENS[33:127][_TOKENS[33:127] == 0] = 2
 
 # Odd numbers, so powers have inverses modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
@@ -60,20 +64,24 @@ def slices(texts: Iterable[bytes], limit: int = SLICE) -> Iterator[list[bytes]]:
 
 
 class Words:
-    """The words of some texts: of word ``i`` the text ``doc[i]``, the bytes ``start[i]:end[i]`` and a 64-bit hash."""
+    """The words of some texts: of word ``i`` the text ``doc[i]``, the bytes ``start[i]:end[i]`` and a 64-bit hash.
 
-    def __init__(self, texts: list[bytes]):
+    With ``signs``, runs of other printable characters are words too, and case counts.
+    """
+
+    def __init__(self, texts: list[bytes], signs: bool = False):
         self.n_texts = len(texts)
         self.bytes = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
         self.text_start = np.concatenate([[0], np.cumsum(lengths)])
-        inside = _IS_WORD[self.bytes]
-        edges = np.flatnonzero(np.diff(inside, prepend=False))
-        self.start, self.end = edges[::2], edges[1::2]
+        kind = (_TOKENS if signs else _WORDS)[self.bytes]
+        edges = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))  # the last is no word's start: a line break ends all
+        begins = np.flatnonzero(kind[edges])
+        self.start, self.end = edges[begins], edges[begins + 1] if len(begins) else edges[begins]
         self.doc = np.searchsorted(self.text_start, self.start, side="right") - 1
         powers, inverses = _powers(len(self.bytes))
         sums = np.zeros(len(self.bytes) + 1, dtype=np.uint64)
-        np.cumsum((_LOWER[self.bytes].astype(np.uint64) + np.uint64(1)) * powers[:len(self.bytes)], out=sums[1:])
+        np.cumsum(((_SAME if signs else _LOWER)[self.bytes].astype(np.uint64) + np.uint64(1)) * powers[:len(self.bytes)], out=sums[1:])
         self.hash = mix((sums[self.end] - sums[self.start]) * inverses[self.start])
         #: words[first[d]:first[d + 1]] belong to text d
         self.first = np.searchsorted(self.doc, np.arange(self.n_texts + 1))
