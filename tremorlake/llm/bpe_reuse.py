@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm import gear
+from tremorlake.llm.shipping import ship
 
 #: Mean bytes of a chunk.
 CHUNK_BYTES = 512
@@ -215,6 +216,7 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
                     yield pd.DataFrame({"doc_id": part.doc_id.to_numpy(), "n_tokens": [len(ids) for ids, _ in found],
                                         "ids": [ids for ids, _ in found], "decoded": [d for _, d in found]})
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInPandas(run, DIGESTS if digests else SCHEMA)
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm import linking
+from tremorlake.llm.shipping import ship
 from tremorlake.llm.textkit import Words, as_bytes, mix, seeds, slices
 from tremorlake.session import work_folder
 
@@ -210,7 +211,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
 
 
 def _decided(docs: DataFrame, doc_id: str, text: str, threshold: float, tolerance: float) -> DataFrame:
-    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "near-join")
+    spark, folder = ship(docs.sparkSession), work_folder(docs.sparkSession, "near-join")
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{folder}/{name}")

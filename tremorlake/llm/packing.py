@@ -27,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.shipping import ship
+
 WINDOW = 1024
 SMALLEST = 64
 #: Tokens of remainders a task holds before the tiers must pack.
@@ -148,6 +150,7 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
 
     ``encoder`` makes, inside a task, a function from texts to their ids as bytes.
     """
+    ship(docs.sparkSession)
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.shipping import ship
 from tremorlake.llm.textkit import Words, as_bytes, mix, slices
 from tremorlake.session import work_folder
 
@@ -135,7 +136,7 @@ def select(docs: DataFrame, labels: DataFrame, share: float | None = None, sampl
 
     ``share`` is the part of the rows to take; by default the part of the labelled rows that is good.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     ratio = fit(docs, labels, sample)
     if share is None:
         share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]

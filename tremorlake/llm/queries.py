@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, toxicity
+from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = byte_bpe.encoder(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(_table(spark, sf_dir, "documents"), encoder).drop("ids")
@@ -88,6 +93,7 @@ FROM p LEFT JOIN more USING (r)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_bpe_reuse": op5_bpe_reuse,
     "op6_toxicity": op6_toxicity,

@@ -19,6 +19,9 @@ _WORDS[48:58] = _WORDS[97:123] = _WORDS[65:91] = _WORDS[128:] = 1
 _TOKENS = _WORDS.copy()
 _TOKENS[33:127][_TOKENS[33:127] == 0] = 2
 
+#: Stands before and after each text, so a rolling hash over 16 bytes never sees its neighbour.
+_BETWEEN = b"\n" * 16
+
 # Odd numbers, so powers have inverses modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -71,9 +74,9 @@ class Words:
 
     def __init__(self, texts: list[bytes], signs: bool = False):
         self.n_texts = len(texts)
-        self.bytes = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-        self.text_start = np.concatenate([[0], np.cumsum(lengths)])
+        self.bytes = np.frombuffer(_BETWEEN.join([b"", *texts, b""]), dtype=np.uint8)
+        self.text_bytes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        self.text_start = len(_BETWEEN) + np.concatenate([[0], np.cumsum(self.text_bytes + len(_BETWEEN))])
         kind = (_TOKENS if signs else _WORDS)[self.bytes]
         edges = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))  # the last is no word's start: a line break ends all
         begins = np.flatnonzero(kind[edges])

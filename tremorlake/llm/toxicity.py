@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.shipping import ship
 from tremorlake.llm.textkit import Words, as_bytes, mix, seeds, slices
 
 BUCKETS = 1 << 17
@@ -156,6 +157,7 @@ def learn(sets: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Machine:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
     """The machine learned from labelled rows that are not held out, as bytes of a fixed length."""
+    ship(docs.sparkSession)
     rows = (labels.select(F.col("doc_id"), F.col("toxic").cast("double").alias("toxic"))
             .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -181,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
 
 def scored(docs: DataFrame, model: bytes, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score column more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
