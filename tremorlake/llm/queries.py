@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, substring_dedup, toxicity
+from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, substring_dedup, toxicity, vector_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_license_scan": op8_license_scan,
+    "op9_vector_dedup": op9_vector_dedup,
     "op10_quality": op10_quality,
 }
 
@@ -128,4 +133,17 @@ o AS (SELECT s.doc_id, coalesce(k.class_id, c.node, s.doc_id) AS class_id,
     FROM s LEFT JOIN c ON s.grams = c.grams LEFT JOIN k ON k.node = c.node LEFT JOIN d ON d.a = c.node)
 SELECT doc_id, class_id, n_links, doc_id = class_id AS kept FROM o""",
     "op8_license_scan": _license_sql(),
+    "op9_vector_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x != 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r(node, root) AS (SELECT a, a FROM l UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a),
+k AS (SELECT node, min(root) AS component_id FROM r GROUP BY node),
+d AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+    vec_id = coalesce(component_id, vec_id) AS kept
+FROM v LEFT JOIN k ON k.node = vec_id LEFT JOIN d ON d.a = vec_id""",
 }
