@@ -6,13 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import bpe_reuse, byte_bpe, exact_dedup, license_scan, near_join, packing, quality, substring_dedup, toxicity, vector_dedup
+from tremorlake.llm import (
+    bpe_reuse,
+    byte_bpe,
+    exact_dedup,
+    html_render,
+    license_scan,
+    near_join,
+    packing,
+    quality,
+    substring_dedup,
+    toxicity,
+    vector_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_render.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select(
+        "page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
@@ -96,6 +113,7 @@ FROM p LEFT JOIN more USING (r)"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_render": op1_html_render,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
