@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm import gear
+from tremorlake.llm.byte_bpe import _byte_of_char
 from tremorlake.llm.shipping import ship
 
 #: Mean bytes of a chunk.
 CHUNK_BYTES = 512
-#: Chunks remembered in one Python worker, in each of two generations; of words, ten times as many.
+#: Chunks remembered in one Python worker, in each of two generations; of words beside joins, four times as many.
 REMEMBERED = 30_000
 #: Texts whose unknown chunks are encoded together.
 TEXTS_AT_ONCE = 64
@@ -39,6 +40,11 @@ OUTER_WORDS, CHUNK_WORDS = 1, 6
 
 _GAP = re.compile("[ \n]+")
 
+# How the vocabulary's tokenizer splits text, and the same for the characters of Latin text.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LATIN = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
+_LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+
 
 class Memory:
     """Values of keys, computed for many at once; two generations of about ``size`` are kept."""
@@ -63,6 +69,56 @@ class Memory:
         return [young[key] for key in keys]
 
 
+class Merger:
+    """Ids of Latin text under a lower-casing vocabulary with word ends, by tiktoken's merging.
+
+    Each piece of the split pattern gets an end sign, whose merge with the last byte comes before all others, so pieces
+    merge as the vocabulary's merges say. Other tokenizers and other scripts have no merger. Joins hold its ids
+    against the tokenizer's own, and tests do so for whole texts.
+    """
+
+    END = "\x01"
+
+    def __init__(self, layout: dict):
+        import tiktoken
+
+        of = _byte_of_char()
+        base = {bytes([b]): b for b in range(256)} | {bytes([b, 1]): 256 + b for b in range(256) if b != 1}
+        names = {bytes([b]): c for c, b in of.items()} | {bytes([b, 1]): c + "</w>" for c, b in of.items() if b != 1}
+        for merge in layout["model"]["merges"]:
+            name = "".join(merge.split(" ") if isinstance(merge, str) else merge)
+            plain = name.removesuffix("</w>")
+            token = bytes(map(of.__getitem__, plain)) + (b"\x01" if len(plain) < len(name) else b"")
+            if token not in base:
+                base[token] = 256 + len(base)
+                names[token] = name
+        vocabulary = layout["model"]["vocab"]
+        size = max(base.values()) + 1
+        self.id_of, self.name_of = [-1] * size, [""] * size
+        for token, rank in base.items():
+            if token in names:
+                self.id_of[rank], self.name_of[rank] = vocabulary.get(names[token], -1), names[token]
+        self.encode = tiktoken.Encoding(
+            "word_ends", pat_str="[^\x01]+\x01", mergeable_ranks=base, special_tokens={}).encode_ordinary
+
+    @staticmethod
+    def fits(layout: dict) -> bool:
+        kinds = [n["type"] for n in (layout.get("normalizer") or {}).get("normalizers", [])]
+        split = (layout.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        return (kinds == ["NFC", "Replace", "Lowercase"] and layout["model"].get("end_of_word_suffix") == "</w>"
+                and split[0].get("pattern") == {"Regex": _SPLIT} and len(split) == 2 and layout.get("decoder") is None)
+
+    def __call__(self, text: str) -> tuple[list[int], str] | None:
+        if not _LATIN.fullmatch(text):
+            return None
+        pieces = _LATIN_SPLIT.findall(text.lower())
+        if not pieces:
+            return [], ""
+        ranks = self.encode(self.END.join(pieces) + self.END)
+        ids = list(map(self.id_of.__getitem__, ranks))
+        return (ids, " ".join(map(self.name_of.__getitem__, ranks))) if -1 not in ids else None
+
+
 class Codec:
     """Encodes and decodes texts with one tokenizer file."""
 
@@ -77,26 +133,27 @@ class Codec:
         self.special = [t["content"] for t in layout.get("added_tokens", [])]
         #: Without a decoder, ids decode to their tokens with a space between; else a text is decoded whole.
         self.by_part = layout.get("decoder") is None
+        self.merger = Merger(layout) if Merger.fits(layout) else None
         self.chunk_bytes = chunk_bytes
-        self.words = Memory(self._both, 10 * remembered)
-        self.chunks = Memory(self._by_words, remembered)
+        self.chunks = Memory(self._merged, remembered)
+        self.outer = Memory(self._merged, 4 * remembered)
         self.joins = Memory(self._both, remembered)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
     def _decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
     def _both(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        return [(ids, self._decode(ids) if self.by_part else "") for ids in self._ids(texts)]
-
-    def _by_words(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """The same through words remembered; joins check it against the tokenizer in context."""
-        cut = [_GAP.split(t) for t in texts]
-        known = iter(self.words.of([w for words in cut for w in words]))
-        found = [[next(known) for _ in words] for words in cut]
-        return [([i for ids, _ in words for i in ids], " ".join([d for ids, d in words if ids])) for words in found]
+        """Ids and decoded text, by the tokenizer."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [(e.ids, self._decode(e.ids) if self.by_part else "") for e in found]
+
+    def _merged(self, texts: list[str]) -> list[tuple[list[int], str]]:
+        """The same, by the merger where it can."""
+        if not self.merger:
+            return self._both(texts)
+        out = [self.merger(t) for t in texts]
+        rest = iter(self._both([t for t, found in zip(texts, out) if found is None]))
+        return [next(rest) if found is None else found for found in out]
 
     def _cut(self, text: str) -> list[str]:
         data = text.encode()
@@ -153,7 +210,7 @@ class Codec:
                 before, after = _last_words(left, reach), _first_words(right, reach)
                 asked.append((p, before, before + half + other + after, after))
             windows = self.joins.of([window for _, _, window, _ in asked])
-            outer = iter(self._by_words([w for _, before, _, after in asked for w in (before, after)]))
+            outer = iter(self.outer.of([w for _, before, _, after in asked for w in (before, after)]))
             disagree = []
             for (p, before, _, after), (ids, _) in zip(asked, windows):
                 (_, left, _), (_, right, _), left_ids, right_ids = places[p]
