@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

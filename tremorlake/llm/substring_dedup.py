@@ -126,34 +126,46 @@ def _cut(batch: pd.DataFrame, reach: int) -> Iterator[pd.DataFrame]:
         at += len(part)
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH,
-          least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with its repeated passages removed from ``text``.
-
-    Adds removed_words, removed_spans (bytes of the UTF-8 text as it was) and original_ids (documents that hold
-    the originals).
-    """
+def _with_cuts(docs: DataFrame, doc_id: str, text: str, reach: int, least_words: int) -> DataFrame:
+    """``docs`` with __words, __ids and, where passages go, __cut (text, spans)."""
     found = passages(docs, doc_id, text, reach, least_words).groupBy("id", "text_hash").agg(
         F.collect_list(F.struct("first_place", "last_place")).alias("__runs"), F.sum("words").alias("__words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("original_ids")))).alias("__ids")
     ).withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
     same: Column = (F.coalesce(docs[doc_id].cast("long"), F.lit(LAST_ID)) == found["__id"]) & (
         F.xxhash64(docs[text]) == found["__hash"])
-    joined = docs.join(found, same, "left")
 
     @F.pandas_udf("text string, spans array<struct<start:long,end:long>>")
-    def cut(text: pd.Series, runs: pd.Series) -> pd.DataFrame:
-        texts, spans = [], []
-        for some_texts, some_spans in _cut(pd.DataFrame({"text": text, "runs": runs}), reach):
-            texts += some_texts
+    def cut(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
+        kept, spans = [], []
+        for some_texts, some_spans in _cut(pd.DataFrame({"text": texts, "runs": runs}), reach):
+            kept += some_texts
             spans += some_spans
-        return pd.DataFrame({"text": texts, "spans": spans})
-
-    touched = F.col("__runs").isNotNull()
-    joined = joined.withColumn("__cut", cut(F.when(touched, F.col(text)), F.col("__runs")))
-    return joined.withColumns({
-        text: F.when(touched, F.col("__cut.text")).otherwise(F.col(text)),
-        "removed_words": F.coalesce("__words", F.lit(0).cast("long")),
-        "removed_spans": F.col("__cut.spans"),
-        "original_ids": F.coalesce("__ids", F.array().cast("array<long>")),
-    }).drop("__id", "__hash", "__runs", "__words", "__ids", "__cut")
+        return pd.DataFrame({"text": kept, "spans": spans})
+
+    joined = docs.join(found, same, "left").drop("__id", "__hash")
+    return joined.withColumn("__cut", cut(F.when(F.col("__runs").isNotNull(), docs[text]), F.col("__runs")))
+
+
+def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH,
+            least_words: int = LEAST_WORDS) -> DataFrame:
+    """``docs`` with its repeated passages removed from ``text``."""
+    found = _with_cuts(docs, doc_id, text, reach, least_words)
+    return found.withColumn(text, F.when(F.col("__runs").isNotNull(), F.col("__cut.text")).otherwise(F.col(text))).drop(
+        "__runs", "__words", "__ids", "__cut")
+
+
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH,
+          least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id and text without its repeated passages, with what went and whence.
+
+    removed_words counts, removed_spans are bytes of the UTF-8 text as it was, original_ids the documents that
+    hold the originals (``LAST_ID`` for one without an id).
+    """
+    found = _with_cuts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", reach, least_words)
+    spans = "array<struct<start:long,end:long>>"
+    return found.select(
+        "doc_id", F.when(F.col("__runs").isNotNull(), F.col("__cut.text")).otherwise(F.col("text")).alias("text"),
+        F.coalesce("__words", F.lit(0).cast("long")).alias("removed_words"),
+        F.when(F.col("__runs").isNotNull(), F.col("__cut.spans")).otherwise(F.array().cast(spans)).alias("removed_spans"),
+        F.coalesce("__ids", F.array().cast("array<long>")).alias("original_ids"))
