@@ -5,8 +5,8 @@ remains is routed to the tier of the smallest window (a power of two) that holds
 its own windows in order. A remainder that no longer fits closes the window: the gap is handed to the
 shorter tiers, which fill it with whole remainders, the longest that fits first, and then with a cut one.
 A task packs the rows it reads, in one pass and without a shuffle, and holds at most ``HELD`` tokens of
-remainders. What it holds at its end is laid out from end to end and cut into windows at powers of two,
-so only a last bit below ``SMALLEST`` tokens is padded.
+remainders. What it holds at its end is laid out from end to end and cut into windows at powers of two, the last
+ones below ``SMALLEST``, so no window is padded.
 
 Windows are then dealt into step groups of ``STEP_TOKENS`` tokens: each group takes windows of all tiers
 in turn, longest first to the group with the fewest tokens.
@@ -112,8 +112,6 @@ class Packer:
         rest = deque(rest)
         while left:
             length = min(self.window, 1 << (left.bit_length() - 1))
-            if length < self.smallest:
-                length = left
             pieces, open_tokens = [], length
             while open_tokens:
                 doc_id, start, ids, total = rest.popleft()
