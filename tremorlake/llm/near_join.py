@@ -39,6 +39,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 LOOKS = (16, 32, 64, 128)
 TOLERANCE = 1e-6
+#: Classes of a block where sketches are compared, and where whole sets are.
+LOOK_BLOCK, VERIFY_BLOCK = 2048, 256
 
 _FACTORS = (seeds("minhash", BANDS * ROWS) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _MASKS = (seeds("masks", BANDS * ROWS) >> np.uint64(32)).astype(np.uint32)
@@ -139,7 +141,7 @@ def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataF
                 yield pd.DataFrame({"a": node[linked], "b": node[root[linked]]}).drop_duplicates()
 
     keys = classes.select("node", F.explode("bands").alias("group"))
-    met = linking.meetings(keys).join(classes.select(F.col("node").alias("__n"), "sketch"), F.col("node") == F.col("__n"))
+    met = linking.meetings(keys, block=LOOK_BLOCK).join(classes.select(F.col("node").alias("__n"), "sketch"), F.col("node") == F.col("__n"))
     return linking.dealt(met.select("meeting", "side", "alone", "node", "sketch")).mapInPandas(run, "a string, b string")
 
 
@@ -183,7 +185,7 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
                 if len(some):
                     yield pd.DataFrame({"node": node[some], "links": links[some], "root": node[root[some]]})
 
-    met = linking.meetings(members).select("meeting", "side", "alone", "node", "copies", "shingles")
+    met = linking.meetings(members, block=VERIFY_BLOCK).select("meeting", "side", "alone", "node", "copies", "shingles")
     return linking.dealt(met).mapInPandas(run, "node string, links long, root string")
 
 
@@ -199,7 +201,8 @@ def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFra
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ids = wanted.select("first_id").distinct()
-    own = rows.join(ids, rows.doc_id.eqNullSafe(ids.first_id), "left_semi").select("text")
+    # Both sides are shuffled at any size: the plan that holds when the ids are too many to send to every task.
+    own = rows.hint("merge").join(ids, rows.doc_id.eqNullSafe(ids.first_id), "left_semi").select("text")
     found = own.mapInPandas(run, "node string, shingles binary")
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 

@@ -38,6 +38,8 @@ MISS = 1e-5
 #: Standard deviations of the estimate's error that a pair is given before it is dropped.
 CONFIDENCE = 6.0
 SEED = 20_240_501
+#: Nodes of a block.
+BLOCK = 1024
 
 
 @lru_cache(maxsize=8)
@@ -145,7 +147,7 @@ def _links(keyed: DataFrame, threshold: float, confidence: float) -> DataFrame:
                     yield found
 
     keys = keyed.select("node", F.posexplode("keys").alias("table", "group"))
-    met = linking.meetings(keys).join(keyed.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
+    met = linking.meetings(keys, block=BLOCK).join(keyed.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
     rows = met.select("meeting", "side", "alone", "table", "node", "keys", "code", "factor", "copies", "unit")
     return linking.dealt(rows).mapInPandas(run, "node string, links long, root string")
 
