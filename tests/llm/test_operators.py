@@ -329,8 +329,8 @@ def _jaccard_by_hand(texts, n=5, threshold=0.8):
 
 
 def test_near_join_of_a_large_group_in_blocks(spark, documents, monkeypatch):
-    monkeypatch.setattr(linking, "BLOCK", 16)
-    monkeypatch.setattr(linking.meetings, "__defaults__", ("group", "node", 16))
+    monkeypatch.setattr(near_join, "LOOK_BLOCK", 16)
+    monkeypatch.setattr(near_join, "VERIFY_BLOCK", 16)
     rng = random.Random(11)
     base = [f"w{i}" for i in range(150)]
     texts = {}
@@ -404,7 +404,7 @@ def test_codes_estimate_without_bias():
 
 
 def test_vector_groups_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(linking.meetings, "__defaults__", ("group", "node", 16))
+    monkeypatch.setattr(vector_dedup, "BLOCK", 16)
     rng = np.random.default_rng(9)
     centre = rng.normal(size=32)
     v = np.concatenate([centre + 0.13 * rng.normal(size=(200, 32)), rng.normal(size=(100, 32))]).astype(np.float32)

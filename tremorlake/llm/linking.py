@@ -2,7 +2,7 @@
 
 Members of a group are dealt to blocks of bounded size, and every two blocks of a group meet in one task; a task compares
 its pairs in numpy and gives at most one row per member. So no group has to fit into a task, no row stands for a pair, and a
-group of m members costs m * m / BLOCK rows of payload.
+group of m members costs m * m / block rows of payload.
 """
 
 from collections.abc import Iterable, Iterator
@@ -12,14 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Members of a block, on average.
-BLOCK = 256
-
-
-def meetings(members: DataFrame, group: str = "group", node: str = "node", block: int = BLOCK) -> DataFrame:
+def meetings(members: DataFrame, group: str = "group", node: str = "node", *, block: int) -> DataFrame:
     """``members`` of groups of two or more, each once for every meeting of its block with a block of its group.
 
-    Adds meeting (its number), side (0 or 1) and alone (True where a block meets itself). ``group`` and ``node`` must be unique together.
+    A block has ``block`` members on average. Adds meeting (its number), side (0 or 1) and alone (True where a block meets itself). ``group`` and ``node`` must be unique together.
     """
     sizes = members.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__size")).filter("__size > 1")
     found = members.join(sizes, F.col(group) == F.col("__group"))
