@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,8 @@ def spark():
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tremorlake-tests-"),
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tremorlake-tests-"),
     }).master("local[8]").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

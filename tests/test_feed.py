@@ -191,3 +191,28 @@ def test_equal_in_five_fields_means_the_same_event(spark):
 def test_repeated_key_keeps_the_last(spark):
     raw = payload.explode_events(unwrapped(spark, '{"Infogempa":{"gempa":{"Magnitude":"1","Magnitude":"2"}}}'))
     assert normalize.normalize(raw.select("raw")).first().magnitude == 2.0
+
+
+def test_a_repeated_key(spark):
+    from tremorlake.operators.payload import unwrap
+
+    rows = spark.createDataFrame([('{"Infogempa":{"gempa":{"Magnitude":"1","Magnitude":"2"}}}',)], "payload string")
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "true")
+        row = unwrap(rows).selectExpr("outcome", "try_variant_get(raw_events[0], '$.Magnitude', 'string') AS m").first()
+        assert (row.outcome, row.m) == ("FETCH_SUCCESS", "2")
+        spark.conf.set(setting, "false")
+        assert unwrap(rows).first().outcome == "API_ERROR"
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_text_around_a_payload_makes_it_invalid(spark):
+    from tremorlake.operators.payload import unwrap
+
+    good = '{"Infogempa":{"gempa":{"a":1}}}'
+    texts = [good, f" {good}\n", good + ',"x":1', good[:-1] + '},"end":true} junk', '1,"x":2', good + good, f"{good},{good}", "", "  "]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, payload string")
+    assert [r.outcome for r in unwrap(rows).orderBy("i").collect()] == ["FETCH_SUCCESS"] * 2 + ["API_ERROR"] * 7

@@ -128,7 +128,7 @@ def test_extraction_needs_no_shuffle(some_pages):
 
 def test_archive(spark, some_pages, tmp_path):
     root = str(tmp_path / "archive")
-    assert jobs.extract_history(some_pages, root, CLOCK) == {"pages": 2, "records": 3}
+    assert jobs.extract_history(some_pages, root, CLOCK, 1) == {"pages": 2, "records": 3}
     assert {r.page_num for r in page_sink.read_html(spark, root).collect()} == {1, 2, 5}
     assert sorted(p.name for p in (tmp_path / "archive/raw_csv").glob("folder=*")) == ["folder=1", "folder=5"]
     assert len(list((tmp_path / "archive/raw_csv/folder=1").glob("part-*.csv"))) == 1
@@ -138,7 +138,7 @@ def test_archive(spark, some_pages, tmp_path):
     # A later run over one page replaces that page only.
     later = datetime(2026, 6, 2)
     again = some_pages.filter("page_num = 5")
-    assert page_sink.archive_records(again, root, later) == {"pages": 1, "records": 1}
+    assert page_sink.archive_records(again, root, later, 1) == {"pages": 1, "records": 1}
     stamps = {r.page_num: r.scraped_at for r in page_sink.read_records(spark, f"{root}/raw_csv").collect()}
     assert stamps == {1: "2026-06-01T01:02:03", 5: "2026-06-02T00:00:00"}
 
@@ -153,14 +153,27 @@ def test_landed_pages_in_range(spark, tmp_path):
     for number in (0, 1, 7, 238, 239):
         (tmp_path / f"page_{number:04d}.html").write_text(f"line {number}\nnext\n")
     (tmp_path / "index.html").write_text("other")
-    found = landing.pages(spark, str(tmp_path))
+    (tmp_path / "page_0300.html").mkdir()
+    (tmp_path / "page_0300.html" / "part-0.txt").write_text("line 300\nnext\n")
+    assert {r.page_num for r in landing.pages(spark, f"{tmp_path}/*").collect()} == {0, 1, 7, 238, 239, 300}
+    found = landing.pages(spark, str(tmp_path), *landing.HISTORICAL_PAGES)
     assert {r.page_num: r.html for r in found.collect()} == {
         n: f"line {n}\nnext\n" for n in (1, 7, 238)}
-    assert landing.pages(spark, str(tmp_path), None, None).count() == 5
+    assert landing.pages(spark, str(tmp_path)).count() == 5  # page 239 is read
     assert landing.in_range(found, 7, 100).select("page_num").collect()[0].page_num == 7
 
 
-def test_default_range(spark):
+def test_empty_cells_come_back(spark, tmp_path):
+    cells = "".join(f"<td>{c}</td>" for c in ("1", "", "", "1.0 LS", "2.0 BT", "x", "", ""))
+    pages = page_frame(spark, f"<table><tr>{cells}</tr></table>")
+    page_sink.archive_records(pages, str(tmp_path / "a"), CLOCK)
+    row = page_sink.read_records(spark, str(tmp_path / "a/raw_csv")).first()
+    assert (row.tanggal, row.waktu, row.wilayah, row.magnitudo) == ("", "", "", None)
+    assert row == html_table.records(pages, clock=CLOCK).first()
+
+
+def test_ranges(spark):
     numbers = spark.range(0, 500).select(F.col("id").alias("page_num"))
-    bounds = landing.in_range(numbers).agg(F.min("page_num"), F.max("page_num"), F.count("*")).first()
+    assert landing.in_range(numbers).count() == 500
+    bounds = landing.in_range(numbers, *landing.HISTORICAL_PAGES).agg(F.min("page_num"), F.max("page_num"), F.count("*")).first()
     assert tuple(bounds) == (1, 238, 238)

@@ -54,14 +54,21 @@ def test_nothing_landed(spark, tmp_path):
         nothing = lake.read_events(spark, str(path))
         assert nothing.schema == schemas.STREAM_EVENT and nothing.isEmpty()
         written = []
-        assert jobs.load_events(spark, str(path), written.append, lambda: nothing) == {"written": 0}
+        assert jobs.load_events(spark, str(path), written.append, dict) == {"written": 0}
         assert not written
 
 
 def test_other_read_failures_are_failures(spark, events, tmp_path):
-    events.drop("region").write.parquet(str(tmp_path / "events"))
+    events.withColumn("region", F.lit(1)).write.parquet(str(tmp_path / "events"))
     with pytest.raises(Exception, match="region"):
-        lake.read_events(spark, str(tmp_path / "events"))
+        lake.read_events(spark, str(tmp_path / "events")).collect()
+
+
+def test_sources_stay_text(spark, events, tmp_path):
+    events.withColumn("source", F.when(F.col("event_id") == "a", "007").otherwise("10")).write.partitionBy("source").parquet(
+        str(tmp_path / "events"))
+    landed = lake.read_events(spark, str(tmp_path / "events"))
+    assert landed.schema == schemas.STREAM_EVENT and {r.source for r in landed.collect()} == {"007", "10"}
 
 
 def test_load_job(spark, events, tmp_path):
@@ -69,7 +76,7 @@ def test_load_job(spark, events, tmp_path):
     events.write.partitionBy("source").parquet(lake_path)
 
     def read_back():
-        return spark.read.parquet(table)
+        return jobs.check_table(spark.read.parquet(table))
 
     for run in (1, 2):
         summary = jobs.load_events(spark, lake_path, lambda df: df.write.mode("append").parquet(table), read_back)
@@ -88,11 +95,11 @@ def test_jdbc_calls(spark, events, monkeypatch):
     calls = []
     monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, properties=None: calls.append(
         ("write", url, table, properties)))
-    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties=None: calls.append(
-        ("read", url, table, properties)))
+    dealt = []
+    monkeypatch.setattr(type(events), "repartition", lambda self, n: dealt.append(n) or self)
     jdbc_sink.append(events, "jdbc:x", {"user": "u"}, connections=4)
-    jdbc_source.read_table(spark, "jdbc:x", {"user": "u"})
-    assert calls == [("write", "jdbc:x", "earthquakes", {"user": "u"}), ("read", "jdbc:x", "earthquakes", {"user": "u"})]
+    jdbc_sink.append(events, "jdbc:x", {"user": "u"})
+    assert calls == [("write", "jdbc:x", "earthquakes", {"user": "u"})] * 2 and dealt == [4]
     assert jdbc_sink.options(4) == {"batchsize": "10000", "numPartitions": "4"}
     options = {}
     monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: options.update(o) or self)
@@ -100,6 +107,25 @@ def test_jdbc_calls(spark, events, monkeypatch):
     jdbc_source.read_table(spark, "jdbc:x", {"user": "u"}, split=("depth", "0", "700", 8))
     assert options == {"url": "jdbc:x", "dbtable": "earthquakes", "user": "u", "partitionColumn": "depth",
                        "lowerBound": "0", "upperBound": "700", "numPartitions": 8}
+    asked = []
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: asked.append(o) or self)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: spark.range(3).withColumnRenamed("id", "n_rows"))
+    found = jdbc_source.check(spark, "jdbc:x", {"user": "u"})
+    assert found["total"] == 0 and len(found["newest"]) == 3
+    assert [sorted(o) for o in asked] == [["query", "url", "user"]] * 2 and "LIMIT 5" in asked[1]["query"]
+
+
+def test_numbers_are_shown_as_python_prints_them(spark):
+    values = ["0.00001", "12345678.9", "true", "2", "2.0", "-0.5", "1e22", "123456789012345678901234567890", "null", '"x"', "0.1"]
+    rows = spark.createDataFrame([(f'{{"magnitude":{v}}}',) for v in values], "value string")
+    from tremorlake.operators.codec import decode_strict
+    assert [r.magnitude for r in decode_strict(rows, ["magnitude"]).collect()] == [
+        "1e-05", "12345678.9", "True", "2", "2.0", "-0.5", "1e+22", "123456789012345678901234567890", None, "x", "0.1"]
+
+
+def test_reruns_can_leave_out_known_ids(events):
+    rows = jdbc_sink.without_known(events, events.filter("event_id = 'a'"))
+    assert rows.columns == events.columns and "a" not in {r.event_id for r in rows.collect()}
 
 
 def test_kafka_options(spark, events):

@@ -58,6 +58,9 @@ def record_time(epoch_ms: Column) -> Column:
     return F.timestamp_millis(epoch_ms)
 
 
-def iso_seconds(instant: Column) -> Column:
-    """ISO text of an instant in UTC, to the second."""
-    return F.date_format(F.to_utc_timestamp(instant, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
+def iso_text(instant: Column) -> Column:
+    """ISO text of an instant in UTC; a fraction of a second is written, in six digits, when there is one."""
+    utc = F.to_utc_timestamp(instant, F.current_timezone())
+    whole = F.date_trunc("second", utc) == utc
+    return F.when(whole, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+        F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))

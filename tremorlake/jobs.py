@@ -1,32 +1,93 @@
-"""Batch jobs put together from sources, operators and sinks."""
+"""Batch and streaming jobs put together from sources, operators and sinks."""
 
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tremorlake.operators import load
+from tremorlake import schemas
+from tremorlake.functions.clock import Clock
+from tremorlake.operators import cycles, dedup, load, normalize, payload
 from tremorlake.sinks import pages as page_sink
 from tremorlake.sources import lake
+from tremorlake.streaming import queries
+
+#: Texts of the one-shot ingest.
+SENT_OF = "Test selesai! %d dari %d event berhasil dikirim."
+FETCH_FAILED, NOTHING = "Gagal ambil data BMKG", "Tidak ada data gempa"
 
 
 def load_events(spark: SparkSession, path: str, write: Callable[[DataFrame], None],
-                read_back: Callable[[], DataFrame]) -> dict:
+                check: Callable[[], dict]) -> dict:
     """Load landed events into a table and verify it.
 
-    Returns rows written, rows now in the table and its newest rows; without landed events nothing is
-    written. The written rows are counted while they are written.
+    Returns rows written and what ``check`` finds: rows now in the table (total) and its newest rows. Without
+    landed events nothing is written. The written rows are counted while they are written.
     """
     events = lake.read_events(spark, path)
     if events.isEmpty():
         return {"written": 0}
     written = Observation("written")
     write(load.warehouse_rows(events).observe(written, F.count(F.lit(1)).alias("n")))
-    table = read_back()
-    return {"written": written.get["n"], "total": table.count(), "newest": load.newest(table).collect()}
+    return {"written": written.get["n"], **check()}
+
 
+def check_table(table: DataFrame) -> dict:
+    """The check of :func:`load_events` for a table that Spark reads itself."""
+    return {"total": table.count(), "newest": load.newest(table).collect()}
 
-def extract_history(pages: DataFrame, root: str, run: datetime, pages_per_folder: int = 1) -> dict[str, int]:
+
+def extract_history(pages: DataFrame, root: str, run: datetime,
+                    pages_per_folder: int = page_sink.PAGES_PER_FOLDER) -> dict[str, int]:
     """Archive the pages, extract their records and archive those; returns pages and records found."""
     page_sink.archive_html(pages, root)
     return page_sink.archive_records(pages, root, run, pages_per_folder)
+
+
+def ingest(payloads: DataFrame, cycle: str, write_events: Callable[[DataFrame, int], None],
+           write_logs: Callable[[DataFrame, int], None], folder: str, clock: Clock = None,
+           interval: str | None = queries.POLL_INTERVAL) -> StreamingQuery:
+    """The running ingest: new events and the log lines of every payload, in the data path.
+
+    ``payloads`` has the payload text and its cycle, a long that grows with arrival. A micro-batch is parsed
+    once. Ids sent so far lie under ``folder``, a part for each batch; a batch that is run again after a
+    failure looks at the parts before its own and writes its own anew, so it makes the same rows. The two
+    writers get the batch's number and should replace what they wrote under it.
+    """
+    spark = payloads.sparkSession
+    ids = f"{folder}/ids"
+
+    def batch(df: DataFrame, number: int) -> None:
+        known = (spark.read.schema("event_id string, batch long").parquet(ids).filter(F.col("batch") < number)
+                 .select("event_id") if number else spark.createDataFrame([], "event_id string"))
+        unwrapped = payload.unwrap(df.select(cycle, "payload")).persist(StorageLevel.DISK_ONLY)
+        try:
+            raw = payload.explode_events(unwrapped).select(cycle, "event_pos", "raw")
+            events = dedup.first_seen(normalize.normalize(raw, clock=clock), cycle, "event_pos")
+            fresh = events.join(known, "event_id", "left_anti").select(*schemas.EVENT.fieldNames())
+            fresh.select("event_id").write.mode("overwrite").parquet(f"{ids}/batch={number}")
+            write_events(fresh, number)
+            write_logs(cycles.payload_logs(unwrapped, cycle, clock, known=known), number)
+        finally:
+            unwrapped.unpersist()
+
+    writer = payloads.writeStream.foreachBatch(batch).option("checkpointLocation", f"{folder}/checkpoint")
+    return queries.timed(writer, interval).start()
+
+
+def send_once(payloads: DataFrame, write: Callable[[DataFrame], int], clock: Clock = None) -> dict:
+    """The one-shot ingest: time-based ids, no dedup, and a line that says how many of the events found were sent.
+
+    ``write`` sends the events and returns how many, as ``sinks.kafka.write_events`` with ``one_shot`` does.
+    """
+    unwrapped = payload.unwrap(payloads)
+    counts = unwrapped.agg(
+        F.sum(F.coalesce(F.size("raw_events"), F.lit(0))).alias("found"),
+        F.count_if(F.col("outcome").isin(payload.API_ERROR, payload.FETCH_FAILED)).alias("failed")).first()
+    if not counts.found:
+        return {"sent": 0, "found": 0, "message": FETCH_FAILED if counts.failed else NOTHING}
+    raw = payload.explode_events(unwrapped).select("raw")
+    sent = write(normalize.normalize(raw, clock=clock, by_content=False))
+    return {"sent": sent, "found": counts.found, "message": SENT_OF % (sent, counts.found)}

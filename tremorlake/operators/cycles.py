@@ -94,8 +94,11 @@ def log_lines(cycles: DataFrame, clock: Clock = None, service: str = SERVICE) ->
 
 
 def payload_logs(unwrapped: DataFrame, cycle: str, clock: Clock = None, service: str = SERVICE,
-                 block: int = BLOCK) -> DataFrame:
-    """Log lines of a run where every payload is one cycle, numbered by the long column ``cycle``."""
+                 block: int = BLOCK, known: DataFrame | None = None) -> DataFrame:
+    """Log lines of a run where every payload is one cycle, numbered by the long column ``cycle`` from 0.
+
+    Ids of ``known`` (event_id, each once) were sent before the run: they count as seen and in the total.
+    """
     events = normalize.event_ids(
         payload.explode_events(unwrapped, keep_empty=True).select(cycle, "outcome", "raw"))
     # The outcome travels in the low digits of the cycle number, which keeps the cycles in order.
@@ -104,7 +107,11 @@ def payload_logs(unwrapped: DataFrame, cycle: str, clock: Clock = None, service:
     for number, outcome in enumerate(_OUTCOMES):
         code = F.when(F.col("outcome") == outcome, F.lit(number)).otherwise(code)
     numbered = events.select((F.col(cycle) * width + code).alias("cycle"), "event_id")
+    if known is not None:  # a cycle before all others
+        numbered = numbered.unionByName(known.select(F.lit(-1).cast("bigint").alias("cycle"), "event_id"))
     summary = cycle_summary(numbered, block=block * width)
+    if known is not None:
+        summary = summary.filter(F.col("cycle") >= 0)
     outcome_of = F.element_at(F.array(*[F.lit(o) for o in _OUTCOMES]),
                               (F.pmod(F.col("cycle"), F.lit(width)) + 1).cast("int"))
     return log_lines(

@@ -20,18 +20,19 @@ def first_seen(events: DataFrame, *arrival: str, key: str = "event_id") -> DataF
 
 def first_seen_stream(events: DataFrame, time: str, delay: str, spread: Column | None = None,
                       key: str = "event_id") -> DataFrame:
-    """Stream dedup whose memory is bounded by event time: ids are forgotten after ``delay``.
+    """Stream dedup whose memory is bounded by ``time``: ids are forgotten after ``delay``.
 
     ``spread`` is a small integer that varies among repeats (say, a hash of the offset modulo 16).
-    With it, repeats are first removed per (key, spread), so one frequent key is worked off by that
-    many state partitions and the last step sees only the few survivors.
+    With it, repeats within one minute of ``time`` are first removed per (key, spread, minute), so one
+    frequent key is worked off by that many state partitions. The last step alone decides between
+    minutes, so the result is the same with and without ``spread``.
     """
     keyed = events.filter(F.col(key).isNotNull()).withWatermark(time, delay)
     if spread is not None:
         keyed = (
-            keyed.withColumn("_spread", spread)
-            .dropDuplicatesWithinWatermark([key, "_spread"])
-            .drop("_spread")
+            keyed.withColumns({"_spread": spread, "_minute": F.date_trunc("minute", F.col(time))})
+            .dropDuplicatesWithinWatermark([key, "_spread", "_minute"])
+            .drop("_spread", "_minute")
         )
     return keyed.dropDuplicatesWithinWatermark([key])
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tremorlake.functions.clock import iso_seconds
+from tremorlake.functions.clock import iso_text
 from tremorlake.functions.filters import keep_where
 from tremorlake.functions.text import or_na
 from tremorlake.operators.codec import decode_strict
@@ -44,7 +44,7 @@ def event_view(records: DataFrame) -> DataFrame:
     return m.select(
         F.col("_topic").alias("topic"), F.col("_partition").alias("partition"),
         F.col("_offset").alias("offset"), F.col("_key").alias("key"),
-        iso_seconds(F.col("_time")).alias("record_time"),
+        iso_text(F.col("_time")).alias("record_time"),
         event_id.alias("event_id"),
         or_na(F.col("datetime")).alias("datetime"),
         or_na(F.col("magnitude")).alias("magnitude"),

@@ -1,18 +1,12 @@
 """Feed payloads: outcome of a fetch, and one row per raw event."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tremorlake.functions.variants import sealed, seal_holds
 
 # The outcomes of a fetch.
 API_ERROR, FETCH_FAILED, NO_DATA, FETCH_SUCCESS = "API_ERROR", "FETCH_FAILED", "NO_DATA", "FETCH_SUCCESS"
 
-_ENVELOPE = "payload struct<Infogempa: struct<gempa: variant>>, end boolean"
-
-
-def _parsed(payload: Column) -> Column:
-    # The marker after the payload shows whether all of its text was one JSON value.
-    return F.from_json(F.concat(F.lit('{"payload":'), payload, F.lit(',"end":true}')), _ENVELOPE)
-
-
 def unwrap(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Replace the payload text by its ``outcome`` and its ``raw_events`` (array of variants).
 
@@ -33,10 +27,9 @@ def unwrap(payloads: DataFrame, payload: str = "payload") -> DataFrame:
         .otherwise(FETCH_SUCCESS)
     )
     return (
-        payloads.withColumn("_parsed", _parsed(F.col(payload)))
-        .select(*keep,
-                F.coalesce(F.col("_parsed.end"), F.lit(False)).alias("_whole"),
-                F.col("_parsed.payload.Infogempa.gempa").alias("_gempa"))
+        payloads.withColumn("_parsed", sealed(F.col(payload)))
+        .select(*keep, seal_holds(F.col("_parsed"), F.col(payload)).alias("_whole"),
+                F.try_variant_get(F.get("_parsed", F.lit(0)), "$.Infogempa.gempa", "variant").alias("_gempa"))
         .withColumn("_items", F.try_variant_get(gempa, "$", "array<variant>"))
         .withColumn("outcome", outcome)
         .select(*keep, "outcome",

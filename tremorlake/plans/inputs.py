@@ -6,10 +6,14 @@ The functions take a batch or a streaming ``events`` frame alike.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorlake.session import spread, spread_factor
+#: A caller's choice: deal the tables that inputs are derived from over so many tasks. Unset, scans stay as they are.
+INPUT_TASKS = "spark.tremorlake.inputTasks"
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 ROWS_PER_PAGE = 15
+#: A row added to the given web pages.
+BULLETIN_ROW = ("<tr><td>1</td><td>01/06/2026</td><td>12:00:00</td><td>1.50 LS</td><td>100.25 BT</td><td>10 km</td>"
+                "<td>5.0</td><td>Laut</td></tr>")
 #: Event minutes are counted from this day.
 FIRST_DAY = "2026-06-01"
 FIRST_SECOND = 1780272000
@@ -19,8 +23,16 @@ def _event_columns(df: DataFrame) -> DataFrame:
     return df.select(F.col("event_id").alias("seq"), "user_id", "event_type")
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    # A repeated key in a payload keeps its last value, whatever session the query is given.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    tasks = spark.conf.get(INPUT_TASKS, "")
+    return df.repartition(int(tasks)) if tasks else df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_event_columns(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")))
+    return _dealt(_event_columns(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")))
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,9 +41,19 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     The name is given as a pattern, because a file stream takes no plain path to a single file.
     """
     path = f"{sf_dir}/{{events.parquet}}"
-    stream = _event_columns(spark.readStream.schema(EVENTS_SCHEMA).parquet(path))
-    tasks = spread_factor(spark.read.schema(EVENTS_SCHEMA).parquet(path))
-    return stream.repartition(tasks) if tasks else stream
+    return _dealt(_event_columns(spark.readStream.schema(EVENTS_SCHEMA).parquet(path)))
+
+
+def event_slices(spark: SparkSession, sf_dir: str, slices: int, in_order: bool) -> list[DataFrame]:
+    """The events table in parts that arrive one after the other.
+
+    In order, a part is a range of event numbers; else it holds every ``slices``-th event, so arrival
+    times of a later part lie before those of an earlier one.
+    """
+    columns = events(spark, sf_dir)
+    last = columns.agg(F.max("seq")).first()[0] or 0
+    place = F.floor(F.col("seq") * slices / (last + 1)) if in_order else F.pmod(F.lit(slices - 1) - F.col("seq"), F.lit(slices))
+    return [columns.filter(place == number) for number in range(slices)]
 
 
 def _text(value: str) -> str:
@@ -124,22 +146,30 @@ def raw_payload_mix(events_df: DataFrame) -> DataFrame:
         WHEN 3 THEN '{{"Infogempa":{{"gempa":null}}}}'
         WHEN 4 THEN {_envelope(f"concat('[', {one}, ',', {two}, ']')")}
         WHEN 5 THEN '{{"Infogempa":{{}}}}'
+        WHEN 6 THEN CASE seq % 50
+            WHEN 6 THEN '{{"Infogempa":{{"gempa":{{"a":1}}}}}},"x":1'
+            WHEN 16 THEN '{{"Infogempa":{{"gempa":{{"a":1}}}}}},"end":true}} junk'
+            WHEN 26 THEN '1,"x":2'
+            WHEN 36 THEN '{{"Infogempa":{{"gempa":null}}}},"payload":{{"Infogempa":{{"gempa":[1]}}}}'
+            ELSE {_envelope(one)} END
         ELSE {_envelope(one)} END AS payload""")
 
 
 def _records(events_df: DataFrame, topic: str, key: str, value: str) -> DataFrame:
     return events_df.selectExpr(
         f"binary({key}) AS key", f"binary({value}) AS value", f"'{topic}' AS topic", "0 AS partition",
-        "seq AS offset", f"{_instant('seq')} AS timestamp", "0 AS timestampType")
+        "seq AS offset", f"{_instant('seq')} + make_dt_interval(0, 0, 0, seq % 4 * 0.041) AS timestamp", "0 AS timestampType")
 
 
 def kafka_quakes(events_df: DataFrame) -> DataFrame:
     """Event-topic records: normalised events as JSON, some malformed or incomplete."""
     k = "seq div 2"
-    value = f"""CASE WHEN seq % 50 = 7 THEN '{{bad' ELSE concat(
+    value = f"""CASE WHEN seq % 50 = 7 THEN '{{bad' WHEN seq % 50 = 17 THEN '{{"event_id":"a"}},"x":1'
+        WHEN seq % 50 = 27 THEN '{{"event_id":"a"}},"end":true}} junk' ELSE concat(
         '{{"event_id":"', md5(binary(string({k}))), '","datetime":"', {_iso(k)}, '+00:00"',
         ',"latitude":', {_scaled(_latitude(k), 2)}, ',"longitude":', {_scaled(_longitude(k), 2)},
-        ',"magnitude":', {_magnitude(k)}, ',"depth":', {_depth(k)}, IF(seq % 50 = 13, '.5', ''),
+        ',"magnitude":', CASE seq % 50 WHEN 21 THEN '0.00001' WHEN 31 THEN '12345678.9' WHEN 41 THEN 'true'
+            ELSE {_magnitude(k)} END, ',"depth":', {_depth(k)}, IF(seq % 50 = 13, '.5', ''),
         IF(seq % 50 = 11, '', ',"region":"Pusat gempa di laut sebelah barat"'),
         ',"felt_intensity":"","shakemap":"","potensi":"","source":"BMKG_REALTIME"',
         ',"ingested_at":"', {_iso('seq')}, '+00:00"}}') END"""
@@ -162,7 +192,7 @@ def kafka_logs(events_df: DataFrame) -> DataFrame:
 def _page_row() -> str:
     c, east = _latitude("seq"), "(9500 + seq * 53 % 9000)"
     return f"""concat('<tr class="r">\n<td>', string(seq % {ROWS_PER_PAGE} + 1),
-        '</td><td>01/06/2026</td><td>12:00:00</td><td><b>',
+        '</td><td>', IF(seq % 19 = 0, '', '01/06/2026'), '</td><td>12:00:00</td><td><b>',
         CASE WHEN seq % 23 = 0 THEN '2.5' WHEN seq % 29 = 0 THEN '1.2.3 LS'
             ELSE concat({_scaled(f"abs({c})", 2)}, IF({c} < 0, ' LS', ' LU')) END,
         '</b></td><td> ',
@@ -183,6 +213,7 @@ def quake_pages(events_df: DataFrame) -> DataFrame:
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given web pages, none of which holds a bulletin table."""
-    return spread(spark.read.schema("page_id bigint, html string").parquet(f"{sf_dir}/pages.parquet").select(
-        F.col("page_id").alias("page_num"), "html"))
+    """The given web pages, each with a bulletin table of up to three rows behind its own text."""
+    pages = spark.read.schema("page_id bigint, html string").parquet(f"{sf_dir}/pages.parquet")
+    return _dealt(pages.select(F.col("page_id").alias("page_num"), F.concat(
+        "html", F.lit("<table>"), F.expr(f"repeat('{BULLETIN_ROW}', int(page_id % 4))"), F.lit("</table>")).alias("html")))

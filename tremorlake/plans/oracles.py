@@ -66,6 +66,10 @@ _PAYLOAD_MIX = f"""payloads AS (SELECT event_id AS seq, CASE event_id % 10
     WHEN 2 THEN '{{"Infogempa":{{"gempa":[]}}}}' WHEN 3 THEN '{{"Infogempa":{{"gempa":null}}}}'
     WHEN 4 THEN {_envelope("'[' || " + _quake('event_id // 2') + " || ',' || " + _quake('event_id // 2 + 1') + " || ']'")}
     WHEN 5 THEN '{{"Infogempa":{{}}}}'
+    WHEN 6 THEN CASE event_id % 50 WHEN 6 THEN '{{"Infogempa":{{"gempa":{{"a":1}}}}}},"x":1'
+        WHEN 16 THEN '{{"Infogempa":{{"gempa":{{"a":1}}}}}},"end":true}} junk' WHEN 26 THEN '1,"x":2'
+        WHEN 36 THEN '{{"Infogempa":{{"gempa":null}}}},"payload":{{"Infogempa":{{"gempa":[1]}}}}'
+        ELSE {_envelope(_quake('event_id // 2'))} END
     ELSE {_envelope(_quake('event_id // 2'))} END AS payload FROM events)"""
 
 #: From ``payloads``: outcome per payload, and ``raw_events``.
@@ -141,7 +145,7 @@ _PAGE_ROWS = r"""
 cells AS (SELECT event_id AS seq, event_id // 15 + 1 AS page_num, event_id % 15 AS pos,
     (event_id * 37) % 1700 - 1100 AS c, 9500 + (event_id * 53) % 9000 AS e FROM events),
 page_rows AS (SELECT page_num, pos, '<tr class="r">' || chr(10) || '<td>' || (pos + 1) ||
-    '</td><td>01/06/2026</td><td>12:00:00</td><td><b>' ||
+    '</td><td>' || CASE WHEN seq % 19 = 0 THEN '' ELSE '01/06/2026' END || '</td><td>12:00:00</td><td><b>' ||
     CASE WHEN seq % 23 = 0 THEN '2.5' WHEN seq % 29 = 0 THEN '1.2.3 LS'
         ELSE printf('%.2f', abs(c) / 100.0) || CASE WHEN c < 0 THEN ' LS' ELSE ' LU' END END ||
     '</b></td><td> ' ||
@@ -176,9 +180,11 @@ found AS (SELECT page_num, row_pos, cells[1] AS no, cells[2] AS tanggal, cells[3
     AND (dep = '' OR try_cast(dep AS DOUBLE) IS NOT NULL) AND (mag = '' OR try_cast(mag AS DOUBLE) IS NOT NULL))"""
 
 _QUAKE_PAGES = f"{_PAGE_ROWS}, html_pages AS (SELECT page_num, html FROM quake_pages)"
-_WEB_PAGES = "html_pages AS (SELECT page_id AS page_num, html FROM pages)"
+_BULLETIN = """html || '<table>' || repeat('<tr><td>1</td><td>01/06/2026</td><td>12:00:00</td><td>1.50 LS</td>' ||
+    '<td>100.25 BT</td><td>10 km</td><td>5.0</td><td>Laut</td></tr>', page_id % 4) || '</table>'"""
+_WEB_PAGES = f"html_pages AS (SELECT page_id AS page_num, {_BULLETIN} AS html FROM pages)"
 _BOTH_PAGES = (f"{_PAGE_ROWS}, html_pages AS (SELECT page_num, html FROM quake_pages "
-               "UNION ALL SELECT page_id, html FROM pages)")
+               f"UNION ALL SELECT page_id, {_BULLETIN} FROM pages)")
 _RECORDS = f"WITH {_QUAKE_PAGES}, {_EXTRACT}"
 _T4 = ("page_num, row_pos, no, tanggal, waktu, latitude, longitude, kedalaman_km, magnitudo, wilayah, source, "
        "scraped_at")
@@ -188,20 +194,24 @@ _COUNTS = """SELECT p.page_num, count(f.page_num) AS n_records FROM html_pages p
 _K = "event_id // 2"
 _KAFKA = f"""WITH records AS (SELECT event_id AS "offset", event_id // 2 AS k, event_id % 50 AS slot,
     'earthquake-events' AS topic, 0 AS partition_, CAST({_K} AS VARCHAR) AS key,
-    {_iso('event_id')} AS record_time,
+    {_iso('event_id')} || (['', '.041000', '.082000', '.123000'])[event_id % 4 + 1] AS record_time,
+    CASE WHEN event_id % 50 IN (7, 17, 27) THEN 'bad' ELSE '' END AS state,
     md5(CAST({_K} AS VARCHAR)) AS event_id, {_iso(_K)} || '+00:00' AS datetime,
     CAST({_lat(_K)} AS DOUBLE) AS latitude, CAST({_lon(_K)} AS DOUBLE) AS longitude,
-    CAST({_mag(_K)} AS DOUBLE) AS magnitude,
+    CASE event_id % 50 WHEN 21 THEN 0.00001::DOUBLE WHEN 31 THEN 12345678.9::DOUBLE WHEN 41 THEN NULL
+        ELSE CAST({_mag(_K)} AS DOUBLE) END AS magnitude,
+    CASE event_id % 50 WHEN 41 THEN 'True' WHEN 21 THEN '1e-05' WHEN 31 THEN '12345678.9'
+        ELSE CAST(CAST({_mag(_K)} AS DOUBLE) AS VARCHAR) END AS magnitude_text,
     {_dep(_K)} || CASE WHEN event_id % 50 = 13 THEN '.5' ELSE '' END AS depth,
     CASE WHEN event_id % 50 <> 11 THEN 'Pusat gempa di laut sebelah barat' END AS region,
     '' AS felt_intensity, 'BMKG_REALTIME' AS source, {_iso('event_id')} || '+00:00' AS ingested_at FROM events)"""
 
-_T2_SELECT = f"""{_KAFKA} SELECT CASE WHEN slot <> 7 THEN event_id END AS event_id,
-    CASE WHEN slot <> 7 THEN datetime END AS datetime, CASE WHEN slot <> 7 THEN latitude END AS latitude,
-    CASE WHEN slot <> 7 THEN longitude END AS longitude, CASE WHEN slot <> 7 THEN magnitude END AS magnitude,
-    CASE WHEN slot NOT IN (7, 13) THEN CAST(depth AS INTEGER) END AS depth,
-    CASE WHEN slot <> 7 THEN region END AS region, CASE WHEN slot <> 7 THEN felt_intensity END AS felt_intensity,
-    CASE WHEN slot <> 7 THEN source END AS source, CASE WHEN slot <> 7 THEN ingested_at END AS ingested_at
+_T2_SELECT = f"""{_KAFKA} SELECT CASE WHEN slot IN (17, 27) THEN 'a' WHEN slot <> 7 THEN event_id END AS event_id,
+    CASE WHEN state = '' THEN datetime END AS datetime, CASE WHEN state = '' THEN latitude END AS latitude,
+    CASE WHEN state = '' THEN longitude END AS longitude, CASE WHEN state = '' THEN magnitude END AS magnitude,
+    CASE WHEN state = '' AND slot <> 13 THEN CAST(depth AS INTEGER) END AS depth,
+    CASE WHEN state = '' THEN region END AS region, CASE WHEN state = '' THEN felt_intensity END AS felt_intensity,
+    CASE WHEN state = '' THEN source END AS source, CASE WHEN state = '' THEN ingested_at END AS ingested_at
     FROM records"""
 
 _LOGS = f"""WITH logs AS (SELECT event_id AS "offset", 'system-logs' AS topic, 0 AS partition_,
@@ -240,6 +250,15 @@ ORACLES = {
     "dedup_first_seen": f"""{_EVENTS} SELECT seq, {_T1} FROM (SELECT *, row_number() OVER (PARTITION BY event_id
         ORDER BY seq) AS arrival FROM normalized) WHERE arrival = 1""",
     "dedup_stream": f"{_EVENTS} SELECT DISTINCT event_id FROM normalized",
+    "dedup_stream_batches": f"{_EVENTS} SELECT DISTINCT event_id FROM normalized",
+    "send_once": f"""{_EVENTS}, sent AS (SELECT 'BMKG_20260601000000_' || CAST(latitude AS VARCHAR) || '_' ||
+        CAST(longitude AS VARCHAR) AS key FROM normalized)
+        SELECT key, count(*) AS n_records, (SELECT count(*) FROM sent) AS sent, (SELECT count(*) FROM raw_events) AS found
+        FROM sent GROUP BY key""",
+    "landing_payloads": f"""{_EVENTS} SELECT 'FETCH_SUCCESS' AS outcome, count(DISTINCT seq // 1000) AS n_files,
+        count(*) AS n_raw FROM raw_events""",
+    "monitor_streams": """SELECT 'event_view' AS name, 'earthquake-events' AS topic, count(*) AS n_rows FROM events
+        WHERE event_id % 50 NOT IN (7, 17, 27) UNION ALL SELECT 'log_view', 'system-logs', count(*) FROM events""",
     "cycle_summary": f"""{_EVENTS}, {_cycles('''
         SELECT f.seq // 100 AS cycle, n.event_id FROM fields f LEFT JOIN normalized n ON n.seq = f.seq''')}
         SELECT cycle, sent, skipped, total_unique FROM cycles""",
@@ -249,13 +268,16 @@ ORACLES = {
         ',"magnitude":' || CAST(magnitude AS VARCHAR) || ',"depth":' || depth || ',"region":"' || region ||
         '","felt_intensity":"' || felt_intensity || '","shakemap":"","potensi":"","source":"' || source ||
         '","ingested_at":"' || ingested_at || '"}}' AS value FROM normalized""",
-    "kafka_malformed": """SELECT event_id AS "offset", '{bad' AS value FROM events WHERE event_id % 50 = 7""",
+    "kafka_malformed": """SELECT event_id AS "offset", CASE event_id % 50 WHEN 7 THEN '{bad'
+        WHEN 17 THEN '{"event_id":"a"},"x":1' ELSE '{"event_id":"a"},"end":true} junk' END AS value
+        FROM events WHERE event_id % 50 IN (7, 17, 27)""",
     "stream_to_parquet": _T2_SELECT,
     "load_event_time": f"{_WAREHOUSE} SELECT * FROM warehouse",
     "load_sample": f"""{_EVENTS} SELECT event_id, datetime, magnitude, latitude, longitude, source FROM normalized
         ORDER BY event_id, datetime LIMIT 5""",
-    "load_counts": f"""{_EVENTS} SELECT 'source' AS counted, count(*) AS n_rows FROM normalized
-        UNION ALL SELECT 'table', count(*) FROM normalized UNION ALL SELECT 'nothing landed', 0""",
+    "load_counts": f"""{_EVENTS} SELECT 'written' AS counted, count(*) AS n_rows FROM normalized
+        UNION ALL SELECT 'table', count(*) FROM normalized UNION ALL SELECT 'newest', least(5, count(*)) FROM normalized
+        UNION ALL SELECT 'nothing landed', 0""",
     "load_newest_5": f"""{_WAREHOUSE} SELECT event_id, event_time, magnitude, region, source FROM warehouse
         ORDER BY event_time DESC NULLS LAST, event_id LIMIT 5""",
     "html_rows": f"{_RECORDS} SELECT page_num, row_pos, CAST(len(raw_cells) AS INTEGER) AS n_cells FROM tds",
@@ -274,20 +296,23 @@ ORACLES = {
     "archive_csv_roundtrip": f"""{_RECORDS} SELECT {_T4}, part FROM found
         CROSS JOIN (VALUES ('per page'), ('combined')) AS parts(part)""",
     "monitor_events": f"""{_KAFKA} SELECT topic, partition_ AS "partition", "offset", key, record_time, event_id, datetime,
-        CAST(magnitude AS VARCHAR) AS magnitude, CAST(latitude AS VARCHAR) || ', ' || CAST(longitude AS VARCHAR) AS location,
+        magnitude_text AS magnitude, CAST(latitude AS VARCHAR) || ', ' || CAST(longitude AS VARCHAR) AS location,
         depth || ' km' AS depth, coalesce(region, 'N/A') AS region, felt_intensity, source, ingested_at,
-        'Processed earthquake | id=' || left(event_id, 8) || '... | mag=' || CAST(magnitude AS VARCHAR) ||
+        'Processed earthquake | id=' || left(event_id, 8) || '... | mag=' || magnitude_text ||
         ' | lat=' || CAST(latitude AS VARCHAR) || ' lon=' || CAST(longitude AS VARCHAR) || ' | depth=' || depth ||
         'km | region=' || left(coalesce(region, 'N/A'), 30) || ' | offset=' || "offset" AS summary
-        FROM records WHERE slot <> 7""",
+        FROM records WHERE state = ''""",
     "monitor_events_brief": f"""{_KAFKA} SELECT topic, partition_ AS "partition", "offset", key, event_id, datetime,
-        CAST(magnitude AS VARCHAR) AS magnitude, CAST(latitude AS VARCHAR) || ', ' || CAST(longitude AS VARCHAR) AS location,
-        region FROM records WHERE slot <> 7""",
+        magnitude_text AS magnitude, CAST(latitude AS VARCHAR) || ', ' || CAST(longitude AS VARCHAR) AS location,
+        region FROM records WHERE state = ''""",
     "monitor_logs": f"""{_LOGS} SELECT topic, partition_ AS "partition", "offset", shown AS level, icon,
         '[' || icon || ' SYSTEM LOG - ' || shown || ']' AS title, "timestamp", service, log_type, message,
         'Processed log | level=' || shown || ' | service=' || service || ' | type=' || log_type || ' | msg=' ||
         left(message, 50) || ' | offset=' || "offset" AS summary FROM marked""",
     "monitor_logs_brief": f"""{_LOGS} SELECT topic, "offset", level, service, message FROM logs""",
-    "monitor_counts": """SELECT 'earthquake-events' AS topic, count(*) AS n_processed FROM events WHERE event_id % 50 <> 7
+    "monitor_counts": """SELECT 'earthquake-events' AS topic, count(*) AS n_processed FROM events
+        WHERE event_id % 50 NOT IN (7, 17, 27)
         UNION ALL SELECT 'system-logs', count(*) FROM events""",
 }
+# The streaming ingest writes the lines that the batch query makes.
+ORACLES["ingest_logs_stream"] = ORACLES["payload_outcome_logs"]

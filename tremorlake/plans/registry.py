@@ -2,14 +2,14 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tremorlake import schemas
+from tremorlake import jobs, schemas
 from tremorlake.operators import (codec, cycles, dedup, html_table, load, monitor, normalize, payload)
 from tremorlake.plans import inputs
 from tremorlake.session import work_folder
 from tremorlake.sinks import pages as page_sink
-from tremorlake.sources import lake
+from tremorlake.sources import lake, landing
 from tremorlake.streaming import queries as streams
 
 #: The run clock of every registered query.
@@ -89,6 +89,73 @@ def dedup_stream(spark, sf_dir):
     return spark.read.schema("event_id string").parquet(f"{folder}/ids")
 
 
+def _arriving(spark, slices, folder, start):
+    """Lands the slices one after the other; after each, a streaming query works off what is new."""
+    for part in slices:
+        part.write.mode("append").parquet(folder)
+        start(spark.readStream.schema(part.schema).parquet(folder)).awaitTermination()
+
+
+def dedup_stream_batches(spark, sf_dir):
+    """Ids the streaming ingest keeps when its payloads come in several micro-batches, out of order."""
+    folder = work_folder(spark, "dedup-batches")
+    _arriving(spark, inputs.event_slices(spark, sf_dir, 4, in_order=False), f"{folder}/events", lambda stream: streams.start_ingest(
+        inputs.raw_quakes(stream).select("arrived_at", "payload"),
+        lambda batch, _: batch.select("event_id").write.mode("append").parquet(f"{folder}/ids"),
+        f"{folder}/checkpoint", interval=None))
+    return spark.read.schema("event_id string").parquet(f"{folder}/ids")
+
+
+def ingest_logs_stream(spark, sf_dir):
+    """Log lines of every payload as the running ingest writes them, over several micro-batches."""
+    folder = work_folder(spark, "ingest")
+
+    def keep(part):
+        return lambda df, number: df.write.mode("overwrite").parquet(f"{folder}/{part}/batch={number}")
+
+    _arriving(spark, inputs.event_slices(spark, sf_dir, 3, in_order=True), f"{folder}/events", lambda stream: jobs.ingest(
+        inputs.raw_payload_mix(stream), "seq", keep("sent"), keep("logs"), folder, CLOCK, interval=None))
+    return spark.read.parquet(f"{folder}/logs").drop("batch")
+
+
+def send_once(spark, sf_dir):
+    """Records of the one-shot ingest by key, with how many of the events found were sent."""
+    folder = work_folder(spark, "send")
+    sent = Observation("sent")
+
+    def write(events):
+        codec.event_records(events).observe(sent, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+        return sent.get["n"]
+
+    quakes = inputs.raw_quakes(inputs.events(spark, sf_dir)).select("payload")
+    summary = jobs.send_once(quakes, write, CLOCK)
+    return spark.read.parquet(folder).groupBy("key").agg(F.count("*").alias("n_records")).select(
+        "*", F.lit(summary["sent"]).cast("bigint").alias("sent"), F.lit(summary["found"]).cast("bigint").alias("found"))
+
+
+def landing_payloads(spark, sf_dir):
+    """Payload files of a thousand events each, landed and read back."""
+    folder = work_folder(spark, "payloads")
+    single = F.regexp_replace(F.col("payload"), r'^\{"Infogempa":\{"gempa":(.*)\}\}$', "$1")
+    merged = inputs.raw_quakes(inputs.events(spark, sf_dir)).groupBy(F.expr("seq div 1000").alias("part")).agg(
+        F.concat(F.lit('{"Infogempa":{"gempa":['), F.array_join(F.collect_list(single), ","), F.lit("]}}")).alias("value"))
+    merged.repartition("part").write.partitionBy("part").text(folder)
+    return payload.unwrap(landing.payloads(spark, folder)).groupBy("outcome").agg(
+        F.count("*").alias("n_files"), F.sum(F.size("raw_events")).alias("n_raw"))
+
+
+def monitor_streams(spark, sf_dir):
+    """Both monitors running at once, landed as Parquet in place of a console."""
+    folder = work_folder(spark, "monitors")
+    quakes = inputs.kafka_quakes(inputs.events_stream(spark, sf_dir))
+    logs = inputs.kafka_logs(inputs.events_stream(spark, sf_dir))
+    for query in streams.start_monitors(quakes, logs, f"{folder}/checkpoint", None, "parquet", f"{folder}/views"):
+        query.awaitTermination()
+    views = [spark.read.parquet(f"{folder}/views/{name}").groupBy("topic").agg(F.count("*").alias("n_rows")).select(
+        F.lit(name).alias("name"), "topic", "n_rows") for name in ("event_view", "log_view")]
+    return views[0].unionByName(views[1])
+
+
 def cycle_summary(spark, sf_dir):
     ids = normalize.event_ids(_raw(spark, sf_dir))
     return cycles.cycle_summary(ids.select(F.floor(F.col("seq") / 100).alias("cycle"), "event_id"))
@@ -125,17 +192,19 @@ def load_sample(spark, sf_dir):
 
 
 def load_counts(spark, sf_dir):
-    """Rows before the load, rows read back after it, and rows of a source where nothing landed."""
-    events = _landed(spark, sf_dir)
+    """What the load job reports: rows written, rows and newest rows of the table, and a load of nothing."""
     folder = work_folder(spark, "load")
-    load.warehouse_rows(events).write.parquet(f"{folder}/table")
-    counted = {
-        "source": events,
-        "table": spark.read.schema(schemas.WAREHOUSE).parquet(f"{folder}/table"),
-        "nothing landed": lake.read_events(spark, f"{folder}/missing"),
-    }
-    parts = [load.row_count(df).select(F.lit(name).alias("counted"), "n_rows") for name, df in counted.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    table = f"{folder}/table"
+    _landed(spark, sf_dir).write.partitionBy("source").parquet(f"{folder}/events")
+
+    def run(path):
+        return jobs.load_events(spark, path, lambda rows: rows.write.parquet(table),
+                                lambda: jobs.check_table(spark.read.schema(schemas.WAREHOUSE).parquet(table)))
+
+    done, nothing = run(f"{folder}/events"), run(f"{folder}/missing")
+    counted = [("written", done["written"]), ("table", done["total"]), ("newest", len(done["newest"])),
+               ("nothing landed", nothing["written"])]
+    return spark.createDataFrame(counted, "counted string, n_rows bigint")
 
 
 def load_newest_5(spark, sf_dir):
@@ -170,7 +239,7 @@ def html_wanted_page_counts(spark, sf_dir):
 
 
 def html_web_page_counts(spark, sf_dir):
-    """Counts over the given web pages, which hold no bulletin table."""
+    """Counts over the given web pages, with a few bulletin rows behind each."""
     return html_table.page_counts(inputs.web_pages(spark, sf_dir))
 
 
@@ -189,7 +258,7 @@ def archive_html_roundtrip(spark, sf_dir):
 def archive_csv_roundtrip(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     folder = work_folder(spark, "csv")
-    page_sink.archive_records(pages, folder, CLOCK, pages_per_folder=1000)
+    page_sink.archive_records(pages, folder, CLOCK)
     parts = {"per page": f"{folder}/raw_csv", "combined": f"{folder}/combined/*"}
     found = [page_sink.read_records(spark, path).withColumn("part", F.lit(part))
              for part, path in parts.items()]
@@ -219,7 +288,8 @@ def monitor_counts(spark, sf_dir):
 QUERIES = {
     query.__name__: query for query in (
         payload_unwrap, payload_outcome_logs, normalize_events, normalize_rejects, normalize_time_id,
-        event_id_md5, dedup_first_seen, dedup_stream, cycle_summary, kafka_decode, kafka_encode,
+        event_id_md5, dedup_first_seen, dedup_stream, dedup_stream_batches, cycle_summary, ingest_logs_stream, send_once,
+        landing_payloads, monitor_streams, kafka_decode, kafka_encode,
         kafka_malformed, stream_to_parquet, load_event_time, load_sample, load_counts, load_newest_5,
         html_rows, html_cells, html_records, html_union_totals, html_page_counts,
         html_wanted_page_counts, html_web_page_counts, html_head_3, archive_html_roundtrip,

@@ -1,9 +1,8 @@
 """Session defaults and the shared work folder."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,29 +29,8 @@ def builder(app_name: str = "tremorlake", **extra: str) -> SparkSession.Builder:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``; only a local session without that setting (tests) gets a
-    temporary folder of its machine.
+    It lies under ``spark.checkpoint.dir``, or where that is unset under the session's warehouse, which
+    executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tremorlake-")
+    base = spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def spread_factor(scan: DataFrame, most: int = 16) -> int | None:
-    """How many tasks to spread a scan over, or None when its splits keep all cores busy already.
-
-    Parsing costs far more than reading here, and a compressed file may be one split. Each split is
-    spread over ``most`` tasks at most, so a small table does not flood a large cluster with tasks.
-    """
-    splits = scan.rdd.getNumPartitions()
-    tasks = min(scan.sparkSession.sparkContext.defaultParallelism, most * splits)
-    return tasks if tasks > splits else None
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """The rows of a scan with few splits, spread over the cores; a large scan is left as it is."""
-    tasks = spread_factor(scan)
-    return scan.repartition(tasks) if tasks else scan

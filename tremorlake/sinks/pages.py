@@ -2,12 +2,14 @@
 
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremorlake import schemas
 from tremorlake.operators import html_table
 
+#: Consecutive pages in one folder of an archive.
+PAGES_PER_FOLDER = 10_000
+
 _CSV = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false"}
 _CSV_SCHEMA = "page_num bigint, row_pos int, " + ", ".join(
@@ -23,7 +25,7 @@ def _in_folders(df: DataFrame, pages_per_folder: int) -> DataFrame:
     return foldered if pages_per_folder == 1 else foldered.hint("rebalance", "folder")
 
 
-def archive_html(pages: DataFrame, root: str, pages_per_folder: int = 10_000) -> None:
+def archive_html(pages: DataFrame, root: str, pages_per_folder: int = PAGES_PER_FOLDER) -> None:
     """Raw HTML as a table in folders of consecutive pages; empty bodies are skipped.
 
     Folders written again are replaced, others stay.
@@ -36,34 +38,34 @@ def archive_html(pages: DataFrame, root: str, pages_per_folder: int = 10_000) ->
 
 
 def read_html(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/raw_html").select("page_num", "html")
+    return spark.read.schema("page_num bigint, html string").parquet(f"{root}/raw_html")
 
 
-def archive_records(pages: DataFrame, root: str, run: datetime, pages_per_folder: int = 1) -> dict[str, int]:
+def archive_records(pages: DataFrame, root: str, run: datetime,
+                    pages_per_folder: int = PAGES_PER_FOLDER) -> dict[str, int]:
     """Records as CSV, per page and combined under the run's time; returns pages and records.
 
-    Nothing is written when there are no records. Records are extracted once and kept on executor
-    disk for the two writers; a lost executor only costs its share of the extraction. All records of
-    a page come from one task, so with one page per folder every page is one file without a shuffle.
+    Nothing is written when there are no records. Records are extracted once, for the combined table; the
+    folders of consecutive pages and the counts are made from that table. With one page per folder every page is
+    a folder of its own, all of which the driver lists.
     """
-    rows = html_table.records(pages, clock=run).persist(StorageLevel.DISK_ONLY)
-    try:
-        counts = html_table.count_totals(
-            rows.groupBy("page_num").agg(F.count("*").alias("n_records"))).first().asDict()
-        if counts["records"]:
-            (
-                _in_folders(rows, pages_per_folder).write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy("folder")
-                .options(**_CSV).csv(f"{root}/raw_csv")
-            )
-            rows.write.mode("errorifexists").options(**_CSV).csv(
-                f"{root}/combined/all_pages_combined_{run.strftime('%Y%m%d_%H%M%S')}")
-        return counts
-    finally:
-        rows.unpersist()
+    rows = html_table.records(pages, clock=run)
+    if rows.isEmpty():
+        return {"pages": 0, "records": 0}
+    combined = f"{root}/combined/all_pages_combined_{run.strftime('%Y%m%d_%H%M%S')}"
+    rows.write.mode("errorifexists").options(**_CSV).csv(combined)
+    written = read_records(rows.sparkSession, combined)
+    (
+        _in_folders(written, pages_per_folder).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("folder").options(**_CSV).csv(f"{root}/raw_csv")
+    )
+    return html_table.count_totals(
+        written.groupBy("page_num").agg(F.count("*").alias("n_records"))).first().asDict()
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Records from a CSV folder written above."""
-    return spark.read.schema(_CSV_SCHEMA).options(**_CSV, multiLine="true").csv(folder).select(
-        "page_num", "row_pos", *schemas.HISTORICAL.fieldNames())
+    """Records from a CSV folder written above. Text fields are never NULL there, so an empty one is the empty text."""
+    read = spark.read.schema(_CSV_SCHEMA).options(**_CSV, multiLine="true").csv(folder)
+    return read.select("page_num", "row_pos", *[
+        F.coalesce(f.name, F.lit("")).alias(f.name) if f.dataType == T.StringType() else F.col(f.name)
+        for f in schemas.HISTORICAL.fields])

@@ -4,8 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 EVENT_TOPIC = "earthquake-events"
 LOG_TOPIC = "system-logs"
-#: Records per trigger of a monitoring reader.
-MONITOR_BATCH = 100
 
 
 def options(servers: str, *topics: str, starting: str, group: str | None = None,
@@ -34,8 +32,11 @@ def batch(spark: SparkSession, servers: str, *topics: str) -> DataFrame:
 
 
 def monitor_streams(spark: SparkSession, servers: str, group: str,
-                    max_per_trigger: int = MONITOR_BATCH) -> tuple[DataFrame, DataFrame]:
-    """Event and log records from the earliest offset, each topic in a group of its own."""
+                    max_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Event and log records from the earliest offset, each topic in a group of its own.
+
+    A bound per trigger is a rate limit, so there is none unless the caller sets one.
+    """
     return tuple(
         stream(spark, servers, topic, starting="earliest", group=f"{group}-{suffix}",
                max_per_trigger=max_per_trigger)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tremorlake import schemas
 
 #: Conditions that mean "nothing landed yet"; any other failure is a failure.
-_NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_NOTHING_THERE = ("PATH_NOT_FOUND",)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -14,7 +14,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     names = schemas.STREAM_EVENT.fieldNames()
     try:
         # Partition discovery moves the partition column last, so columns are picked by name.
-        return spark.read.parquet(path).select(*names)
+        return spark.read.schema(schemas.STREAM_EVENT).parquet(path).select(*names)
     except AnalysisException as error:
         if error.getCondition() not in _NOTHING_THERE:
             raise

@@ -8,6 +8,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 from tremorlake.operators.cycles import SERVICE, fixed_lines, success_text
 
 
+#: Text of the line that reports rows which came after their id's memory was gone.
+LATE = "%d event terlambat dibuang"
+
+
 def lines_of(progress, service: str = SERVICE) -> list[dict[str, str]]:
     """Log lines of one micro-batch: one set per outcome that occurred, then the cycle summary."""
     metrics = progress.observedMetrics
@@ -23,6 +27,8 @@ def lines_of(progress, service: str = SERVICE) -> list[dict[str, str]]:
         # The last dedup step holds one row per id; an earlier, spread one holds more.
         held = min(op.numRowsTotal for op in progress.stateOperators)
         lines.append(("FETCH_SUCCESS", "INFO", success_text(sent, valid - sent, held)))
+    if late := sum(op.numRowsDroppedByWatermark for op in progress.stateOperators):
+        lines.append(("LATE_DROPPED", "WARNING", LATE % late))
     now = datetime.now(timezone.utc).isoformat()
     return [{"timestamp": now, "service": service, "log_type": log_type, "level": level, "message": message}
             for log_type, level, message in lines]

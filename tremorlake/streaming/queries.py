@@ -21,7 +21,8 @@ DEBUG_INTERVAL = "10 seconds"
 LANDING_INTERVAL = "30 seconds"
 
 
-def _timed(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+def timed(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+    """Works off what is there and stops, or looks again every ``interval``."""
     return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
 
 
@@ -31,19 +32,21 @@ def land(events: DataFrame, path: str, checkpoint: str, interval: str | None = L
         events.writeStream.outputMode("append").format("parquet").partitionBy("source")
         .option("path", path).option("checkpointLocation", checkpoint)
     )
-    return _timed(writer, interval).start()
+    return timed(writer, interval).start()
 
 
 def show(events: DataFrame, checkpoint: str, interval: str | None = DEBUG_INTERVAL,
-         sink: str = "console", name: str | None = None) -> StreamingQuery:
-    """Print events in full as they come (``memory`` keeps them in a table instead)."""
+         sink: str = "console", name: str | None = None, path: str | None = None) -> StreamingQuery:
+    """Print events in full as they come (``memory`` keeps them in a table, a file format under ``path``)."""
     writer = (
         events.writeStream.outputMode("append").format(sink).option("truncate", "false")
         .option("checkpointLocation", checkpoint)
     )
     if name:
         writer = writer.queryName(name)
-    return _timed(writer, interval).start()
+    if path:
+        writer = writer.option("path", path)
+    return timed(writer, interval).start()
 
 
 def start_landing(records: DataFrame, path: str, checkpoint: str, debug: bool = True,
@@ -57,22 +60,26 @@ def start_landing(records: DataFrame, path: str, checkpoint: str, debug: bool =
     return queries
 
 
-def ingest_events(payloads: DataFrame, delay: str = "1 day", spread: int = 16) -> DataFrame:
+def ingest_events(payloads: DataFrame, delay: str = "30 days", spread: int = 16) -> DataFrame:
     """Typed, first-seen events of a payload stream with an ``arrived_at`` column.
 
+    Ids are remembered by the clock of the micro-batch that brought them, which is fixed when a batch is
+    planned and never runs backwards, so no payload is late, however old its file. An id is forgotten
+    ``delay`` after it was first seen, also when the feed still repeats it; it is then sent again.
+
     Counts of every micro-batch (outcomes, valid events, sent events) are observed on the way, so the
     cycle summary costs no pass of its own.
     """
     outcome = F.col("outcome")
-    unwrapped = unwrap(payloads).observe(
+    unwrapped = unwrap(payloads.withColumn("_seen_at", F.current_timestamp())).observe(
         "outcomes", *[F.count_if(outcome == o).alias(o) for o in (API_ERROR, FETCH_FAILED, NO_DATA)],
         F.count(F.lit(1)).alias("payloads"))
-    raw = explode_events(unwrapped).select("arrived_at", "event_pos", "raw")
+    raw = explode_events(unwrapped).select("arrived_at", "_seen_at", "event_pos", "raw")
     valid = normalize(raw).observe("valid", F.count(F.lit(1)).alias("n"))
     # Repeats of one event arrive at different times, which spreads a frequent id over the state.
     bucket = F.pmod(F.xxhash64("arrived_at", "event_pos"), F.lit(spread))
-    unique = first_seen_stream(valid, "arrived_at", delay, bucket)
-    return unique.observe("sent", F.count(F.lit(1)).alias("n")).drop("event_pos")
+    unique = first_seen_stream(valid, "_seen_at", delay, bucket)
+    return unique.observe("sent", F.count(F.lit(1)).alias("n")).drop("event_pos", "_seen_at")
 
 
 def start_ingest(payloads: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str,
@@ -82,7 +89,7 @@ def start_ingest(payloads: DataFrame, write_batch: Callable[[DataFrame, int], No
         ingest_events(payloads, **more).drop("arrived_at").writeStream.outputMode("append")
         .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     )
-    return _timed(writer, interval).start()
+    return timed(writer, interval).start()
 
 
 def count_processed(records: DataFrame, checkpoint: str, name: str, interval: str | None = POLL_INTERVAL,
@@ -92,16 +99,16 @@ def count_processed(records: DataFrame, checkpoint: str, name: str, interval: st
         monitor.processed_counts(records).writeStream.outputMode("complete").format(sink)
         .queryName(name).option("checkpointLocation", checkpoint)
     )
-    return _timed(writer, interval).start()
+    return timed(writer, interval).start()
 
 
 def start_monitors(event_records: DataFrame, log_records: DataFrame, checkpoint: str,
-                   interval: str | None = POLL_INTERVAL, sink: str = "console") -> list[StreamingQuery]:
-    """Both topics at once, each view in a query of its own."""
-    return [
-        show(monitor.event_view(event_records), f"{checkpoint}/events", interval, sink, "event_view"),
-        show(monitor.log_view(log_records), f"{checkpoint}/logs", interval, sink, "log_view"),
-    ]
+                   interval: str | None = POLL_INTERVAL, sink: str = "console",
+                   path: str | None = None) -> list[StreamingQuery]:
+    """Both topics at once, each view in a query of its own (file formats write folders under ``path``)."""
+    views = {"event_view": monitor.event_view(event_records), "log_view": monitor.log_view(log_records)}
+    return [show(view, f"{checkpoint}/{name}", interval, sink, name, path and f"{path}/{name}")
+            for name, view in views.items()]
 
 
 def wait(spark: SparkSession) -> None:
