@@ -16,6 +16,9 @@ HEADER_CELLS = ("", "NO")
 DEFAULT_REGION = "pusat"
 SOURCE = "berita_gempa"
 NUMBER = r"([\d.]+)"
+COORDINATE = rf"^{NUMBER}{WHITESPACE_CLASS}+"
+LATITUDE_SIDES, LONGITUDE_SIDES = "(LU|LS)", "(BT|BB)"
+SOUTH, WEST = "LS", "BB"
 #: Columns of the printed sample.
 SAMPLE_COLUMNS = ("no", "tanggal", "waktu", "latitude", "longitude", "magnitudo", "kedalaman_km", "wilayah")
 
@@ -49,13 +52,12 @@ _TOKENS = {"lat": "latitude", "lon": "longitude", "depth": "kedalaman_km", "mag"
 
 
 def _is_negative(cell: str, direction: str) -> Column:
-    return F.col(cell).rlike(rf"^{NUMBER}{WHITESPACE_CLASS}+{direction}")
+    return F.col(cell).rlike(COORDINATE + direction)
 
 
 def _read_rows(pages: DataFrame, html: str) -> DataFrame:
     """Record fields of every table row plus ``is_record``, false for rows that are none."""
     keep = [c for c in pages.columns if c != html] + ["row_pos"]
-    coordinate = rf"^{NUMBER}{WHITESPACE_CLASS}+"
     cells = _rows(pages, html).select(
         *keep, F.size("_raw").alias("n_cells"),
         *[_clean(F.get("_raw", F.lit(i))).alias(name) for name, i in _CELLS.items()])
@@ -63,8 +65,8 @@ def _read_rows(pages: DataFrame, html: str) -> DataFrame:
         *keep, "no", "tanggal", "waktu", "lat_cell", "lon_cell",
         _is_data(F.col("n_cells"), F.col("no")).alias("is_data"),
         F.when(F.col("n_cells") > MIN_CELLS, F.col("region_cell")).otherwise(F.lit(DEFAULT_REGION)).alias("wilayah"),
-        F.regexp_extract("lat_cell", coordinate + "(LU|LS)", 1).alias("lat"),
-        F.regexp_extract("lon_cell", coordinate + "(BT|BB)", 1).alias("lon"),
+        F.regexp_extract("lat_cell", COORDINATE + LATITUDE_SIDES, 1).alias("lat"),
+        F.regexp_extract("lon_cell", COORDINATE + LONGITUDE_SIDES, 1).alias("lon"),
         F.regexp_extract("depth_cell", NUMBER, 1).alias("depth"),
         F.regexp_extract("mag_cell", NUMBER, 1).alias("mag"))
     # No token at all ('') leaves the field NULL; a token that is no number spoils the row.
@@ -74,8 +76,8 @@ def _read_rows(pages: DataFrame, html: str) -> DataFrame:
     for token, name in _TOKENS.items():
         sound = sound & ((F.col(token) == "") | F.col(name).isNotNull())
     signed = {
-        "latitude": F.when(_is_negative("lat_cell", "LS"), -F.col("latitude")).otherwise(F.col("latitude")),
-        "longitude": F.when(_is_negative("lon_cell", "BB"), -F.col("longitude")).otherwise(F.col("longitude")),
+        "latitude": F.when(_is_negative("lat_cell", SOUTH), -F.col("latitude")).otherwise(F.col("latitude")),
+        "longitude": F.when(_is_negative("lon_cell", WEST), -F.col("longitude")).otherwise(F.col("longitude")),
     }
     return values.withColumn("is_record", F.coalesce(sound, F.lit(False))).withColumns(signed)
 

@@ -6,6 +6,11 @@ from tremorlake import schemas
 from tremorlake.functions.clock import event_time
 
 
+# The columns of the printed sample and of the check after a load.
+SAMPLE_COLUMNS = ("event_id", "datetime", "magnitude", "latitude", "longitude", "source")
+NEWEST_COLUMNS = ("event_id", "event_time", "magnitude", "region", "source")
+
+
 def with_event_time(events: DataFrame) -> DataFrame:
     """Add the parsed ``event_time``; the text stays as ``original_datetime``."""
     return (
@@ -16,7 +21,8 @@ def with_event_time(events: DataFrame) -> DataFrame:
 
 def warehouse_rows(events: DataFrame) -> DataFrame:
     """Events in the layout of the relational table."""
-    return with_event_time(events).select(*schemas.WAREHOUSE.fieldNames())
+    return events.select(*[event_time(F.col("datetime")).alias(name) if name == "event_time" else F.col(name)
+                           for name in schemas.WAREHOUSE.fieldNames()])
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -25,11 +31,11 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def sample(events: DataFrame, n: int = 5) -> DataFrame:
     """A few events in six columns, the same ones on every run."""
-    return events.select("event_id", "datetime", "magnitude", "latitude", "longitude", "source").orderBy(
+    return events.select(*SAMPLE_COLUMNS).orderBy(
         "event_id", "datetime").limit(n)
 
 
 def newest(rows: DataFrame, n: int = 5) -> DataFrame:
     """The latest events; those without a time come last, equal times go by id."""
-    return rows.select("event_id", "event_time", "magnitude", "region", "source").orderBy(
+    return rows.select(*NEWEST_COLUMNS).orderBy(
         F.col("event_time").desc_nulls_last(), "event_id").limit(n)

@@ -10,6 +10,9 @@ from tremorlake.operators.codec import decode_strict
 # The mark of each log level, and the one of any other level.
 LEVEL_ICONS = {"INFO": "[i]", "WARNING": "[!]", "ERROR": "[X]", "CRITICAL": "[!!]"}
 OTHER_ICON = "[i]"
+# The parts of the summary lines.
+EVENT_SUMMARY = ("Processed earthquake | id=", "... | mag=", " | lat=", " lon=", " | depth=", "km | region=", " | offset=")
+LOG_SUMMARY = ("Processed log | level=", " | service=", " | type=", " | msg=", " | offset=")
 
 EVENT_FIELDS = ["event_id", "datetime", "latitude", "longitude", "magnitude", "depth", "region",
                 "felt_intensity", "source", "ingested_at"]
@@ -20,6 +23,10 @@ def _or_none(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("None"))
 
 
+def _summary(parts: tuple[str, ...], *values: Column) -> Column:
+    return F.concat(*[c for part, value in zip(parts, values, strict=True) for c in (F.lit(part), value)])
+
+
 def _messages(records: DataFrame, fields: list[str]) -> DataFrame:
     """Decoded messages next to their queue position; records that are no JSON object are left out."""
     positions = records.select(
@@ -54,14 +61,9 @@ def event_view(records: DataFrame) -> DataFrame:
         or_na(F.col("felt_intensity")).alias("felt_intensity"),
         or_na(F.col("source")).alias("source"),
         or_na(F.col("ingested_at")).alias("ingested_at"),
-        F.concat(
-            F.lit("Processed earthquake | id="), F.substring(event_id, 1, 8),
-            F.lit("... | mag="), _or_none(F.col("magnitude")),
-            F.lit(" | lat="), _or_none(F.col("latitude")),
-            F.lit(" lon="), _or_none(F.col("longitude")),
-            F.lit(" | depth="), _or_none(F.col("depth")),
-            F.lit("km | region="), F.substring(region, 1, 30),
-            F.lit(" | offset="), F.col("_offset").cast("string"),
+        _summary(
+            EVENT_SUMMARY, F.substring(event_id, 1, 8), _or_none(F.col("magnitude")), _or_none(F.col("latitude")),
+            _or_none(F.col("longitude")), _or_none(F.col("depth")), F.substring(region, 1, 30), F.col("_offset").cast("string"),
         ).alias("summary"),
     )
 
@@ -94,12 +96,9 @@ def log_view(records: DataFrame) -> DataFrame:
         or_na(F.col("service")).alias("service"),
         or_na(F.col("log_type")).alias("log_type"),
         message.alias("message"),
-        F.concat(
-            F.lit("Processed log | level="), level,
-            F.lit(" | service="), _or_none(F.col("service")),
-            F.lit(" | type="), _or_none(F.col("log_type")),
-            F.lit(" | msg="), F.substring(message, 1, 50),
-            F.lit(" | offset="), F.col("_offset").cast("string"),
+        _summary(
+            LOG_SUMMARY, level, _or_none(F.col("service")), _or_none(F.col("log_type")), F.substring(message, 1, 50),
+            F.col("_offset").cast("string"),
         ).alias("summary"),
     )
 

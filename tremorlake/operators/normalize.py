@@ -12,6 +12,7 @@ from tremorlake.functions.variants import is_text, text_of, text_or
 SOURCE = "BMKG_REALTIME"
 UNKNOWN_REGION = "Tidak diketahui"
 
+# The keys of a raw event.
 _KEYS = ("DateTime", "Tanggal", "Jam", "Coordinates", "Magnitude", "Kedalaman", "Wilayah",
          "Dirasakan", "Shakemap", "Potensi")
 

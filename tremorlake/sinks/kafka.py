@@ -10,13 +10,14 @@ from tremorlake.operators.codec import event_records, log_records
 from tremorlake.sources.kafka import EVENT_TOPIC, LOG_TOPIC
 
 
+# Delivery settings of the running and of the one-shot ingest.
+RUNNING = {"kafka.acks": "all", "kafka.retries": "5", "kafka.retry.backoff.ms": "1000", "kafka.compression.type": "gzip"}
+ONE_SHOT = {"kafka.acks": "all", "kafka.retries": "3"}
+
+
 def options(servers: str, topic: str, one_shot: bool = False) -> dict[str, str]:
     """Sink options: full acknowledgement; the one-shot ingest retries less and does not compress."""
-    chosen = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all",
-              "kafka.retries": "3" if one_shot else "5"}
-    if not one_shot:
-        chosen |= {"kafka.retry.backoff.ms": "1000", "kafka.compression.type": "gzip"}
-    return chosen
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **(ONE_SHOT if one_shot else RUNNING)}
 
 
 def write_events(events: DataFrame, servers: str, topic: str = EVENT_TOPIC, one_shot: bool = False,

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremorlake.operators.load import NEWEST_COLUMNS
+
 TABLE = "earthquakes"
 
 
@@ -27,6 +29,6 @@ def check(spark: SparkSession, url: str, properties: dict[str, str], table: str
     """Rows of the table and its newest rows, both worked out by the database."""
     total = query(spark, url, properties, f"SELECT count(*) AS n_rows FROM {table}").first()["n_rows"]
     newest = query(spark, url, properties,
-                   f"SELECT event_id, event_time, magnitude, region, source FROM {table} "
+                   f"SELECT {', '.join(NEWEST_COLUMNS)} FROM {table} "
                    f"ORDER BY event_time DESC NULLS LAST, event_id LIMIT {n}").collect()
     return {"total": total, "newest": newest}
