@@ -23,6 +23,7 @@ from tremorlake.llm import (
     linking,
     near_join,
     packing,
+    prefilter,
     quality,
     substring_dedup,
     textkit,
@@ -496,3 +497,13 @@ def test_native_plans_have_no_python(spark, sf_dir):
     for name in ("op2_exact_dedup", "op8_license_scan"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_prefilter_splits_without_loss(spark):
+    rows = spark.range(50_000).withColumnRenamed("id", "k")
+    wanted = spark.range(0, 50_000, 37).selectExpr("id AS w").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS w"))
+    may, none = prefilter.split(rows, rows.k, wanted)
+    some = {r.k for r in may.collect()}
+    assert set(range(0, 50_000, 37)) <= some and len(some) < 1.02 * len(range(0, 50_000, 37)) + 50
+    assert none.count() + len(some) == 50_000
+    assert prefilter.split(rows, rows.k, wanted.limit(0))[0].count() == 0

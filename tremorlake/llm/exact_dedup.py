@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremorlake.llm import prefilter
 from tremorlake.session import work_folder
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -105,8 +106,12 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; one row for each distinct text."""
     index = build_index(docs, doc_id, text, capacity)
-    keep = index.select(F.col("keep_id").alias("__keep"), F.col("key").alias("__key"))
     hashed = docs.withColumn("__hash", F.xxhash64(normalised(F.col(text))))
-    kept = hashed.join(keep, hashed[doc_id].eqNullSafe(keep["__keep"]) & (F.col("__hash") == F.col("__key")), "left_semi")
+    copies = index.filter("group_size > 1")
+    several, single = prefilter.split(hashed, F.col("__hash"), copies.select("key"))
+    keep = index.select(F.col("keep_id").alias("__keep"), F.col("key").alias("__key"))
+    kept = several.hint("merge").join(
+        keep, several[doc_id].eqNullSafe(keep["__keep"]) & (F.col("__hash") == F.col("__key")), "left_semi")
     twins = Window.partitionBy(doc_id, "__hash").orderBy(doc_id)  # the join has dealt and sorted them so
-    return kept.withColumn("__twin", F.row_number().over(twins)).filter("__twin = 1").drop("__hash", "__twin")
+    once = kept.withColumn("__twin", F.row_number().over(twins)).filter("__twin = 1").drop("__twin")
+    return single.unionByName(once).drop("__hash")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm import linking
+from tremorlake.llm import linking, prefilter
 from tremorlake.llm.shipping import ship
 from tremorlake.llm.textkit import Words, as_bytes, mix, seeds, slices
 from tremorlake.session import work_folder
@@ -201,8 +201,9 @@ def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFra
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ids = wanted.select("first_id").distinct()
-    # Both sides are shuffled at any size: the plan that holds when the ids are too many to send to every task.
-    own = rows.hint("merge").join(ids, rows.doc_id.eqNullSafe(ids.first_id), "left_semi").select("text")
+    may, _ = prefilter.split(rows, F.col("doc_id"), ids)
+    # What is left is shuffled at any size: the plan that holds when ids are too many to send to every task.
+    own = may.hint("merge").join(ids, may.doc_id.eqNullSafe(ids.first_id), "left_semi").select("text")
     found = own.mapInPandas(run, "node string, shingles binary")
     return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
@@ -250,4 +251,5 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     """The rows of ``docs`` with the smallest id of their class, with their columns."""
     decided = _decided(docs, doc_id, text, threshold, tolerance)
     gone = decided.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["__gone"]), "left_anti")
+    may, stay = prefilter.split(docs, F.col(doc_id).cast("long"), gone)
+    return stay.unionByName(may.hint("merge").join(gone, may[doc_id].eqNullSafe(gone["__gone"]), "left_anti"))

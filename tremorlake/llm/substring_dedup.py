@@ -24,9 +24,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm import gear
+from tremorlake.llm import gear, prefilter
 from tremorlake.llm.shipping import ship
 from tremorlake.llm.textkit import Words, as_bytes, mix, seeds, slices
+from tremorlake.session import work_folder
 
 #: Words on either side among which a border has the least hash; the mean chunk holds ``2 * REACH + 1``.
 REACH = 3
@@ -128,12 +129,16 @@ def _cut(batch: pd.DataFrame, reach: int) -> Iterator[pd.DataFrame]:
 
 def _with_cuts(docs: DataFrame, doc_id: str, text: str, reach: int, least_words: int) -> DataFrame:
     """``docs`` with __words, __ids and, where passages go, __cut (text, spans)."""
-    found = passages(docs, doc_id, text, reach, least_words).groupBy("id", "text_hash").agg(
+    folder = work_folder(docs.sparkSession, "substring-dedup")
+    passages(docs, doc_id, text, reach, least_words).groupBy("id", "text_hash").agg(
         F.collect_list(F.struct("first_place", "last_place")).alias("__runs"), F.sum("words").alias("__words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("original_ids")))).alias("__ids")
-    ).withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
-    same: Column = (F.coalesce(docs[doc_id].cast("long"), F.lit(LAST_ID)) == found["__id"]) & (
-        F.xxhash64(docs[text]) == found["__hash"])
+    ).withColumnsRenamed({"id": "__id", "text_hash": "__hash"}).write.parquet(folder)
+    found = docs.sparkSession.read.parquet(folder)
+    key = F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), F.xxhash64(text))
+    may, untouched = prefilter.split(docs, key, found.select(F.xxhash64("__id", "__hash").alias("key")))
+    same: Column = (F.coalesce(may[doc_id].cast("long"), F.lit(LAST_ID)) == found["__id"]) & (
+        F.xxhash64(may[text]) == found["__hash"])
 
     @F.pandas_udf("text string, spans array<struct<start:long,end:long>>")
     def cut(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -143,8 +148,9 @@ def _with_cuts(docs: DataFrame, doc_id: str, text: str, reach: int, least_words:
             spans += some_spans
         return pd.DataFrame({"text": kept, "spans": spans})
 
-    joined = docs.join(found, same, "left").drop("__id", "__hash")
-    return joined.withColumn("__cut", cut(F.when(F.col("__runs").isNotNull(), docs[text]), F.col("__runs")))
+    joined = may.hint("merge").join(found, same, "left").drop("__id", "__hash")
+    joined = joined.withColumn("__cut", cut(F.when(F.col("__runs").isNotNull(), F.col(text)), F.col("__runs")))
+    return joined.unionByName(untouched, allowMissingColumns=True)
 
 
 def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH,
