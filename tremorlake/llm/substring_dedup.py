@@ -93,8 +93,8 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach:
         .filter("times > 1").select(F.col("digest").alias("__digest"), "original"))
     repeated = all_chunks.join(known, F.col("digest") == F.col("__digest")).filter(
         F.struct("id", "text_hash", "place") != F.col("original"))
-    own = repeated.distinct().groupBy("id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("place", "words", F.col("original.id").alias("original_id")))).alias("chunks"))
+    own = repeated.groupBy("id", "text_hash").agg(  # a set: rows that repeat a document repeat its chunks
+        F.array_sort(F.collect_set(F.struct("place", "words", F.col("original.id").alias("original_id")))).alias("chunks"))
 
     # Runs of places that follow one another share the difference between place and rank.
     ranked = own.select("id", "text_hash", F.posexplode("chunks").alias("rank", "chunk")).select(
