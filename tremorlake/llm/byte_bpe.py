@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable
 
 #: Parts remembered in one Python worker, in each of two generations.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: From here on (end of the Latin blocks) the two libraries' character classes may differ.
 _BEYOND_LATIN = "ɐ"
 #: Fixed value: how a byte-level vocabulary cuts text before merging.

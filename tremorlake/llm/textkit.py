@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Bytes of text handled at once; a longer text is handled alone and whole.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _SAME = np.arange(256, dtype=np.uint8)
 _LOWER = _SAME.copy()
