@@ -1,4 +1,4 @@
-"""Makes this package importable in Python workers, wherever the driver found it."""
+"""Prepares a session for operators that run Python in tasks."""
 
 import os
 import tempfile
@@ -6,12 +6,18 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Bytes of rows that reach a Python worker at once, unless the session was started with a bound of its own. Texts
+#: are held several times over on their way, so large batches cost an executor much memory and gain nothing.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
 _DONE: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends the package's source to the executors, once per application."""
+    """Makes this package importable in Python workers, wherever the driver found it, and bounds their batches."""
     context = spark.sparkContext
+    if not context.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if context.applicationId not in _DONE:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="tremorlake-"), "tremorlake_source.zip")
