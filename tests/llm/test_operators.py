@@ -234,6 +234,19 @@ def test_packer_tiers_and_groups():
     assert loads.max() - loads.min() <= 1024 and rows.tier.nunique() > 2
 
 
+def test_packer_pads_nothing_however_few_documents():
+    for seed in range(200):
+        rng = random.Random(seed)
+        packer, windows, total = packing.Packer(0), [], 0
+        for k in range(rng.randint(0, 12)):
+            n = rng.choice([1, 5, 63, 64, 65, 130, 300, 513, 1023, 1024, 1025, 3000])
+            total += n
+            windows += packer.add(k, np.arange(n, dtype="<u4").tobytes())
+        windows += packer.finish()
+        assert sum(length for length, _ in windows) == total
+        assert all(length & (length - 1) == 0 and sum(len(p[2]) // 4 for p in pieces) == length for length, pieces in windows)
+
+
 def test_byte_bpe_equals_the_library(texts):
     odd = ["", " ", "a  b", "a\n\nb", " x", "x ", "a\nb c\td", "<|endoftext|> hi", "it's 's  'll\n x", "é́ a b", "漢字 カナ x"]
     given = [*texts.values(), *odd]

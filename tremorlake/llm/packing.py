@@ -56,7 +56,7 @@ class Packer:
         self.window, self.smallest = window, smallest
         self.tiers = tiers(window, smallest)
         self.waiting: dict[int, deque] = {t: deque() for t in self.tiers}
-        self.held = 0
+        self.tokens = dict.fromkeys(self.tiers, 0)  # that wait, by tier
         self.next_id = self.next_group = first_id
 
     def _tier(self, tokens: int) -> int:
@@ -70,16 +70,17 @@ class Packer:
             yield self.window, [(doc_id, at // 4, ids[at:at + step], total)]
         if whole < len(ids):
             self._wait((doc_id, whole // 4, ids[whole:], total))
-        if self.held > HELD:
+        if sum(self.tokens.values()) > HELD:
             yield from self.pack(keep=HELD // 2)
 
     def _wait(self, piece) -> None:
-        self.waiting[self._tier(len(piece[2]) // 4)].append(piece)
-        self.held += len(piece[2]) // 4
+        tier = self._tier(len(piece[2]) // 4)
+        self.waiting[tier].append(piece)
+        self.tokens[tier] += len(piece[2]) // 4
 
     def _take(self, tier: int):
         piece = self.waiting[tier].popleft()
-        self.held -= len(piece[2]) // 4
+        self.tokens[tier] -= len(piece[2]) // 4
         return piece
 
     def _fill(self, gap: int, longest: int) -> list:
@@ -100,7 +101,9 @@ class Packer:
     def pack(self, keep: int = 0) -> Iterator[tuple[int, list]]:
         """Packs tier after tier, longest first, until at most ``keep`` tokens wait."""
         for tier in self.tiers:
-            while self.waiting[tier] and self.held >= max(tier, keep):
+            # Only windows that this tier and the shorter ones can fill are opened.
+            while (self.waiting[tier] and sum(self.tokens[t] for t in self.tiers if t <= tier) >= tier
+                   and sum(self.tokens.values()) >= keep):
                 first = self._take(tier)
                 yield tier, [first, *self._fill(tier - len(first[2]) // 4, tier)]
 
