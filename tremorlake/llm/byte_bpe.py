@@ -12,7 +12,7 @@ faster on short strings; all else by tokenizers. Tests hold the ids of both agai
 import json
 from collections.abc import Callable
 
-#: Parts remembered in one Python worker, in each of two generations.
+#: Parts remembered in one task, in each of two generations.
 REMEMBERED = 150_000
 #: From here on (end of the Latin blocks) the two libraries' character classes may differ.
 _BEYOND_LATIN = "ɐ"
@@ -60,8 +60,6 @@ class _Encoder:
         ranks = {bytes(map(of.__getitem__, token)): rank for token, rank in layout["model"]["vocab"].items()
                  if token not in self.special}
         self.merger = tiktoken.Encoding("byte_bpe", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.spaced = Memory(lambda part: self._part(" " + part))
-        self.bare = Memory(self._part)
 
     def _ids(self, ids: list[int]) -> bytes:
         return b"".join([i.to_bytes(4, "little") for i in ids])
@@ -72,13 +70,18 @@ class _Encoder:
     def _part(self, part: str) -> bytes:
         return self._ids(self.merger.encode_ordinary(part)) if max(part) < _BEYOND_LATIN else self.whole(part)
 
-    def encode(self, text: str) -> bytes:
+    def for_task(self) -> Callable[[list[str]], list[bytes]]:
+        """Encodes texts with a memory that ends with the task, so it doesn't weigh on later stages."""
+        spaced, bare = Memory(lambda part: self._part(" " + part)), Memory(self._part)
+        return lambda texts: [self.encode(t, spaced, bare) for t in texts]
+
+    def encode(self, text: str, spaced: Memory, bare: Memory) -> bytes:
         plain = (text and text[0] not in " \n" and text[-1] not in " \n" and "  " not in text and "\n\n" not in text
                  and " \n" not in text and "\n " not in text and not any(s in text for s in self.special)
                  and sum(map(len, text.split())) == len(text) - text.count(" ") - text.count("\n"))
         if not plain:
             return self.whole(text)
-        out, spaced, bare = [], self.spaced, self.bare
+        out: list[bytes] = []
         for line in text.split("\n"):
             if out:
                 out.append(bare["\n"])
@@ -97,7 +100,6 @@ def encoder(path: str) -> Callable[[], Callable[[list[str]], list[bytes]]]:
     def make() -> Callable[[list[str]], list[bytes]]:
         if path not in _ENCODERS:
             _ENCODERS[path] = _Encoder(path)
-        encode = _ENCODERS[path].encode
-        return lambda texts: [encode(t) for t in texts]
+        return _ENCODERS[path].for_task()
 
     return make
