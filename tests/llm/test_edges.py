@@ -87,6 +87,25 @@ def test_near_join_decisions(documents, odd_rows):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 2, 3, 4, 5, 8, 10, 12]
 
 
+def test_near_copies_with_null_and_repeated_ids(documents):
+    base = [f"w{i}" for i in range(60)]
+    text = {k: " ".join([f"{k}{i}" for i in range(60)]) for k in "abcde"}
+    near = " ".join([*base[:59], "x"])
+    nulls = [" ".join(["n", *(f"n{i}" for i in range(60)), f"end{k}"]) for k in range(3)]
+    rows = [(1, " ".join(base)), (None, near), (None, text["a"]), (None, text["b"]), (None, None), (None, " "),  # one near copy
+            (7, near.upper()), (7, text["c"]), (7, ""),  # an id that unlike texts share
+            (9, text["d"]), (9, text["d"].upper()), (9, text["d"] + " y"),  # near copies under one id
+            *[(None, n) for n in nulls], (None, nulls[0].upper()),  # a class without any id
+            (11, text["e"])]
+    left = [(r.doc_id, r.text) for r in near_join.one_of_each(documents(rows)).collect()]
+    for row in ((1, " ".join(base)), (None, text["a"]), (None, text["b"]), (None, None), (None, " "), (7, text["c"]), (7, ""),
+                (11, text["e"])):
+        assert left.count(row) == 1, row
+    assert [i for i, t in left if t and t.lower().startswith("d0 ")] == [9]
+    assert [i for i, t in left if t and t.lower().startswith("n n0 ")] == [None]
+    assert len(left) == 10
+
+
 def test_packing_odd_rows(documents, odd_rows):
     out = packing.pack(documents(odd_rows), byte_bpe.encoder(BYTES)).collect()
     assert sum(r.length for r in out if r.doc_id == 1) == 1

@@ -18,15 +18,16 @@ the square of its different texts, spread over tasks.
 
 Defined results: a text without words links with nothing and is its own class; texts equal up to case, signs and white space link;
 a null ``doc_id`` is larger than any other; rows that repeat ``doc_id`` and text count as copies; an empty table gives an
-empty result; other columns, of whatever name, pass through ``one_of_each``.
+empty result; other columns, of whatever name, pass through ``one_of_each``. That leaves one row of each class and decides
+by id and set, so texts that share an id, or have none, stand or go each by themselves.
 """
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm import linking, prefilter
@@ -211,10 +212,21 @@ def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFra
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
          tolerance: float = TOLERANCE) -> DataFrame:
     """doc_id, class_id (smallest doc_id reachable over links), n_links (other rows linked directly) and kept."""
-    return _decided(docs, doc_id, text, threshold, tolerance).select("doc_id", "class_id", "n_links", "kept")
+    rows, named, stored = _named_classes(docs, doc_id, text, threshold, tolerance)
+    smallest = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    decided = stored(named.join(smallest, "root").select(
+        "node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        (F.col("first_id").eqNullSafe(F.col("class_id"))).alias("first")), "decided")
+    out = rows.select("doc_id", "node").join(decided, "node", "left")
+    return out.select(
+        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        (F.col("node").isNull() | (F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"))
 
 
-def _decided(docs: DataFrame, doc_id: str, text: str, threshold: float, tolerance: float) -> DataFrame:
+def _named_classes(docs: DataFrame, doc_id: str, text: str, threshold: float,
+                   tolerance: float) -> tuple[DataFrame, DataFrame, Callable[[DataFrame, str], DataFrame]]:
+    """Rows (doc_id, node); their classes with copies, first_id, links to others and root; and what stores a table."""
     spark, folder = ship(docs.sparkSession), work_folder(docs.sparkSession, "near-join")
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -234,22 +246,38 @@ def _decided(docs: DataFrame, doc_id: str, text: str, threshold: float, toleranc
     found = linking.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), f"{folder}/links")
     named = classes.select("node", "copies", "first_id").join(found, "node", "left").join(links, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    named = stored(named, "named")
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    decided = stored(named.join(smallest, "root").select(
-        "node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        (F.col("first_id").eqNullSafe(F.col("class_id"))).alias("first")), "decided")
-    out = rows.select("doc_id", "node").join(decided, "node", "left")
-    return out.select(
-        "doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        (F.col("node").isNull() | (F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"))
+    return rows, stored(named, "named"), stored
+
+
+def _key(doc_id: Column, node: Column) -> Column:
+    return F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("none")), node)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                 tolerance: float = TOLERANCE) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class, with their columns."""
-    decided = _decided(docs, doc_id, text, threshold, tolerance)
-    gone = decided.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    may, stay = prefilter.split(docs, F.col(doc_id).cast("long"), gone)
-    return stay.unionByName(may.hint("merge").join(gone, may[doc_id].eqNullSafe(gone["__gone"]), "left_anti"))
+    """One row of each class of ``docs``, with its columns: the smallest id, of texts that share it or have none the smallest node."""
+    rows, named, stored = _named_classes(docs, doc_id, text, threshold, tolerance)
+    groups = named.filter("copies > 1 OR links IS NOT NULL")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("one")).select(
+        F.col("one.node").alias("__first"))
+    stays = F.col("__first").isNotNull() & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    members = rows.select("doc_id", "node").join(groups.select("node", "first_id").join(
+        first, F.col("node") == F.col("__first"), "left"), "node")
+    # Rows that go, and rows that stand for a class but repeat both id and set.
+    marks = stored(members.select("doc_id", "node", stays.alias("stays")).groupBy("doc_id", "node", "stays").count().filter(
+        "NOT stays OR count > 1").select("doc_id", _key(F.col("doc_id"), F.col("node")).alias("__gone"), "stays"), "marks")
+    gone = marks.filter("NOT stays").select("__gone")
+    may, stay = prefilter.split(docs, F.col(doc_id).cast("long"), marks.select("doc_id").distinct())
+
+    @F.pandas_udf("string")
+    def node_of(texts: pd.Series) -> pd.Series:
+        names = [nodes(hashes, begin) for hashes, begin, _ in shingle_sets(as_bytes(texts))]
+        return pd.Series([name for part in names for name in part], dtype=object)
+
+    # Texts without words have no node: a key of their own each.
+    own = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
+    may = may.withColumn("__node", node_of(F.col(text).cast("string"))).withColumn("__key", F.when(
+        F.col("__node").isNull(), own).otherwise(_key(F.col(doc_id).cast("long"), F.col("__node"))))
+    # Repeats leave inside map tasks, before the shuffle.
+    left = may.dropDuplicates(["__key"]).hint("merge").join(gone, F.col("__key") == F.col("__gone"), "left_anti")
+    return stay.unionByName(left.drop("__node", "__key"))
