@@ -104,6 +104,20 @@ def test_html_text():
     assert render("<b>one<p>two</b>three</p>four") == "one\n\ntwothree\n\nfour"
 
 
+def test_html_foreign_and_raw_text():
+    assert render("<p>a <svg><title>no</title><path d='M0'/><defs><text>no</text></defs><text x=1>one<tspan dy=2>two</tspan></text>"
+                  "no</svg> b") == "a one two b"
+    assert render("<body><svg class=\"i\"/><p>all the rest<p>more") == "all the rest\n\nmore"
+    assert render("<svg viewBox=0/><text>in</text></svg>") == "in"
+    assert render("<svg><image href=\"a?b=c\"/></svg><svg><image href='a?b=c'/><p>rest") == "rest"
+    assert render("<svg><style/><title/><text>t &lt; <![CDATA[u > v]]></text><foreignObject><div>w</div></foreignObject></svg>x") == (
+        "t < u > v\nw\nx")
+    assert render("<div><svg><g><path><p>broken out</div>end") == "broken out\n\nend"
+    assert render("f <math><mi>x</mi><mo>=</mo>\n<mfrac><mn>1</mn><mn>2</mn></mfrac><mtext>if <b>y</b></mtext><mspace/>"
+                  "<annotation>no</annotation></math>.") == "f x = 1 2 if y ."
+    assert render("a<xmp>x <b>\n  &lt;</xmp>b") == "a\nx <b>\n  &lt;\nb"
+
+
 def test_html_keeps_all_visible_words(spark, sf_dir):
     got = {r.page_id: r.text for r in QUERIES["op1_html_render"](spark, sf_dir).collect()}
     for page in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():

@@ -9,7 +9,9 @@ lone cell) and closes what is left open. The tree is then laid out:
 * blocks begin on a line of their own; paragraphs, headings, lists and tables keep one empty line around them;
 * list items get a bullet or their number and are indented by depth;
 * cells of a table are aligned in columns, the lines of a cell one below the other, ``colspan`` counted;
-* white space collapses to one space but in ``pre`` and ``textarea``; a no-break space stays a space.
+* of an svg the text elements and foreign objects are shown, of a formula all tokens with a space between them; what they
+  only define, name or annotate (``defs``, ``title``, ``annotation`` and the like) isn't, nor is a copy that ``use`` draws;
+* white space collapses to one space but in ``pre``, ``xmp`` and ``textarea``; a no-break space stays a space.
 
 Everything else that is text is emitted, boilerplate too: choosing among visible text is another operator's work. Pages are
 rendered row by row inside tasks, without recursion, so nesting of any depth is read.
@@ -33,7 +35,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 HIDDEN = frozenset("head script style template title noscript datalist audio video canvas iframe object noembed noframes "
-                   "svg math rp area param source track".split())
+                   "rp area param source track".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset".split())
 BLOCKS = SPACED | frozenset("address article aside body caption center dd details dialog dir div dt figcaption footer form "
                             "header hgroup html legend li listing main nav optgroup option plaintext search section "
@@ -54,6 +56,17 @@ ENDS = {
     **{h: ({"h1", "h2", "h3", "h4", "h5", "h6"}, BLOCKS - SPACED | {"table", "ul", "ol", "blockquote"})
        for h in ("h1", "h2", "h3", "h4", "h5", "h6")},
 }
+#: Elements of svg and math that show nothing themselves, those in which HTML may stand, and the tags that end foreign content.
+UNDRAWN = {
+    "svg": frozenset("defs symbol clippath mask marker pattern lineargradient radialgradient filter desc metadata".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+UNDRAWN["text"] = UNDRAWN["svg"]
+HTML_INSIDE = {"svg": frozenset("foreignobject desc title".split()), "text": frozenset("foreignobject desc title".split()),
+               "math": frozenset("mi mo mn ms mtext annotation-xml".split())}
+TOKENS = HTML_INSIDE["math"]
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                       "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 P_SCOPE = frozenset("table td th caption button object template html body".split())
 
 #: Widest column that shorter cells are filled up to; a longer cell stands as it is.
@@ -65,16 +78,18 @@ _TAG = re.compile(r"""
     <(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>"'=]+|=\s*"[^"]*"|=\s*'[^']*'|["'=])*))(?:>|\Z)
 """, re.VERBOSE | re.DOTALL)
 _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_BARE_SLASH = re.compile(r"""=\s*[^\s"'>][^\s"'>]*/\Z""")
 _SPACE = re.compile("[ \t\n\r\f]+")
 _HIDE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.IGNORECASE)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    #: ``foreign`` is svg, text (from a text element of an svg on), math, or empty for HTML.
+    __slots__ = ("tag", "attrs", "children", "foreign")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], foreign: str = ""):
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -102,7 +117,24 @@ class Builder:
         if found:
             del self.open[found:]
 
-    def start(self, tag: str, attrs: dict[str, str]) -> None:
+    def foreign(self) -> str:
+        """The kind of foreign content that a tag read now would belong to."""
+        here = self.open[-1]
+        return "" if here.foreign and here.tag in HTML_INSIDE[here.foreign] else here.foreign
+
+    def start(self, tag: str, attrs: dict[str, str], closed: bool = False) -> Node:
+        if tag in BREAKS_OUT or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")):
+            while self.foreign():
+                self.open.pop()
+        kind = self.foreign()
+        if kind or tag in ("svg", "math"):
+            if self.open[-1].tag == "head":
+                self.open.pop()
+            node = Node(tag, attrs, tag if tag in ("svg", "math") else "text" if (kind, tag) == ("svg", "text") else kind)
+            self.open[-1].children.append(node)
+            if not closed:
+                self.open.append(node)
+            return node
         if self.open[-1].tag == "head" and tag not in HEAD:
             self.open.pop()
         if tag in CLOSES_P:
@@ -115,6 +147,7 @@ class Builder:
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+        return node
 
     def end(self, tag: str) -> None:
         inline = tag not in BLOCKS
@@ -134,6 +167,11 @@ class Builder:
         self.open[-1].children.append(text)
 
 
+def _self_closed(attrs: str | None) -> bool:
+    """Whether a start tag ends in a slash that isn't part of a value without quotes."""
+    return bool(attrs) and attrs.endswith("/") and not _BARE_SLASH.search(attrs)
+
+
 def parse(html: str) -> Node:
     builder, at, size = Builder(), 0, len(html)
     while at < size:
@@ -148,17 +186,25 @@ def parse(html: str) -> Node:
             continue
         if begin > at:
             builder.text(unescape(html[at:begin]))
+        if html.startswith("<![CDATA[", begin) and builder.open[-1].foreign:
+            until = html.find("]]>", begin)
+            builder.text(html[begin + 9:until if until >= 0 else size])
+            at = until + 3 if until >= 0 else size
+            continue
         at = found.end()
         if name := found["end"]:
             builder.end(name.lower())
         elif name := found["start"]:
             tag = name.lower()
-            builder.start(tag, _attributes(found["attrs"]) if found["attrs"] else {})
-            if tag in RAW:
+            attrs = found["attrs"]
+            node = builder.start(tag, _attributes(attrs) if attrs else {}, _self_closed(attrs))
+            if tag in RAW and not node.foreign:
                 close = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(html, at)
                 until = close.start() if close else size
                 if tag == "textarea":
                     builder.text(unescape(html[at:until]).removeprefix("\n"))
+                elif tag == "xmp":
+                    builder.text(html[at:until])
                 at = until
     return builder.root
 
@@ -259,8 +305,13 @@ class _Table:
 def _visibility(node: Node, shown: bool) -> tuple[bool, bool]:
     """Whether the element takes part in layout at all, and whether its own text is shown."""
     attrs = node.attrs
-    if node.tag in HIDDEN:
+    if node.tag in HIDDEN or node.foreign and node.tag in UNDRAWN[node.foreign]:
         return False, False
+    if node.foreign in ("svg", "text") and attrs:
+        if attrs.get("display", "").strip() == "none":
+            return False, False
+        if attrs.get("visibility", "").strip() in ("hidden", "collapse", "visible"):
+            shown = attrs["visibility"].strip() == "visible"
     if attrs:
         if "hidden" in attrs and attrs["hidden"].lower() != "until-found":
             return False, False
@@ -295,6 +346,21 @@ def render(html: str | None) -> str:
                 out.add(item, keep)
             continue
         tag = item.tag
+        if item.foreign:
+            there, shown = _visibility(item, shown)
+            if there:
+                children, apart = item.children, True
+                if item.foreign == "svg" and tag != "foreignobject":  # outside of text elements nothing is drawn as text
+                    children, apart = [c for c in children if isinstance(c, Node)], False
+                elif item.foreign == "text":
+                    apart = tag == "text" or not item.attrs.keys().isdisjoint(("x", "y", "dx", "dy"))
+                elif item.foreign == "math" and tag not in TOKENS:
+                    apart = tag == "math"
+                if apart:
+                    out.add(" ", False)
+                    todo.append(lambda out=out: out.add(" ", False))
+                todo.extend((child, shown, keep) for child in reversed(children))
+            continue
         there, shown = _visibility(item, shown)
         if not there:
             continue
