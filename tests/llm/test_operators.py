@@ -194,6 +194,22 @@ def test_passages_go_and_clean_texts_stay(spark, documents):
             assert " ".join(passage[20:35]) not in left and got[i].removed_words >= 24 and i // 3 * 3 in got[i].original_ids
 
 
+def test_borders_follow_words_alone(spark, documents):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(words), ", ".join(words).upper() + ".", "\n".join(" ".join(words[i:i + 7]) for i in range(0, 300, 7)),
+             "((" + " -- ".join(w.title() for w in words)]
+    c = substring_dedup.Chunks([t.encode() for t in ["", *texts, "...", texts[0]]])
+    parts = [c.digest[c.doc == k].tolist() for k in (1, 2, 3, 4, 6)]
+    assert len(parts[0]) > 30 and all(p == parts[0] for p in parts)
+    assert len(substring_dedup.Chunks([b"", b"... "]).digest) == 0
+    passage = words[:60]
+    rows = [(k, f"w{k} x{k} y{k} {join(passage)} z{k} u{k} v{k}") for k, join in enumerate(
+        [" ".join, ";\n".join, lambda p: "-".join(p).upper()])]
+    got = {r.doc_id: r for r in substring_dedup.dedup(documents(rows)).collect()}
+    assert got[0].removed_words == 0 and all(got[k].removed_words >= 24 and got[k].original_ids == [0] for k in (1, 2))
+
+
 # 4
 
 def _check_packing(rows, ids):

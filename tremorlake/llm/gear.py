@@ -35,7 +35,7 @@ def word_cuts(data: np.ndarray, start: np.ndarray, doc: np.ndarray, reach: int)
 
     A word begins a chunk when the hash just before it is below those of the ``reach`` words before it and
     not above those of the ``reach`` words after it, within its text. ``start`` and ``doc`` are each word's
-    first byte and text.
+    first byte in ``data`` and text; equal words have equal borders if ``data`` is :func:`textkit.Words.stream`.
     """
     if not len(start):
         return np.zeros(0, dtype=np.int64)

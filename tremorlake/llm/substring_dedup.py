@@ -1,9 +1,9 @@
 """Substring dedup by content-defined chunks.
 
-A gear rolling hash over the bytes of a text picks the words that begin a chunk: those at a local minimum of the
-hash, so borders depend on a few words around them and an insertion shifts none beyond its neighbourhood. Chunks
-hold seven words on average. A chunk is known by the digest of its words (:mod:`textkit`, so case, signs and
-white space don't count). The first occurrence of a digest, by doc_id and place, is the original and always stays.
+A gear rolling hash over the words of a text, in small letters with one space between, picks the words that begin a
+chunk: those at a local minimum of the hash, so borders depend on a few words around them and an insertion shifts none
+beyond its neighbourhood. Chunks hold seven words on average. A chunk is known by the digest of its words
+(:mod:`textkit`, so case, signs and white space count neither for borders nor for digests). The first occurrence of a digest, by doc_id and place, is the original and always stays.
 
 A passage is a run of chunks that follow one another and all occurred before. It is removed when it holds at
 least ``LEAST_WORDS`` words, which a repeated passage of over 50 words does after its first and last chunk, cut
@@ -44,7 +44,7 @@ class Chunks:
 
     def __init__(self, texts: list[bytes], reach: int = REACH):
         words = Words(texts)
-        first = gear.word_cuts(words.bytes, words.start, words.doc, reach)
+        first = gear.word_cuts(*words.stream(), words.doc, reach)
         last = np.concatenate([first[1:], [len(words.start)]]) if len(first) else first
         self.doc = words.doc[first]
         base = words.text_start[self.doc]

@@ -89,6 +89,18 @@ class Words:
         #: words[first[d]:first[d + 1]] belong to text d
         self.first = np.searchsorted(self.doc, np.arange(self.n_texts + 1))
 
+    def stream(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words alone, in small letters, a space after each and ``_BETWEEN`` before each text; and where each word begins."""
+        size = self.end - self.start
+        total = np.cumsum(size + 1)
+        begin = total - size - 1 + len(_BETWEEN) * (self.doc + 1)
+        out = np.full((int(total[-1]) if len(total) else 0) + len(_BETWEEN) * (self.n_texts + 1), ord(" "), dtype=np.uint8)
+        inside = np.zeros(len(self.bytes) + 1, dtype=np.int8)
+        inside[self.start], inside[self.end] = 1, -1
+        at = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
+        out[at + np.repeat(begin - self.start, size)] = _LOWER[self.bytes[at]]
+        return out, begin
+
     def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and text of every run of ``n`` words; a text with fewer words, but not none, has one run of all."""
         counts = np.diff(self.first)
