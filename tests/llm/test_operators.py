@@ -334,6 +334,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r.predicted for r in rows if not label[r.doc_id]]) < 0.02
 
 
+def test_toxicity_sample_bounds_rows(spark, documents):
+    free = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:30]
+    rows = [(i, f"word{i} text") for i in free] + [(free[0], f"other{k % 90} text") for k in range(900)]
+    labels = spark.createDataFrame([(i, i % 2) for i in free], "doc_id long, toxic int")
+    some = toxicity.sampled(documents(rows), labels, 40)
+    got = [(r.doc_id, bytes(r.terms)) for r in some.collect()]
+    assert len(got) == len(set(got)) == 40 and some.rdd.getNumPartitions() == 1
+    every = [(r.doc_id, bytes(r.terms)) for r in toxicity.sampled(documents(rows), labels).collect()]
+    assert len(every) == len(set(every)) == 120 and set(got) <= set(every)
+
+
 def test_toxicity_learns_pairs():
     rng = np.random.default_rng(2)
     sets, labels = [], []

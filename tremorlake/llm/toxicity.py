@@ -5,8 +5,8 @@ function of ``b + sum w_i + sum_(i<j) <v_i, v_j>`` over its terms: besides a wei
 ``FACTORS`` factors, so a pair of words can say more than its parts, as an insult beside the mention of a group.
 
 The machine learns by mini-batches with adaptive steps (AdaGrad) from a bounded sample of labelled rows:
-the ``SAMPLE`` rows with the smallest hash of their id, in one task that its input and seed determine. Near copies
-in the sample count once, so a copied text doesn't vote many times. Terms in fewer than ``LEAST_TEXTS`` texts, or
+the ``SAMPLE`` ids with the smallest hash, and of their rows with different terms again the ``SAMPLE`` with the smallest
+hash, in one task that its input and seed determine. Near copies in the sample count once, so a copied text doesn't vote many times. Terms in fewer than ``LEAST_TEXTS`` texts, or
 whose share of toxic texts is within ``SIGMAS`` standard deviations of the sample's, get no weight and no
 factors: a long text has thousands of terms that mean nothing. The model, ``BUCKETS x (FACTORS + 1)`` numbers
 whatever the corpus, goes to the tasks that score; scoring has no shuffle.
@@ -157,8 +157,8 @@ def learn(sets: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Machine:
     return machine
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
-    """The machine learned from labelled rows that are not held out, as bytes of a fixed length."""
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, toxic and terms of at most ``sample`` labelled rows that are not held out, in one partition."""
     ship(docs.sparkSession)
     rows = (labels.select(F.col("doc_id"), F.col("toxic").cast("double").alias("toxic"))
             .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -172,14 +172,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
             yield pd.DataFrame({"doc_id": batch.doc_id.to_numpy(), "toxic": batch.toxic.to_numpy(),
                                 "terms": [t.tobytes() for t in found]})
 
+    sets = texts.mapInPandas(term_sets, "doc_id long, toxic double, terms binary")
+    # An id may have any number of rows.
+    return (sets.groupBy("doc_id", "terms").agg(F.max("toxic").alias("toxic"))
+            .orderBy(F.xxhash64("doc_id", "terms"), "doc_id", "terms").limit(sample).coalesce(1))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
+    """The machine learned from labelled rows that are not held out, as bytes of a fixed length."""
+
     def machine(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = pd.concat([pd.DataFrame({"doc_id": [], "toxic": [], "terms": []}), *batches])
         held = held.sort_values(["doc_id", "terms"], kind="stable")
         learned = learn([np.frombuffer(t, dtype=np.int32) for t in held.terms], held.toxic.to_numpy() > 0)
         yield pd.DataFrame({"machine": [learned.to_bytes()]})
 
-    sets = texts.mapInPandas(term_sets, "doc_id long, toxic double, terms binary")
-    got = sets.repartition(1).mapInPandas(machine, "machine binary").collect()  # one row of a fixed length
+    got = sampled(docs, labels, sample).mapInPandas(machine, "machine binary").collect()  # one row of a fixed length
     return bytes(got[0].machine) if got else Machine(-30.0, np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS))).to_bytes()
 
 
