@@ -13,6 +13,7 @@ from tremorlake.llm import (
     exact_dedup,
     html_render,
     license_scan,
+    merkle_manifest,
     near_join,
     packing,
     quality,
@@ -70,6 +71,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    intact = [F.col(f) for f in merkle_manifest.FIELDS]
+    forged = [F.col(f) + 1 if f == "n_chars" else F.col(f) for f in merkle_manifest.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = F.when(tampered, merkle_manifest.leaf(forged)).otherwise(merkle_manifest.leaf(intact))
+    proofs = merkle_manifest.manifest(docs, claimed=claimed)
+    found = proofs.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+                          merkle_manifest.folded(F.col("claimed"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -124,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_quality": op10_quality,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -153,6 +167,34 @@ o AS (SELECT s.doc_id, coalesce(k.class_id, c.node, s.doc_id) AS class_id,
     FROM s LEFT JOIN c ON s.grams = c.grams LEFT JOIN k ON k.node = c.node LEFT JOIN d ON d.a = c.node)
 SELECT doc_id, class_id, n_links, doc_id = class_id AS kept FROM o""",
     "op8_license_scan": _license_sql(),
+    "op12_merkle_manifest": """
+WITH RECURSIVE bytes AS (SELECT *, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS b FROM documents),
+crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: list_reduce(list_prepend(xor(c, x), [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) AS crc FROM bytes),
+fields AS (SELECT doc_id, lang, crc % 7 = 0 AS tampered, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM crc),
+hashed AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS forged
+    FROM fields),
+leaves AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS g, leaf, coalesce(forged, leaf) AS claimed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed),
+nodes(g, level, i, h, n) AS (SELECT g, 0, i, leaf, count(*) OVER (PARTITION BY g) FROM leaves
+    UNION ALL SELECT g, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM nodes WHERE n > 1 GROUP BY g, level, i // 2),
+subroots AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, h, n) AS (SELECT 0, i, h, n FROM subroots
+    UNION ALL SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, i // 2),
+fold(r, g, level, i, h, proof, n) AS (SELECT r, l.g, 0, l.i, claimed, '', n FROM leaves l JOIN nodes o ON o.g = l.g AND o.level = 0 AND o.i = l.i
+    UNION ALL SELECT r, f.g, f.level + 1, f.i // 2,
+        sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.i < f.i THEN s.h || f.h ELSE f.h || s.h END), proof || coalesce(s.h, ''), (f.n + 1) // 2
+    FROM fold f LEFT JOIN nodes s ON s.g = f.g AND s.level = f.level AND s.i = xor(f.i, 1) WHERE f.n > 1),
+rise(r, level, i, h, proof, n) AS (SELECT r, 0, s.i, f.h, proof, s.n FROM fold f JOIN subroots s USING (g) WHERE f.n = 1
+    UNION ALL SELECT r, f.level + 1, f.i // 2,
+        sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.i < f.i THEN s.h || f.h ELSE f.h || s.h END), proof || coalesce(s.h, ''), (f.n + 1) // 2
+    FROM rise f LEFT JOIN tops s ON s.level = f.level AND s.i = xor(f.i, 1) WHERE f.n > 1),
+root AS (SELECT h FROM tops WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root.h AS root, sha256(rise.proof) AS proof_sha256, rise.h AS folded_root, rise.h = root.h AS verified
+FROM leaves JOIN rise USING (r) JOIN subroots s ON s.g = leaves.g CROSS JOIN root WHERE rise.n = 1""",
     "op9_vector_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 ok AS (SELECT * FROM v WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
