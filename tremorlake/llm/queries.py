@@ -17,6 +17,7 @@ from tremorlake.llm import (
     near_join,
     packing,
     quality,
+    ranked_search,
     substring_dedup,
     toxicity,
     vector_dedup,
@@ -83,6 +84,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -138,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vector_dedup": op9_vector_dedup,
     "op10_quality": op10_quality,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -167,6 +173,24 @@ o AS (SELECT s.doc_id, coalesce(k.class_id, c.node, s.doc_id) AS class_id,
     FROM s LEFT JOIN c ON s.grams = c.grams LEFT JOIN k ON k.node = c.node LEFT JOIN d ON d.a = c.node)
 SELECT doc_id, class_id, n_links, doc_id = class_id AS kept FROM o""",
     "op8_license_scan": _license_sql(),
+    "op13_ranked_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+k AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+q AS (SELECT i, item_id, unnest(list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+f AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM (
+    SELECT r, doc_id, len(words) AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM f GROUP BY term), k),
+s AS (SELECT i, item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM q JOIN f USING (term) JOIN w USING (term), k GROUP BY i, item_id, r),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0)
+SELECT * FROM o WHERE rank <= 50""",
     "op12_merkle_manifest": """
 WITH RECURSIVE bytes AS (SELECT *, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS b FROM documents),
 crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: list_reduce(list_prepend(xor(c, x), [0, 0, 0, 0, 0, 0, 0, 0]),
