@@ -14,6 +14,7 @@ from tremorlake.llm import (
     packing,
     quality,
     substring_dedup,
+    textkit,
     toxicity,
     vector_dedup,
 )
@@ -71,6 +72,24 @@ def test_stages_on_odd_and_empty_tables(spark, documents, odd_rows, labels, tmp_
     assert stage(spark, documents([]), str(tmp_path)).count() == 0
 
 
+def test_runs_of_few_words():
+    """Texts of 0 to 6 words, alone and together."""
+    few = [" ".join(["Hello", "there", "you", "and", "me", "too"][:n]) for n in range(7)]
+    together, doc = textkit.Words([t.encode() for t in few]).ngrams(5)
+    for n, text in enumerate(few):
+        alone = textkit.Words([text.encode()]).ngrams(5)[0]
+        assert len(alone) == (n > 0) + (n > 5) and alone.tolist() == together[doc == n].tolist()
+
+
+@pytest.mark.parametrize("name", ("near", "quality", "substring", "toxicity", "license"))
+def test_few_words_alone_in_a_partition(spark, documents, per_row, name):
+    long = " ".join(f"w{i}" for i in range(150_000))
+    few = [" ".join(["Hello", "there", "you", "and", "me", "too"][:n]) for n in range(7)]
+    rows = [(i, text) for i, text in enumerate(few)] + [(10 + i, x) for i, text in enumerate(few) for x in (long, text)]
+    docs = documents(rows).repartitionByRange(24, "doc_id")
+    assert per_row[name](docs).count() == len(rows)
+
+
 def test_exact_decisions(documents, odd_rows):
     got = {r.doc_id: r for r in exact_dedup.decide(documents(odd_rows)).collect() if r.doc_id}
     assert (got[5].kept, got[5].group_size, got[6].keep_id, got[7].keep_id, got[7].kept) == (True, 4, 5, 5, False)

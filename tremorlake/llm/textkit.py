@@ -107,10 +107,11 @@ class Words:
         if not len(self.hash):
             return self.hash, self.doc
         short = np.flatnonzero((counts > 0) & (counts < n))
-        total = np.zeros(max(0, len(self.hash) - n + 1), dtype=np.uint64)
+        size = max(0, len(self.hash) - n + 1)
+        total = np.zeros(size, dtype=np.uint64)
         factor = seeds("ngram", n)
         for k in range(n):
-            total += mix(self.hash[k:len(self.hash) - n + 1 + k] + factor[k])  * factor[n - 1 - k]
+            total += mix(self.hash[k:k + size] + factor[k]) * factor[n - 1 - k]
         whole = self.doc[:len(total)] == self.doc[n - 1:] if len(total) else np.zeros(0, dtype=bool)
         hashes, docs = total[whole], self.doc[:len(total)][whole]
         if len(short):
