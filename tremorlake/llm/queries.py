@@ -11,6 +11,7 @@ from tremorlake.llm import (
     bpe_reuse,
     byte_bpe,
     exact_dedup,
+    fingerprints,
     html_render,
     license_scan,
     merkle_manifest,
@@ -72,6 +73,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     intact = [F.col(f) for f in merkle_manifest.FIELDS]
@@ -142,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_quality": op10_quality,
+    "op11_fingerprints": op11_fingerprints,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ranked_search": op13_ranked_search,
     "pipeline": corpus_pipeline.run,
