@@ -34,6 +34,8 @@ from tremorlake.llm.textkit import SLICE, Words, mix, seeds, slices
 NGRAM = 5
 #: Both powers of two; ``BITS`` divides 8.
 BINS, BITS = 512, 4
+#: Bytes of text in a range, on average; there are no fewer ranges than shuffle partitions.
+RANGE_BYTES = 64 << 20
 _SALT = seeds("bytes", 1)[0]
 
 
@@ -106,8 +108,11 @@ def edited(text: str, following: str) -> str:
 
 
 def _borders(keyed: DataFrame) -> list[tuple]:
-    """The first (absent, id, hash) of each range; as many as there are shuffle partitions at most."""
-    keys = keyed.select("absent", "id", "hash").repartitionByRange("absent", "id", "hash")
+    """The first (absent, id, hash) of each range."""
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A fixed number, or adaptive execution would merge the ranges of the small keys, and with them those of the texts.
+    ranges = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES)
+    keys = keyed.select("absent", "id", "hash").repartitionByRange(ranges, "absent", "id", "hash")
     found = keys.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("absent", "id", "hash")).alias("first"))
     return sorted({tuple(r.first) for r in found.select("first").collect()})
 
