@@ -64,6 +64,31 @@ def cycle_summary(events: DataFrame, cycle: str = "cycle", block: int = BLOCK) -
     )
 
 
+def batch_summary(parsed: DataFrame, fresh: DataFrame, cycle: str, total_before: int, block: int = BLOCK) -> DataFrame:
+    """Per cycle of one batch: ``outcome``, events sent, skipped as repeats, and unique ids with those of earlier batches.
+
+    ``parsed`` has a row per event or payload without one, with ``outcome`` and ``valid``; ``fresh`` the events that are sent.
+    Only the number of ids sent before is needed of earlier batches.
+    """
+    def rows(df: DataFrame, outcome: Column, received: Column, sent: Column) -> DataFrame:
+        return df.select(F.col(cycle).alias("cycle"), outcome.alias("outcome"), received.cast("bigint").alias("received"),
+                         sent.cast("bigint").alias("sent"))
+
+    per_cycle = (
+        rows(parsed, F.col("outcome"), F.col("valid"), F.lit(0))
+        .unionByName(rows(fresh, F.lit(None).cast("string"), F.lit(0), F.lit(1)))
+        .groupBy("cycle").agg(F.max("outcome").alias("outcome"), F.sum("received").alias("received"), F.sum("sent").alias("sent"))
+        .withColumn("_block", F.coalesce(F.floor(F.col("cycle") / block), F.lit(0)))
+    )
+    inside = Window.partitionBy("_block").orderBy("cycle").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_cycle.groupBy("_block").agg(F.sum("sent").alias("sent")).select(
+        "_block", F.coalesce(F.sum("sent").over(before), F.lit(0)).alias("_offset"))
+    return per_cycle.withColumn("_running", F.sum("sent").over(inside)).join(offsets, "_block").select(
+        "cycle", "outcome", "sent", (F.col("received") - F.col("sent")).alias("skipped"),
+        (F.lit(total_before) + F.col("_offset") + F.col("_running")).alias("total_unique"))
+
+
 def fixed_lines(outcome: str) -> list[tuple[str, str, str]]:
     """Type, level and text of the log lines of an outcome without events."""
     return _LINES[outcome]
@@ -94,11 +119,8 @@ def log_lines(cycles: DataFrame, clock: Clock = None, service: str = SERVICE) ->
 
 
 def payload_logs(unwrapped: DataFrame, cycle: str, clock: Clock = None, service: str = SERVICE,
-                 block: int = BLOCK, known: DataFrame | None = None) -> DataFrame:
-    """Log lines of a run where every payload is one cycle, numbered by the long column ``cycle`` from 0.
-
-    Ids of ``known`` (event_id, each once) were sent before the run: they count as seen and in the total.
-    """
+                 block: int = BLOCK) -> DataFrame:
+    """Log lines of a run where every payload is one cycle, numbered by the long column ``cycle`` from 0."""
     events = normalize.event_ids(
         payload.explode_events(unwrapped, keep_empty=True).select(cycle, "outcome", "raw"))
     # The outcome travels in the low digits of the cycle number, which keeps the cycles in order.
@@ -107,11 +129,7 @@ def payload_logs(unwrapped: DataFrame, cycle: str, clock: Clock = None, service:
     for number, outcome in enumerate(_OUTCOMES):
         code = F.when(F.col("outcome") == outcome, F.lit(number)).otherwise(code)
     numbered = events.select((F.col(cycle) * width + code).alias("cycle"), "event_id")
-    if known is not None:  # a cycle before all others
-        numbered = numbered.unionByName(known.select(F.lit(-1).cast("bigint").alias("cycle"), "event_id"))
     summary = cycle_summary(numbered, block=block * width)
-    if known is not None:
-        summary = summary.filter(F.col("cycle") >= 0)
     outcome_of = F.element_at(F.array(*[F.lit(o) for o in _OUTCOMES]),
                               (F.pmod(F.col("cycle"), F.lit(width)) + 1).cast("int"))
     return log_lines(

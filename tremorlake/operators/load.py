@@ -12,11 +12,10 @@ NEWEST_COLUMNS = ("event_id", "event_time", "magnitude", "region", "source")
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
-    """Add the parsed ``event_time``; the text stays as ``original_datetime``."""
-    return (
-        events.withColumn("event_time", event_time(F.col("datetime")))
-        .withColumnRenamed("datetime", "original_datetime")
-    )
+    """Events with the parsed ``event_time`` behind their other columns; the text goes on as ``original_datetime``."""
+    text = F.col("datetime")
+    return events.select(*[text.alias("original_datetime") if name == "datetime" else F.col(name) for name in events.columns],
+                         event_time(text).alias("event_time"))
 
 
 def warehouse_rows(events: DataFrame) -> DataFrame:

@@ -145,6 +145,20 @@ def rejects(raw_events: DataFrame, raw: str = "raw", by_content: bool = True) ->
         *keep, F.to_json(F.col(raw)).alias("raw"))
 
 
+def judged(raw_events: DataFrame, raw: str = "raw", clock: Clock = None) -> DataFrame:
+    """Every event with ``valid``: the kept columns, the typed fields of a valid one, the JSON text of any other as ``rejected``.
+
+    Rows without an event stay, as neither.
+    """
+    keep = [c for c in raw_events.columns if c != raw]
+    fields = _read_fields(raw_events, raw, by_content=True)
+    valid = F.col("_valid")
+    typed = _finish(fields, [*keep, "_valid", raw], clock, by_content=True)
+    return typed.select(
+        *keep, (valid & F.col(raw).isNotNull()).alias("valid"), *[F.when(valid, F.col(name)).alias(name) for name in CONTENT_FIELDS],
+        F.when(~valid, F.to_json(F.col(raw))).alias("rejected"))
+
+
 def event_ids(raw_events: DataFrame, raw: str = "raw") -> DataFrame:
     """The kept columns and the content id of every event, NULL for one that is rejected."""
     keep = [c for c in raw_events.columns if c != raw]

@@ -316,3 +316,18 @@ ORACLES = {
 }
 # The streaming ingest writes the lines that the batch query makes.
 ORACLES["ingest_logs_stream"] = ORACLES["payload_outcome_logs"]
+ORACLES["recovered_landing"] = _T2_SELECT
+ORACLES["landing_fan_out"] = f"SELECT t.*, sink FROM ({_T2_SELECT}) t CROSS JOIN (VALUES ('landing'), ('view')) AS s(sink)"
+ORACLES["processed_counts_stream"] = ORACLES["monitor_counts"]
+ORACLES["load_twice"] = ORACLES["load_event_time"]
+ORACLES["load_original_time"] = f"""{_EVENTS} SELECT event_id, datetime AS original_datetime, {_EVENT_TIME} AS event_time,
+    ingested_at FROM normalized"""
+ORACLES["archive_html_range"] = ORACLES["archive_html_roundtrip"] + " WHERE page_num BETWEEN 31 AND 238"
+ORACLES["archive_newest_run"] = f"""{_RECORDS} SELECT * REPLACE (
+    CASE WHEN page_num % 3 = 0 THEN '2026-06-02T00:00:00' ELSE scraped_at END AS scraped_at),
+    CASE WHEN page_num % 3 = 0 THEN '20260602_000000' ELSE '20260601_000000' END AS run
+    FROM (SELECT {_T4} FROM found) WHERE page_num % 6 <> 0"""
+ORACLES["ingest_rejects_stream"] = f"""{_MIX_EVENTS} SELECT f.seq, f.event_pos, 'EVENT' AS reason, r.j ->> 'DateTime' AS datetime,
+    r.j ->> 'Coordinates' AS coordinates, r.j ->> 'Kedalaman' AS depth, NULL AS payload
+    FROM fields f JOIN raw_events r ON r.seq = f.seq AND r.event_pos = f.event_pos WHERE NOT f.valid
+    UNION ALL SELECT o.seq, NULL, outcome, NULL, NULL, NULL, p.payload FROM outcomes o JOIN payloads p ON p.seq = o.seq WHERE outcome = 'API_ERROR'"""

@@ -1,7 +1,8 @@
 """The registered queries: each takes a session and a table folder and returns a frame."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tremorlake import jobs, schemas
@@ -10,7 +11,7 @@ from tremorlake.plans import inputs
 from tremorlake.session import work_folder
 from tremorlake.sinks import pages as page_sink
 from tremorlake.sources import lake, landing
-from tremorlake.streaming import queries as streams
+from tremorlake.streaming import fan_out, queries as streams
 
 #: The run clock of every registered query.
 CLOCK = datetime(2026, 6, 1, tzinfo=timezone.utc)
@@ -118,6 +119,70 @@ def ingest_logs_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/logs").drop("batch")
 
 
+def ingest_rejects_stream(spark, sf_dir):
+    """What the running ingest rejects: single events and whole payloads, over several micro-batches."""
+    folder = work_folder(spark, "rejects")
+
+    def keep(part):
+        return lambda df, number: df.write.mode("overwrite").parquet(f"{folder}/{part}/batch={number}")
+
+    _arriving(spark, inputs.event_slices(spark, sf_dir, 3, in_order=True), f"{folder}/events", lambda stream: jobs.ingest(
+        inputs.raw_payload_mix(stream), "seq", keep("sent"), keep("logs"), folder, CLOCK, interval=None,
+        write_rejects=keep("rejects")))
+    return spark.read.parquet(f"{folder}/rejects").select("seq", "event_pos", "reason", *[
+        F.when(F.col("reason") == jobs.REJECTED_EVENT, F.get_json_object("rejected", f"$.{key}")).alias(name)
+        for key, name in (("DateTime", "datetime"), ("Coordinates", "coordinates"), ("Kedalaman", "depth"))],
+        F.when(F.col("reason") != jobs.REJECTED_EVENT, F.col("rejected")).alias("payload"))
+
+
+def landing_fan_out(spark, sf_dir):
+    """Records landed and shown by one query, which reads each of them once."""
+    folder = work_folder(spark, "fan-out")
+    sinks = {"landing": fan_out.landing(f"{folder}/events"), "view": lambda rows, number: rows.write.mode("overwrite").parquet(
+        f"{folder}/view/batch={number}")}
+    _arriving(spark, inputs.event_slices(spark, sf_dir, 3, in_order=True), f"{folder}/source", lambda stream: fan_out.fan_out(
+        inputs.kafka_quakes(stream), sinks, folder, interval=None))
+    landed = lake.read_events(spark, f"{folder}/events").withColumn("sink", F.lit("landing"))
+    seen = spark.read.schema(schemas.STREAM_EVENT).parquet(f"{folder}/view").withColumn("sink", F.lit("view"))
+    return landed.unionByName(seen.select(*landed.columns))
+
+
+def recovered_landing(spark, sf_dir):
+    """Records landed by a query that fails inside its second batch, stops the query beside it, and is started again."""
+    folder = work_folder(spark, "recovered")
+    for part in inputs.event_slices(spark, sf_dir, 3, in_order=True):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/source")
+    lost = []
+
+    def view(rows, number):
+        if number == 1 and not lost:
+            lost.append(number)
+            raise RuntimeError("the view is lost")
+        rows.write.mode("overwrite").parquet(f"{folder}/view/batch={number}")
+
+    def start(interval):
+        source = spark.readStream.schema("seq bigint, user_id bigint, event_type string").option("maxFilesPerTrigger", 1)
+        landing_query = fan_out.fan_out(inputs.kafka_quakes(source.parquet(f"{folder}/source")), {
+            "landing": fan_out.landing(f"{folder}/events"), "view": view}, f"{folder}/work", interval=None)
+        beside = streams.upsert_counts(inputs.kafka_logs(source.parquet(f"{folder}/source")), f"{folder}/counts",
+                                       f"{folder}/counts-checkpoint", interval)
+        return landing_query, beside
+
+    try:
+        streams.supervise(*start("1 second"))
+    except StreamingQueryException:
+        streams.supervise(*start(None))
+    return lake.read_events(spark, f"{folder}/events")
+
+
+def processed_counts_stream(spark, sf_dir):
+    """Messages processed per topic, kept up to date by a query that is started again for every part of its input."""
+    folder = work_folder(spark, "counts")
+    _arriving(spark, inputs.event_slices(spark, sf_dir, 3, in_order=True), f"{folder}/source", lambda stream: streams.upsert_counts(
+        inputs.kafka_quakes(stream).unionByName(inputs.kafka_logs(stream)), f"{folder}/table", f"{folder}/checkpoint", None))
+    return streams.latest_counts(spark, f"{folder}/table")
+
+
 def send_once(spark, sf_dir):
     """Records of the one-shot ingest by key, with how many of the events found were sent."""
     folder = work_folder(spark, "send")
@@ -187,6 +252,25 @@ def load_event_time(spark, sf_dir):
     return load.warehouse_rows(_landed(spark, sf_dir))
 
 
+def load_original_time(spark, sf_dir):
+    return load.with_event_time(_landed(spark, sf_dir)).select("event_id", "original_datetime", "event_time", "ingested_at")
+
+
+def load_twice(spark, sf_dir):
+    """The table after three loads: of a first part of the landed events, of what was landed since, and of nothing."""
+    folder = work_folder(spark, "load-twice")
+    landed, table = f"{folder}/landed", f"{folder}/table"
+    for part in (*inputs.event_slices(spark, sf_dir, 2, in_order=True), None):
+        if part is not None:
+            quakes = inputs.raw_quakes(part).select("seq", "payload")
+            raw = payload.explode_events(payload.unwrap(quakes)).select("raw")
+            normalize.normalize(raw, clock=CLOCK).select(*schemas.STREAM_EVENT.fieldNames()).write.mode("append").partitionBy(
+                "source").parquet(landed)
+        jobs.load_new(lake.new_events(spark, landed), lambda rows, number: rows.write.mode("overwrite").parquet(
+            f"{table}/batch={number}"), f"{folder}/work")
+    return spark.read.schema(schemas.WAREHOUSE).parquet(table).select(*schemas.WAREHOUSE.fieldNames())
+
+
 def load_sample(spark, sf_dir):
     return load.sample(_landed(spark, sf_dir))
 
@@ -255,6 +339,28 @@ def archive_html_roundtrip(spark, sf_dir):
         "page_num", F.length("html").alias("n_chars"), F.md5(F.col("html").cast("binary")).alias("digest"))
 
 
+def archive_html_range(spark, sf_dir):
+    """Some consecutive pages of an archive."""
+    folder = work_folder(spark, "html-range")
+    page_sink.archive_html(_pages(spark, sf_dir), folder, 20)
+    return page_sink.read_html(spark, folder, 31, 238).select(
+        "page_num", F.length("html").alias("n_chars"), F.md5(F.col("html").cast("binary")).alias("digest"))
+
+
+def archive_newest_run(spark, sf_dir):
+    """Records by page of the newest run that was published: one of all pages, one of every third page (half of them empty by
+    then), and one of every second page that was cut off before it was published."""
+    folder = work_folder(spark, "runs")
+    pages = _pages(spark, sf_dir)
+    third = pages.filter("page_num % 3 = 0").withColumn("html", F.when(F.col("page_num") % 2 == 1, F.col("html")).otherwise(F.lit("")))
+    for run, seen, whole in ((CLOCK, pages, True), (CLOCK + timedelta(days=1), third, True),
+                             (CLOCK + timedelta(days=2), pages.filter("page_num % 2 = 0"), False)):
+        page_sink.write_run(seen, folder, run)
+        if whole:
+            page_sink.publish(spark, folder, run)
+    return page_sink.newest_records(spark, folder)
+
+
 def archive_csv_roundtrip(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     folder = work_folder(spark, "csv")
@@ -288,12 +394,13 @@ def monitor_counts(spark, sf_dir):
 QUERIES = {
     query.__name__: query for query in (
         payload_unwrap, payload_outcome_logs, normalize_events, normalize_rejects, normalize_time_id,
-        event_id_md5, dedup_first_seen, dedup_stream, dedup_stream_batches, cycle_summary, ingest_logs_stream, send_once,
+        event_id_md5, dedup_first_seen, dedup_stream, dedup_stream_batches, cycle_summary, ingest_logs_stream, ingest_rejects_stream,
+        landing_fan_out, recovered_landing, processed_counts_stream, send_once,
         landing_payloads, monitor_streams, kafka_decode, kafka_encode,
-        kafka_malformed, stream_to_parquet, load_event_time, load_sample, load_counts, load_newest_5,
+        kafka_malformed, stream_to_parquet, load_event_time, load_original_time, load_twice, load_sample, load_counts, load_newest_5,
         html_rows, html_cells, html_records, html_union_totals, html_page_counts,
         html_wanted_page_counts, html_web_page_counts, html_head_3, archive_html_roundtrip,
-        archive_csv_roundtrip, monitor_events, monitor_events_brief, monitor_logs, monitor_logs_brief,
+        archive_html_range, archive_newest_run, archive_csv_roundtrip, monitor_events, monitor_events_brief, monitor_logs, monitor_logs_brief,
         monitor_counts,
     )
 }

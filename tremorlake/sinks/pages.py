@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremorlake import schemas
 from tremorlake.operators import html_table
+from tremorlake.sources import landing
 
 #: Consecutive pages in one folder of an archive.
 PAGES_PER_FOLDER = 10_000
@@ -26,19 +27,28 @@ def _in_folders(df: DataFrame, pages_per_folder: int) -> DataFrame:
 
 
 def archive_html(pages: DataFrame, root: str, pages_per_folder: int = PAGES_PER_FOLDER) -> None:
-    """Raw HTML as a table in folders of consecutive pages; empty bodies are skipped.
+    """Raw HTML as a table in folders of consecutive pages, named by the first and last page; empty bodies are skipped.
 
     Folders written again are replaced, others stay.
     """
+    first = F.col("page_num") - F.pmod("page_num", F.lit(pages_per_folder))
+    foldered = pages.filter(F.length("html") > 0).withColumns(
+        {"first_page": first, "last_page": first + (pages_per_folder - 1)})
     (
-        _in_folders(pages.filter(F.length("html") > 0), pages_per_folder)
+        (foldered if pages_per_folder == 1 else foldered.hint("rebalance", "first_page"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("folder").parquet(f"{root}/raw_html")
+        .partitionBy("first_page", "last_page").parquet(f"{root}/raw_html")
     )
 
 
-def read_html(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("page_num bigint, html string").parquet(f"{root}/raw_html")
+def read_html(spark: SparkSession, root: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Archived pages, all or those of a range, such as ``*HISTORICAL_PAGES``; folders outside the range aren't opened."""
+    found = spark.read.schema("page_num bigint, html string, first_page bigint, last_page bigint").parquet(f"{root}/raw_html")
+    if first is not None:
+        found = found.filter(F.col("last_page") >= first)
+    if last is not None:
+        found = found.filter(F.col("first_page") <= last)
+    return landing.in_range(found, first, last).select("page_num", "html")
 
 
 def archive_records(pages: DataFrame, root: str, run: datetime,
@@ -69,3 +79,36 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("page_num", "row_pos", *[
         F.coalesce(f.name, F.lit("")).alias(f.name) if f.dataType == T.StringType() else F.col(f.name)
         for f in schemas.HISTORICAL.fields])
+
+
+def _stamp(run: datetime) -> str:
+    return run.strftime("%Y%m%d_%H%M%S")
+
+
+def write_run(pages: DataFrame, root: str, run: datetime) -> None:
+    """The pages a run saw, with their number of records, and the records; nobody reads them before :func:`publish`.
+
+    A run written again is replaced.
+    """
+    stamp = _stamp(run)
+    html_table.records(pages, clock=run).write.mode("overwrite").parquet(f"{root}/run_records/run={stamp}")
+    found = pages.sparkSession.read.parquet(f"{root}/run_records/run={stamp}").groupBy("page_num").agg(
+        F.count("*").alias("n_records"))
+    pages.select("page_num").distinct().join(found, "page_num", "left").select(
+        "page_num", F.coalesce("n_records", F.lit(0).cast("bigint")).alias("n_records")).write.mode("overwrite").parquet(
+        f"{root}/run_pages/run={stamp}")
+
+
+def publish(spark: SparkSession, root: str, run: datetime) -> None:
+    """Make a run that was written in full visible, by one new file."""
+    spark.createDataFrame([(_stamp(run),)], "run string").coalesce(1).write.mode("append").parquet(f"{root}/published")
+
+
+def newest_records(spark: SparkSession, root: str) -> DataFrame:
+    """Of each page the records of the newest published run that saw it; none if that run found none on it."""
+    published = spark.read.schema("run string").parquet(f"{root}/published").distinct()
+    seen = spark.read.schema("page_num bigint, n_records bigint, run string").parquet(f"{root}/run_pages").join(published, "run")
+    newest = seen.groupBy("page_num").agg(F.max("run").alias("run"))
+    schema = "page_num bigint, row_pos int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.HISTORICAL.fields)
+    records = spark.read.schema(f"{schema}, run string").parquet(f"{root}/run_records")
+    return records.join(newest, ["page_num", "run"]).select("page_num", "row_pos", *schemas.HISTORICAL.fieldNames(), "run")

@@ -26,9 +26,9 @@ def stream(spark: SparkSession, servers: str, *topics: str, starting: str = "lat
         **options(servers, *topics, starting=starting, **more)).load()
 
 
-def batch(spark: SparkSession, servers: str, *topics: str) -> DataFrame:
+def batch(spark: SparkSession, servers: str, *topics: str, **more) -> DataFrame:
     """All records of the topics up to now, without a consumer group."""
-    return spark.read.format("kafka").options(**options(servers, *topics, starting="earliest")).load()
+    return spark.read.format("kafka").options(**options(servers, *topics, starting="earliest", **more)).load()
 
 
 def monitor_streams(spark: SparkSession, servers: str, group: str,

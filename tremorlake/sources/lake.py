@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorlake import schemas
+from tremorlake.sources.landing import MAX_FILE_AGE
 
 #: Conditions that mean "nothing landed yet"; any other failure is a failure.
 _NOTHING_THERE = ("PATH_NOT_FOUND",)
@@ -19,3 +20,13 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() not in _NOTHING_THERE:
             raise
         return spark.createDataFrame([], schemas.STREAM_EVENT)
+
+
+def new_events(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+    """The landed table as a stream: its files in the order they came, at most so many files or bytes to a batch."""
+    reader = spark.readStream.schema(schemas.STREAM_EVENT).option("maxFileAge", MAX_FILE_AGE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(path).select(*schemas.STREAM_EVENT.fieldNames())

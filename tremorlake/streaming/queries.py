@@ -102,6 +102,25 @@ def count_processed(records: DataFrame, checkpoint: str, name: str, interval: st
     return timed(writer, interval).start()
 
 
+def upsert_counts(records: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL) -> StreamingQuery:
+    """Running number of processed messages per topic, kept as a table: each batch adds the topics whose number changed.
+
+    A batch that is run again replaces its folder. :func:`latest_counts` reads the newest number of each topic.
+    """
+    def write(changed: DataFrame, number: int) -> None:
+        changed.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = monitor.processed_counts(records).writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", checkpoint)
+    return timed(writer, interval).start()
+
+
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest number of each topic from a table of :func:`upsert_counts`."""
+    rows = spark.read.schema("topic string, n_processed bigint, batch bigint").parquet(path)
+    return rows.groupBy("topic").agg(F.max_by("n_processed", "batch").alias("n_processed"))
+
+
 def start_monitors(event_records: DataFrame, log_records: DataFrame, checkpoint: str,
                    interval: str | None = POLL_INTERVAL, sink: str = "console",
                    path: str | None = None) -> list[StreamingQuery]:
@@ -111,6 +130,19 @@ def start_monitors(event_records: DataFrame, log_records: DataFrame, checkpoint:
             for name, view in views.items()]
 
 
+def supervise(*running: StreamingQuery) -> None:
+    """Block until all of these queries ended; when one fails, the others are stopped and its error is raised."""
+    try:
+        going = list(running)
+        while going:
+            for query in list(going):
+                if query.awaitTermination(1):  # raises what ended it
+                    going.remove(query)
+    finally:
+        for query in running:
+            query.stop()
+
+
 def wait(spark: SparkSession) -> None:
     """Block until any query stops; its error, if it failed, is raised here."""
     spark.streams.awaitAnyTermination()
