@@ -16,7 +16,7 @@ def queries():
 #: HotSpot leaves methods beyond this many bytes of code uncompiled.
 JIT_LIMIT = 8000
 NOT_LAZY = {"dedup_stream", "dedup_stream_batches", "ingest_logs_stream", "send_once", "landing_payloads", "monitor_streams",
-            "stream_to_parquet", "load_counts", "load_twice", "ingest_rejects_stream", "landing_fan_out", "recovered_landing",
+            "stream_to_parquet", "load_counts", "load_twice", "load_newest_zones", "landed_summary", "ingest_rejects_stream", "landing_fan_out", "recovered_landing",
             "processed_counts_stream", "archive_html_range", "archive_newest_run", "archive_csv_roundtrip", "archive_html_roundtrip"}
 LAZY = sorted(set(queries()) - NOT_LAZY)
 

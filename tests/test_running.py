@@ -264,3 +264,38 @@ def test_renamed_event_time(spark):
     out = load.with_event_time(df)
     assert out.columns == ["event_id", "original_datetime", "source", "event_time"]
     assert out.first().event_time == datetime(2026, 6, 7, 6, 6, 8)
+
+
+def test_newest_rows_open_only_loads_that_can_hold_them(spark, tmp_path):
+    times = [[datetime(2026, 6, d, h) for h in range(4)] for d in (1, 2, 9, 10)] + [[None, datetime(2026, 6, 9, 23)], [None]]
+    zones, rows = [], []
+    for number, own in enumerate(times):
+        given = [t for t in own if t]
+        zones.append((len(own), len(given), min(given, default=None), max(given, default=None), number))
+        rows += [(f"e{number}-{i}", t, number) for i, t in enumerate(own)]
+    frame = spark.createDataFrame(zones, f"{load.ZONE}, batch bigint")
+    assert load.batches_of_newest(frame, 5) == [3, 4]  # ten o'clock of the tenth, and the late one of the ninth
+    assert load.batches_of_newest(frame, 3) == [3] and load.batches_of_newest(frame, 17) == [0, 1, 2, 3, 4]
+    assert load.batches_of_newest(frame, 18) is None and load.batches_of_newest(frame.limit(0), 1) is None
+    table = spark.createDataFrame(rows, "event_id string, event_time timestamp, batch bigint").selectExpr(
+        "event_id", "event_time", "1.0D AS magnitude", "'r' AS region", "'s' AS source", "batch")
+    table.write.partitionBy("batch").parquet(f"{tmp_path}/table")
+    frame.write.partitionBy("batch").parquet(f"{tmp_path}/zones")
+    written = spark.read.parquet(f"{tmp_path}/table")
+    for n in (3, 5, 17, 18, 50):
+        found = jobs.newest_loaded(written, str(tmp_path), n)
+        assert found.collect() == load.newest(written, n).collect()
+        if n == 5:
+            scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+            assert "PartitionFilters: [" in str(scan) and scan.metrics().apply("numPartitions").value() == 2
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id / 10.0D AS magnitude", "concat('s', id % 3) AS source").write.partitionBy("source").parquet(
+        str(tmp_path / "t"))
+    listed = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with lake.footers(spark):
+        found = lake.footer_summary(spark, str(tmp_path / "t"))
+        assert "PushedAggregation: [COUNT(*), MIN(magnitude), MAX(magnitude)]" in found._jdf.queryExecution().toString()
+        assert tuple(found.first()) == (1000, 0.0, 99.9)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == listed

@@ -113,16 +113,24 @@ def load_new(landed: DataFrame, write: Callable[[DataFrame, int], None], folder:
 
     ``landed`` is the landed table read as a stream of files (``sources.lake.new_events``), whose checkpoint under ``folder`` is the
     bookmark. A load that failed is taken up at its batch; ``write`` gets the batch's number and should replace what it wrote
-    under it, or leave out known ids.
+    under it, or leave out known ids. The rows and the time range of every batch are noted under ``folder``/zones while
+    it is written, for :func:`newest_loaded`.
     """
-    ledger, written = Ledger(landed.sparkSession, f"{folder}/ledger"), []
+    spark, written = landed.sparkSession, []
+    ledger = Ledger(spark, f"{folder}/ledger")
 
     def batch(rows: DataFrame, number: int) -> None:
         if ledger.done("table", number):
             return
         counted = Observation(f"written-{number}")
-        write(load.warehouse_rows(rows).observe(counted, F.count(F.lit(1)).alias("n")), number)
-        written.append(counted.get["n"])
+        time = F.col("event_time")
+        write(load.warehouse_rows(rows).observe(
+            counted, F.count(F.lit(1)).alias("n"), F.count(time).alias("timed"), F.min(time).alias("earliest"), F.max(time).alias("latest")),
+            number)
+        zone = counted.get
+        written.append(zone["n"])
+        spark.createDataFrame([(zone["n"], zone["timed"], zone["earliest"], zone["latest"])], load.ZONE).coalesce(1).write.mode(
+            "overwrite").parquet(f"{folder}/zones/batch={number}")
         ledger.mark("table", number)
 
     writer = landed.writeStream.foreachBatch(batch).option("checkpointLocation", f"{folder}/checkpoint")
@@ -130,6 +138,13 @@ def load_new(landed: DataFrame, write: Callable[[DataFrame, int], None], folder:
     return sum(written)
 
 
+def newest_loaded(table: DataFrame, folder: str, n: int = 5) -> DataFrame:
+    """The newest rows of a table that :func:`load_new` wrote in folders by ``batch``, from the batches that can hold them alone."""
+    zones = table.sparkSession.read.schema(f"{load.ZONE}, batch bigint").parquet(f"{folder}/zones")
+    wanted = load.batches_of_newest(zones, n)
+    return load.newest(table if wanted is None else table.filter(F.col("batch").isin(wanted)), n)
+
+
 def send_once(payloads: DataFrame, write: Callable[[DataFrame], int], clock: Clock = None) -> dict:
     """The one-shot ingest: time-based ids, no dedup, and a line that says how many of the events found were sent.
 

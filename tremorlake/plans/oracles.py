@@ -331,3 +331,5 @@ ORACLES["ingest_rejects_stream"] = f"""{_MIX_EVENTS} SELECT f.seq, f.event_pos,
     r.j ->> 'Coordinates' AS coordinates, r.j ->> 'Kedalaman' AS depth, NULL AS payload
     FROM fields f JOIN raw_events r ON r.seq = f.seq AND r.event_pos = f.event_pos WHERE NOT f.valid
     UNION ALL SELECT o.seq, NULL, outcome, NULL, NULL, NULL, p.payload FROM outcomes o JOIN payloads p ON p.seq = o.seq WHERE outcome = 'API_ERROR'"""
+ORACLES["load_newest_zones"] = ORACLES["load_newest_5"]
+ORACLES["landed_summary"] = f"{_EVENTS} SELECT count(*) AS n_rows, min(magnitude) AS least, max(magnitude) AS largest FROM normalized"

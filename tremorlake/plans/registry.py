@@ -271,6 +271,27 @@ def load_twice(spark, sf_dir):
     return spark.read.schema(schemas.WAREHOUSE).parquet(table).select(*schemas.WAREHOUSE.fieldNames())
 
 
+def load_newest_zones(spark, sf_dir):
+    """The newest rows after four loads, read from the loads whose time range can hold them."""
+    folder = work_folder(spark, "load-zones")
+    for part in inputs.event_slices(spark, sf_dir, 4, in_order=True):
+        raw = payload.explode_events(payload.unwrap(inputs.raw_quakes(part).select("payload")))
+        normalize.normalize(raw.select("raw"), clock=CLOCK).select(*schemas.STREAM_EVENT.fieldNames()).write.mode("append").partitionBy(
+            "source").parquet(f"{folder}/landed")
+        jobs.load_new(lake.new_events(spark, f"{folder}/landed"), lambda rows, number: rows.write.mode("overwrite").parquet(
+            f"{folder}/table/batch={number}"), f"{folder}/work")
+    return jobs.newest_loaded(spark.read.parquet(f"{folder}/table"), f"{folder}/work")
+
+
+def landed_summary(spark, sf_dir):
+    """Rows and range of magnitudes of the landed table, answered from its files' footers."""
+    folder = work_folder(spark, "footers")
+    _landed(spark, sf_dir).write.partitionBy("source").parquet(folder)
+    with lake.footers(spark):
+        found = lake.footer_summary(spark, folder).collect()
+    return spark.createDataFrame(found, "n_rows bigint, least double, largest double")
+
+
 def load_sample(spark, sf_dir):
     return load.sample(_landed(spark, sf_dir))
 
@@ -397,7 +418,8 @@ QUERIES = {
         event_id_md5, dedup_first_seen, dedup_stream, dedup_stream_batches, cycle_summary, ingest_logs_stream, ingest_rejects_stream,
         landing_fan_out, recovered_landing, processed_counts_stream, send_once,
         landing_payloads, monitor_streams, kafka_decode, kafka_encode,
-        kafka_malformed, stream_to_parquet, load_event_time, load_original_time, load_twice, load_sample, load_counts, load_newest_5,
+        kafka_malformed, stream_to_parquet, load_event_time, load_original_time, load_twice,
+        load_newest_zones, landed_summary, load_sample, load_counts, load_newest_5,
         html_rows, html_cells, html_records, html_union_totals, html_page_counts,
         html_wanted_page_counts, html_web_page_counts, html_head_3, archive_html_roundtrip,
         archive_html_range, archive_newest_run, archive_csv_roundtrip, monitor_events, monitor_events_brief, monitor_logs, monitor_logs_brief,
