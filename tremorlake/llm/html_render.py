@@ -8,19 +8,23 @@ lone cell) and closes what is left open. The tree is then laid out:
   ``visibility:hidden`` (a descendant may be visible again, as in CSS), and closed ``details`` but their summary;
 * blocks begin on a line of their own; paragraphs, headings, lists and tables keep one empty line around them;
 * list items get a bullet or their number and are indented by depth;
-* cells of a table are aligned in columns, the lines of a cell one below the other, ``colspan`` counted;
+* cells of a table are aligned in columns, the lines of a cell one below the other, ``colspan`` and ``rowspan`` counted; what stands
+  before another cell is broken into lines of ``WIDEST`` characters, so columns stay in line (a longer word moves its line's rest);
 * of an svg the text elements and foreign objects are shown, of a formula all tokens with a space between them; what they
   only define, name or annotate (``defs``, ``title``, ``annotation`` and the like) isn't, nor is a copy that ``use`` draws;
 * white space collapses to one space but in ``pre``, ``xmp`` and ``textarea``; a no-break space stays a space.
 
 Everything else that is text is emitted, boilerplate too: choosing among visible text is another operator's work. Pages are
-rendered row by row inside tasks, without recursion, so nesting of any depth is read.
+rendered row by row inside tasks, without recursion, so nesting of any depth is read, in time that grows with the page: margins
+and aligned tables go ``DEEPEST`` levels deep, what is nested deeper stands at the last margin or as plain blocks, all of it.
 
 Defined results: a null page is an empty text; text without any tag is one paragraph; tags that are cut off at the end of
-the page are dropped, an unfinished comment or script hides the rest; an empty table gives an empty result; rows that repeat a page are rendered each.
+the page are dropped, an unfinished comment or script hides the rest; a number that isn't one, or has over nine digits, counts as
+not given (a span is at most 1000 columns or 65534 rows); an empty table gives an empty result; rows that repeat a page are rendered each.
 """
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -69,8 +73,12 @@ BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em emb
                        "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 P_SCOPE = frozenset("table td th caption button object template html body".split())
 
-#: Widest column that shorter cells are filled up to; a longer cell stands as it is.
-WIDEST = 40
+#: Characters of a line in a cell that has another one behind it.
+WIDEST = 80
+#: Levels of margins, and of tables within cells, that are laid out as such.
+DEEPEST = 32
+
+_NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})(?![0-9])")
 
 _TAG = re.compile(r"""
     <!--(?:>|->|.*?--!?>|.*\Z) | <[!?][^>]*(?:>|\Z) |
@@ -99,23 +107,49 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _number(text: str, otherwise: int) -> int:
+    """The whole number a value begins with."""
+    found = _NUMBER.match(text)
+    return int(found[1]) if found else otherwise
+
+
 class Builder:
     """Makes a tree of nodes and strings."""
 
     def __init__(self):
         self.root = Node("", {})
         self.open = [self.root]
+        #: Places in ``open`` of each tag, and of all blocks, so that no lookup walks through the open elements.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def _enter(self, node: Node) -> None:
+        at = len(self.open)
+        self.open.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCKS:
+            self.blocks.append(at)
+
+    def _close(self, at: int) -> None:
+        """Closes the open element at a place and all in it."""
+        while len(self.open) > at:
+            node = self.open.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def _end_nearest(self, tags, scope) -> None:
         """Closes the outermost open element of ``tags`` this side of ``scope``, with all in it."""
-        found = 0
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in tags:
-                found = k
-            elif self.open[k].tag in scope:
-                break
+        if not self._last(tags):
+            return
+        border = self._last([t for t in scope if t not in tags])
+        inside = [self.places[t] for t in tags if self.places.get(t)]
+        found = min((p[k] for p in inside if (k := bisect_right(p, border)) < len(p)), default=0)
         if found:
-            del self.open[found:]
+            self._close(found)
 
     def foreign(self) -> str:
         """The kind of foreign content that a tag read now would belong to."""
@@ -125,18 +159,18 @@ class Builder:
     def start(self, tag: str, attrs: dict[str, str], closed: bool = False) -> Node:
         if tag in BREAKS_OUT or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")):
             while self.foreign():
-                self.open.pop()
+                self._close(len(self.open) - 1)
         kind = self.foreign()
         if kind or tag in ("svg", "math"):
             if self.open[-1].tag == "head":
-                self.open.pop()
+                self._close(len(self.open) - 1)
             node = Node(tag, attrs, tag if tag in ("svg", "math") else "text" if (kind, tag) == ("svg", "text") else kind)
             self.open[-1].children.append(node)
             if not closed:
-                self.open.append(node)
+                self._enter(node)
             return node
         if self.open[-1].tag == "head" and tag not in HEAD:
-            self.open.pop()
+            self._close(len(self.open) - 1)
         if tag in CLOSES_P:
             self._end_nearest(("p",), P_SCOPE)
         if tag in ENDS:
@@ -146,24 +180,23 @@ class Builder:
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._enter(node)
         return node
 
     def end(self, tag: str) -> None:
-        inline = tag not in BLOCKS
-        for k in range(len(self.open) - 1, 0, -1):
-            here = self.open[k].tag
-            if here == tag:
-                del self.open[k:]
-                return
-            if inline and here in BLOCKS or here == "table" and tag != "table":
-                return
-        if tag == "br":
+        own = self._last([tag])
+        # The end of an inline element doesn't reach out of a block, and none but its own out of a table.
+        border = max(self.blocks[-1] if tag not in BLOCKS and self.blocks else 0, self._last(["table"]) if tag != "table" else 0)
+        if border > own:
+            return
+        if own:
+            self._close(own)
+        elif tag == "br":
             self.start("br", {})
 
     def text(self, text: str) -> None:
         if self.open[-1].tag == "head" and not text.isspace():
-            self.open.pop()
+            self._close(len(self.open) - 1)
         self.open[-1].children.append(text)
 
 
@@ -251,7 +284,7 @@ class _Lines:
                 self.lines.append("")
             self.gap, self.space = 0, False
         if not self.line:
-            margin = "".join(self.indent)
+            margin = "".join(self.indent[:DEEPEST])
             if self.mark:
                 margin = margin[:len(margin) - len(self.mark)] + self.mark
                 self.mark = ""
@@ -283,22 +316,66 @@ class _Lines:
         return self.lines[first:last]
 
 
+def _broken(lines: list[str]) -> list[str]:
+    """Lines broken at spaces where they are longer than ``WIDEST``."""
+    out = []
+    for line in lines:
+        if len(line) <= WIDEST:
+            out.append(line)
+            continue
+        held, size = [], 0
+        for word in line.split(" "):
+            if held and size + len(word) > WIDEST:
+                out.append(" ".join(held))
+                held, size = [], 0
+            held.append(word)
+            size += len(word) + 1
+        out.append(" ".join(held))
+    return out
+
+
 class _Table:
+    """Cells being laid out: of each row the first column and the lines of every cell."""
+
     def __init__(self):
-        self.rows: list[list[list[str]]] = []
+        self.rows: list[list[tuple[int, list[str]]]] = []
+        self.next = 0  # column of the next cell
+        self.under: set[int] = set()  # columns of this row that a cell from above takes
+        self.hanging: dict[int, int] = {}  # for how many further rows columns are taken
+
+    def begin_row(self) -> None:
+        self.rows.append([])
+        self.next, self.under = 0, set(self.hanging)
+        self.hanging = {column: left - 1 for column, left in self.hanging.items() if left > 1}
+
+    def place(self, lines: list[str], across: int, down: int) -> None:
+        while self.next in self.under:
+            self.next += 1
+        self.rows[-1].append((self.next, lines))
+        if down > 1:
+            for column in range(self.next, self.next + across):
+                self.hanging[column] = max(down - 1, self.hanging.get(column, 0))
+        self.next += across
 
     def lines(self) -> list[str]:
-        rows = [r for r in self.rows if any(r)]
-        columns = max(map(len, rows), default=0)
-        width = [0] * columns
+        rows = [r for r in self.rows if any(cell for _, cell in r)]
+        rows = [[(c, _broken(cell) if k + 1 < len(r) else cell) for k, (c, cell) in enumerate(r)] for r in rows]
+        width: dict[int, int] = {}
         for row in rows:
-            for k, cell in enumerate(row):
-                width[k] = max([width[k], *(len(line) for line in cell if len(line) <= WIDEST)])
+            for column, cell in row:
+                width[column] = max([width.get(column, 0), *(min(WIDEST, len(line)) for line in cell)])
+        begin, at = {}, 0
+        for column in sorted(width):
+            begin[column] = at
+            at += width[column] + 2
         out = []
         for row in rows:
-            for k in range(max(map(len, row))):
-                parts = [(cell[k] if k < len(cell) else "").ljust(width[c]) for c, cell in enumerate(row)]
-                out.append("  ".join(parts).rstrip(" "))
+            for k in range(max(len(cell) for _, cell in row)):
+                line = ""
+                for column, cell in row:
+                    if k < len(cell) and cell[k]:
+                        line = (line + "  " if len(line) + 2 > begin[column] and line else line.ljust(begin[column])) + cell[k]
+                out.append(line.rstrip(" "))
         return out
 
 
@@ -377,15 +454,23 @@ def render(html: str | None) -> str:
         children = item.children
         if tag == "details" and "open" not in item.attrs:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-        if tag in CELLS and tables and tables[-1].rows:
+        if tag in CELLS and tables and tables[-1] and tables[-1].rows:
             outs.append(_Lines())
 
-            def cell(span=item.attrs.get("colspan", "1")):
-                row = tables[-1].rows[-1]
-                row.append(outs.pop().whole())
-                row.extend([] for _ in range(min(int(span), 1000) - 1 if span.isdecimal() else 0))
+            def cell(across=_number(item.attrs.get("colspan", ""), 1), down=_number(item.attrs.get("rowspan", ""), 1)):
+                down = 65534 if down == 0 else down  # to the end of the table
+                tables[-1].place(outs.pop().whole(), min(max(across, 1), 1000), min(max(down, 1), 65534))
 
             todo.append(cell)
+        elif tag == "table" and len(tables) >= DEEPEST:
+            out.block(2)
+            tables.append(None)
+
+            def deep_table(out=out):
+                tables.pop()
+                out.block(2)
+
+            todo.append(deep_table)
         elif tag == "table":
             out.block(2)
             tables.append(_Table())
@@ -400,13 +485,12 @@ def render(html: str | None) -> str:
                 outs[-1].block(2)
 
             todo.append(table)
-        elif tag == "tr" and tables:
-            tables[-1].rows.append([])
+        elif tag == "tr" and tables and tables[-1]:
+            tables[-1].begin_row()
         elif tag in LISTS:
             nested = bool(numbers)
             out.block(1 if nested else 2)
-            start = item.attrs.get("start", "1")
-            numbers.append(int(start) if tag == "ol" and start.lstrip("-").isdecimal() else 1 if tag == "ol" else None)
+            numbers.append(_number(item.attrs.get("start", ""), 1) if tag == "ol" else None)
 
             def end_list(out=out, nested=nested):
                 numbers.pop()
