@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -416,26 +417,47 @@ def test_components_of_paths_and_stars(spark, tmp_path):
 
 # 8
 
+def _licenses_by_hand(text):
+    """Labels of the templates of which a window of 64 words, at multiples of 32, holds at least 0.8."""
+    w, found = words_of(text), set()
+    for at in range(0, max(1, len(w) - 32), 32):
+        window = set(w[at:at + 64])
+        found |= {label for label, t in license_scan.TEMPLATES if len(set(t.split()) & window) / len(set(t.split())) >= 0.8}
+    return found
+
+
 def test_license_filters_lose_nothing(documents):
     rng = random.Random(4)
     rows = []
-    for i in range(200):
+    for i in range(300):
         _, notice = license_scan.TEMPLATES[i % len(license_scan.TEMPLATES)]
         w = notice.split()
         for _ in range(rng.randint(0, 3)):
             w[rng.randrange(len(w))] = "other"
         rng.shuffle(w)
-        rows.append((i, "Some line of text.\n" + " ".join(w).upper() + "\nThe end of the work"))
+        filler = lambda n: " ".join(rng.choice("some line of text the under version".split()) for _ in range(n))
+        spread = " ".join(f"{x} {filler(rng.choice([0, 0, 1, 4]))}" for x in w) if i % 3 else " ".join(w)
+        rows.append((i, f"{filler(rng.randint(0, 90))}\n{spread.upper()}\n{filler(rng.randint(0, 90))}"))
+    rows += [(1000 + k, text) for k, (_, text) in enumerate(license_scan.TEMPLATES)]
     got = defaultdict(set)
     for r in license_scan.matches(documents(rows)).collect():
         got[r.doc_id].add(r.label)
     for i, text in rows:
-        want = set()
-        for line in text.split("\n"):
-            hits = [(label, set(t.split())) for label, t in license_scan.TEMPLATES
-                    if len(set(t.split()) & set(words_of(line))) / len(set(t.split())) >= 0.8]
-            want |= {label for label, s in hits if not any(s < other for _, other in hits)}
-        assert got.get(i, set()) == want, (i, text)
+        assert got.get(i, set()) == _licenses_by_hand(text), (i, text)
+
+
+@pytest.mark.parametrize("width", [10_000, 40, 12])
+def test_every_notice_gives_its_label(documents, width):
+    """Plain and wrapped, at the end of a long text and alone."""
+    wrapped = [(label, textwrap.fill(text, width)) for label, text in license_scan.TEMPLATES]
+    wrapped += [("cc-by", "Licensed under CC BY 4.0"), ("bsd", "Redistribution and use in source and binary forms, with or without\n"
+                "modification, are permitted"), ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0")]
+    rows = [(k, text) for k, (_, text) in enumerate(wrapped)]
+    rows += [(100 + k, " ".join(f"w{k}x{i}" for i in range(500 + 7 * k)) + "\n\n" + text) for k, (_, text) in enumerate(wrapped)]
+    got = {r.doc_id: r for r in license_scan.scan(documents(rows)).collect()}
+    for i, _ in rows:
+        label = wrapped[i % 100][0]
+        assert label in got[i].labels.split(",") and got[i].score > 0.8, (i, label, got[i])
 
 
 def test_license_phrases(documents):

@@ -3,13 +3,12 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z. Two ways to find a license:
 
 * *Phrases.* Every place where the words of a phrase stand consecutively.
-* *Set-similarity join.* A text block (a line; a line over ``BLOCK_WORDS`` words is covered by windows of that
-  many words that overlap by half) matches a template when it holds at least ``threshold`` of the template's
-  distinct words. Words are ordered by their frequency in the whole corpus, rarest first. A block that
-  reaches the threshold must share one of the first ``n - need + 1`` words of the template's order (prefix
-  filter), hold at least ``need`` distinct words (length filter), and at the first shared word enough words
-  must be left on both sides (positional filter). Pairs that pass are counted exactly. Where one block
-  matches a template whose words are a proper part of another match's words, the larger one stands.
+* *Set-similarity join.* A text block (a window of ``BLOCK_WORDS`` words, whatever its lines; windows overlap by half) matches a
+  template when it holds at least ``threshold`` of the template's distinct words. Words are ordered by their frequency in the whole
+  corpus, rarest first. A block that reaches the threshold must share one of the first ``n - need + 1`` words of the template's
+  order (prefix filter), hold at least ``need`` distinct words (length filter), and at the first shared word enough words
+  must be left on both sides (positional filter). Pairs that pass are counted exactly, and every match stands: a
+  notice that holds a shorter one's words as well gets both labels.
 
 Templates are a short list of fixed values, so their prefixes are a literal in the scan and their table is
 broadcast by its size. Blocks without any prefix word never leave the task that reads them; the join
@@ -78,11 +77,9 @@ def word_counts(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
 
 def _blocks(low: Column) -> Column:
     """Word arrays of a text's blocks."""
-    lines = F.transform(F.split(low, "\n"), words)
     half = BLOCK_WORDS // 2
-    cut = F.transform(lines, lambda w: F.when(F.size(w) <= BLOCK_WORDS, F.array(w)).otherwise(
-        F.transform(F.sequence(F.lit(0), F.size(w) - half - 1, F.lit(half)), lambda at: F.slice(w, at + 1, BLOCK_WORDS))))
-    return F.flatten(cut)
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - half - 1, F.lit(0)), F.lit(half))
+    return F.flatten(F.transform(F.array(words(low)), lambda w: F.transform(starts(w), lambda at: F.slice(w, at + 1, BLOCK_WORDS))))
 
 
 def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=None,
@@ -121,13 +118,9 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templat
             .filter(F.array_position("shared", F.array_intersect("tokens", "shared")[0]) == F.col("position") + 1)
             .filter(left_in_both >= F.col("need"))
             .withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("need"))
-            .select("doc_id", "text_hash", "block", "label", "tokens", (F.col("overlap") / F.size("tokens")).alias("containment")))
-    per_block = hits.groupBy("doc_id", "text_hash", "block").agg(
-        F.collect_set(F.struct("label", "tokens", "containment")).alias("found"))  # at most one per template
-    larger = F.filter("found", lambda one: ~F.exists("found", lambda other: (
-        (F.size(other.tokens) > F.size(one.tokens)) & (F.size(F.array_except(one.tokens, other.tokens)) == 0))))
-    return per_block.select("doc_id", "text_hash", "block", F.explode(larger).alias("hit")).select(
-        "doc_id", "text_hash", "block", "hit.label", "hit.containment")
+            .select("doc_id", "text_hash", "block", "label", (F.col("overlap") / F.size("tokens")).alias("containment")))
+    # Rows that repeat a document repeat its hits.
+    return hits.distinct()
 
 
 def _places(phrase: str) -> Column:

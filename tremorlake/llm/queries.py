@@ -115,19 +115,11 @@ WITH templates(template, label, tokens, need) AS (VALUES {templates}),
 low AS (SELECT row_number() OVER () AS r, doc_id,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
 w AS (SELECT r, doc_id, regexp_extract_all(low, '{word}') AS words FROM low),
-line AS (SELECT r, row_number() OVER () AS line, regexp_extract_all(l, '{word}') AS words
-    FROM (SELECT r, unnest(string_split(low, chr(10))) AS l FROM low)),
-block AS (
-    SELECT r, line, 0 AS pos, words FROM line WHERE len(words) <= {size}
-    UNION ALL
-    SELECT r, line, pos, list_slice(words, pos + 1, pos + {size}) FROM (
-        SELECT r, line, words, unnest(range(0, len(words) - {half}, {half})) AS pos FROM line WHERE len(words) > {size})),
-hit AS (SELECT r, line, pos, template, label, tokens, len(list_intersect(tokens, words)) / len(tokens) AS containment
+block AS (SELECT r, pos, list_slice(words, pos + 1, pos + {size}) AS words FROM (
+    SELECT r, words, unnest(range(0, greatest(len(words) - {half}, 1), {half})) AS pos FROM w)),
+hit AS (SELECT r, label, len(list_intersect(tokens, words)) / len(tokens) AS containment
     FROM block JOIN templates ON len(list_intersect(tokens, words)) >= need),
-stands AS (SELECT * FROM hit a WHERE NOT EXISTS (
-    SELECT 1 FROM hit b WHERE a.r = b.r AND a.line = b.line AND a.pos = b.pos
-    AND len(b.tokens) > len(a.tokens) AND list_has_all(b.tokens, a.tokens))),
-more AS (SELECT r, list(DISTINCT label) AS more, max(containment) AS containment FROM stands GROUP BY r),
+more AS (SELECT r, list(DISTINCT label) AS more, max(containment) AS containment FROM hit GROUP BY r),
 p AS (SELECT r, doc_id, words, {places} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base FROM w)
 SELECT doc_id, len(words) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
     array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
