@@ -151,3 +151,10 @@ def test_vectors_odd_rows(spark):
     assert got == sorted([(1, 4, 1), (1, 4, 1), (2, 4, 1), (13, 4, 1), (99, 4, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 0, 6),
                           (7, 0, 7), (8, 0, 8), (9, 0, 9), (10, 0, 10), (11, 1, 11), (12, 1, 11)])
     assert vector_dedup.dedup(vectors.limit(0)).count() == 0
+
+
+def test_labels_and_numbers_stay_apart(spark):
+    rows = [(1, [2.0], "a,1.0"), (2, [1.0, 2.0], "a"), (3, [1.0], 'a","v":[1.0'), (4, [1.0, 1.0], "a"), (5, [3.0], "a,1.0"), (6, [2.0, 4.0], "a")]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_dedup.dedup(vectors).collect())
+    assert got == [(1, 1, 1), (2, 1, 2), (3, 0, 3), (4, 0, 4), (5, 1, 1), (6, 1, 2)]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def meetings(members: DataFrame, group: str = "group", node: str = "node", *, block: int) -> DataFrame:
     """``members`` of groups of two or more, each once for every meeting of its block with a block of its group.
 
-    A block has ``block`` members on average. Adds meeting (its number), side (0 or 1) and alone (True where a block meets itself). ``group`` and ``node`` must be unique together.
+    A block has ``block`` members on average. Adds meeting (its name: group and blocks), side (0 or 1) and alone (True where a block meets itself). ``group`` and ``node`` must be unique together.
     """
     sizes = members.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__size")).filter("__size > 1")
     found = members.join(sizes, F.col(group) == F.col("__group"))
@@ -23,7 +23,7 @@ def meetings(members: DataFrame, group: str = "group", node: str = "node", *, bl
     own = F.pmod(F.xxhash64(node, group, F.lit("block")), blocks)
     met = found.withColumns({"__own": own, "__other": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
     return met.withColumns({
-        "meeting": F.xxhash64(group, F.least("__own", "__other"), F.greatest("__own", "__other")),
+        "meeting": F.concat_ws("/", F.col(group).cast("string"), F.least("__own", "__other"), F.greatest("__own", "__other")),
         "side": (F.col("__own") > F.col("__other")).cast("int"),
         "alone": F.col("__own") == F.col("__other"),
     }).drop("__group", "__size", "__own", "__other")

@@ -83,7 +83,7 @@ def _usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> Data
              & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"),
                           F.col(embedding).cast("array<double>").alias("v"))
-    name = F.md5(F.concat_ws(",", F.col("label"), F.transform("v", lambda x: (x + 0.0).cast("string"))))
+    name = F.md5(F.to_json(F.struct("label", F.transform("v", lambda x: x + 0.0).alias("v"))))  # no label reads like a number
     return rows.withColumn("node", F.when(sound, name))
 
 
