@@ -267,7 +267,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     marks = stored(members.select("doc_id", "node", stays.alias("stays")).groupBy("doc_id", "node", "stays").count().filter(
         "NOT stays OR count > 1").select("doc_id", _key(F.col("doc_id"), F.col("node")).alias("__gone"), "stays"), "marks")
     gone = marks.filter("NOT stays").select("__gone")
-    may, stay = prefilter.split(docs, F.col(doc_id).cast("long"), marks.select("doc_id").distinct())
+    # The whole row lies in one column, so no name of its own can clash with one of these.
+    whole = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    may, stay = prefilter.split(whole, F.col("id"), marks.select("doc_id").distinct())
 
     @F.pandas_udf("string")
     def node_of(texts: pd.Series) -> pd.Series:
@@ -276,8 +278,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
 
     # Texts without words have no node: a key of their own each.
     own = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
-    may = may.withColumn("__node", node_of(F.col(text).cast("string"))).withColumn("__key", F.when(
-        F.col("__node").isNull(), own).otherwise(_key(F.col(doc_id).cast("long"), F.col("__node"))))
+    may = may.withColumn("node", node_of(F.col("text"))).withColumn("__key", F.when(
+        F.col("node").isNull(), own).otherwise(_key(F.col("id"), F.col("node"))))
     # Repeats leave inside map tasks, before the shuffle.
     left = may.dropDuplicates(["__key"]).hint("merge").join(gone, F.col("__key") == F.col("__gone"), "left_anti")
-    return stay.unionByName(left.drop("__node", "__key"))
+    return stay.select("row.*").unionByName(left.select("row.*"))

@@ -128,17 +128,18 @@ def _cut(batch: pd.DataFrame, reach: int) -> Iterator[pd.DataFrame]:
 
 
 def _with_cuts(docs: DataFrame, doc_id: str, text: str, reach: int, least_words: int) -> DataFrame:
-    """``docs`` with __words, __ids and, where passages go, __cut (text, spans)."""
+    """row (all columns of ``docs``), text, id and, where passages go, runs, words, ids and cut (text, spans)."""
     folder = work_folder(docs.sparkSession, "substring-dedup")
     passages(docs, doc_id, text, reach, least_words).groupBy("id", "text_hash").agg(
-        F.collect_list(F.struct("first_place", "last_place")).alias("__runs"), F.sum("words").alias("__words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("original_ids")))).alias("__ids")
-    ).withColumnsRenamed({"id": "__id", "text_hash": "__hash"}).write.parquet(folder)
+        F.collect_list(F.struct("first_place", "last_place")).alias("runs"), F.sum("words").alias("words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("original_ids")))).alias("ids")
+    ).withColumnsRenamed({"id": "f_id", "text_hash": "f_hash"}).write.parquet(folder)
     found = docs.sparkSession.read.parquet(folder)
-    key = F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), F.xxhash64(text))
-    may, untouched = prefilter.split(docs, key, found.select(F.xxhash64("__id", "__hash").alias("key")))
-    same: Column = (F.coalesce(may[doc_id].cast("long"), F.lit(LAST_ID)) == found["__id"]) & (
-        F.xxhash64(may[text]) == found["__hash"])
+    # The whole row lies in one column, so no name of its own can clash with one of these.
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"),
+                        F.xxhash64(text).alias("text_hash"))
+    may, untouched = prefilter.split(whole, F.xxhash64("id", "text_hash"), found.select(F.xxhash64("f_id", "f_hash").alias("key")))
+    same: Column = (F.col("id") == F.col("f_id")) & (F.col("text_hash") == F.col("f_hash"))
 
     @F.pandas_udf("text string, spans array<struct<start:long,end:long>>")
     def cut(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -148,8 +149,8 @@ def _with_cuts(docs: DataFrame, doc_id: str, text: str, reach: int, least_words:
             spans += some_spans
         return pd.DataFrame({"text": kept, "spans": spans})
 
-    joined = may.hint("merge").join(found, same, "left").drop("__id", "__hash")
-    joined = joined.withColumn("__cut", cut(F.when(F.col("__runs").isNotNull(), F.col(text)), F.col("__runs")))
+    joined = may.hint("merge").join(found, same, "left").drop("f_id", "f_hash")
+    joined = joined.withColumn("cut", cut(F.when(F.col("runs").isNotNull(), F.col("text")), F.col("runs")))
     return joined.unionByName(untouched, allowMissingColumns=True)
 
 
@@ -157,8 +158,8 @@ def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach:
             least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with its repeated passages removed from ``text``."""
     found = _with_cuts(docs, doc_id, text, reach, least_words)
-    return found.withColumn(text, F.when(F.col("__runs").isNotNull(), F.col("__cut.text")).otherwise(F.col(text))).drop(
-        "__runs", "__words", "__ids", "__cut")
+    new = F.when(F.col("runs").isNotNull(), F.col("cut.text")).otherwise(F.col("text"))
+    return found.select(*[new.alias(name) if name == text else F.col("row").getField(name).alias(name) for name in docs.columns])
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH,
@@ -169,9 +170,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: in
     hold the originals (``LAST_ID`` for one without an id).
     """
     found = _with_cuts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", reach, least_words)
-    spans = "array<struct<start:long,end:long>>"
+    spans, some = "array<struct<start:long,end:long>>", F.col("runs").isNotNull()
     return found.select(
-        "doc_id", F.when(F.col("__runs").isNotNull(), F.col("__cut.text")).otherwise(F.col("text")).alias("text"),
-        F.coalesce("__words", F.lit(0).cast("long")).alias("removed_words"),
-        F.when(F.col("__runs").isNotNull(), F.col("__cut.spans")).otherwise(F.array().cast(spans)).alias("removed_spans"),
-        F.coalesce("__ids", F.array().cast("array<long>")).alias("original_ids"))
+        "row.doc_id", F.when(some, F.col("cut.text")).otherwise(F.col("text")).alias("text"),
+        F.coalesce("words", F.lit(0).cast("long")).alias("removed_words"),
+        F.when(some, F.col("cut.spans")).otherwise(F.array().cast(spans)).alias("removed_spans"),
+        F.coalesce("ids", F.array().cast("array<long>")).alias("original_ids"))
