@@ -12,6 +12,7 @@ import numpy as np
 import oracle_check
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -131,7 +132,7 @@ def test_html_keeps_all_visible_words(spark, sf_dir):
 
 def test_small_buckets_split_and_chains_hold(spark, documents):
     rows = [(i, f"text number {i % 150}") for i in range(400)]
-    index = exact_dedup.build_index(documents(rows), capacity=4)
+    index, slots, _ = exact_dedup.build_index(documents(rows), capacity=4)
     loads = {(r.address, r.depth): r["count"] for r in index.groupBy("address", "depth").count().collect()}
     assert max(loads.values()) <= 4 and len({d for _, d in loads}) > 1 and sum(loads.values()) == 150
     for r in index.collect():
@@ -140,6 +141,37 @@ def test_small_buckets_split_and_chains_hold(spark, documents):
     assert got == {i: (i % 150, 3 if i % 150 < 100 else 2) for i, _ in rows}
 
 
+def test_answers_come_through_the_directory(spark, documents):
+    """Without a slot for a key its rows find nothing; with two buckets for its slot they are found in both."""
+    rows = [(i, f"text number {i % 150}") for i in range(400)]
+    key = {r.doc_id: r.key for r in exact_dedup._hashed(documents(rows), "doc_id", "text").collect()}
+    slot = lambda i: (key[i] % (1 << 64)) >> 48
+
+    def without_one(keys, folder, capacity):
+        return exact_dedup.directory(keys, folder, capacity).filter(F.col("slot") != slot(7))
+
+    got = {r.doc_id for r in exact_dedup.decide(documents(rows), capacity=4, directory_of=without_one).collect()}
+    assert got == {i for i, _ in rows if slot(i) != slot(7)} and len(got) < 400
+
+    def one_bucket(keys, folder, capacity):
+        return exact_dedup.directory(keys, folder, capacity).withColumns({"address": F.lit(0).cast("long"), "depth": F.lit(0)})
+
+    whole = exact_dedup.decide(documents(rows), capacity=4, directory_of=one_bucket)
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in whole.collect()} == {i: (i % 150, 3 if i % 150 < 100 else 2) for i, _ in rows}
+
+
+def test_directory_depths(spark, tmp_path):
+    """Every slot once; no bucket over its capacity unless it has all bits; capacity grows where the bits end."""
+    keys = spark.range(60_000).select(F.xxhash64("id").alias("key")).unionByName(
+        spark.range(3000).select(F.col("id").alias("key")))  # these share their leading bits
+    slots = exact_dedup.directory(keys, str(tmp_path / "a"), 64)
+    held = exact_dedup._addressed(keys.distinct(), slots).groupBy("address", "depth").agg(F.count("*").alias("n")).collect()
+    assert sum(r.n for r in held) == 63_000 and len(held) == len({r.address for r in held})
+    assert all(r.n <= 64 or r.depth == 16 for r in held) and max(r.depth for r in held) == 16 and min(r.depth for r in held) < 12
+    assert exact_dedup.directory(keys.limit(0), str(tmp_path / "b"), 64).count() == 0
+    assert [(r.address, r.depth) for r in exact_dedup.directory(keys.limit(1), str(tmp_path / "c"), 64).collect()] == [(0, 0)]
+
+
 # 3
 
 def _passages_by_hand(texts):
