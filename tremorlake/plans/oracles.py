@@ -333,3 +333,5 @@ ORACLES["ingest_rejects_stream"] = f"""{_MIX_EVENTS} SELECT f.seq, f.event_pos,
     UNION ALL SELECT o.seq, NULL, outcome, NULL, NULL, NULL, p.payload FROM outcomes o JOIN payloads p ON p.seq = o.seq WHERE outcome = 'API_ERROR'"""
 ORACLES["load_newest_zones"] = ORACLES["load_newest_5"]
 ORACLES["landed_summary"] = f"{_EVENTS} SELECT count(*) AS n_rows, min(magnitude) AS least, max(magnitude) AS largest FROM normalized"
+ORACLES["kafka_log_records"] = f"""SELECT '{{"timestamp":"' || "timestamp" || '","service":"' || service || '","log_type":"' || log_type ||
+    '","level":"' || level || '","message":"' || message || '"}}' AS value FROM ({ORACLES["payload_outcome_logs"]})"""

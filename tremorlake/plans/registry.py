@@ -234,6 +234,11 @@ def kafka_encode(spark, sf_dir):
     return codec.event_records(_events(spark, sf_dir).select(*schemas.EVENT.fieldNames()))
 
 
+def kafka_log_records(spark, sf_dir):
+    """The log lines of every payload as queue records."""
+    return codec.log_records(payload_outcome_logs(spark, sf_dir).drop("cycle"))
+
+
 def kafka_malformed(spark, sf_dir):
     return monitor.malformed(_kafka(spark, sf_dir)).select("offset", F.col("value").cast("string").alias("value"))
 
@@ -417,7 +422,7 @@ QUERIES = {
         payload_unwrap, payload_outcome_logs, normalize_events, normalize_rejects, normalize_time_id,
         event_id_md5, dedup_first_seen, dedup_stream, dedup_stream_batches, cycle_summary, ingest_logs_stream, ingest_rejects_stream,
         landing_fan_out, recovered_landing, processed_counts_stream, send_once,
-        landing_payloads, monitor_streams, kafka_decode, kafka_encode,
+        landing_payloads, monitor_streams, kafka_decode, kafka_encode, kafka_log_records,
         kafka_malformed, stream_to_parquet, load_event_time, load_original_time, load_twice,
         load_newest_zones, landed_summary, load_sample, load_counts, load_newest_5,
         html_rows, html_cells, html_records, html_union_totals, html_page_counts,

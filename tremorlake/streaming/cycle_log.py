@@ -25,7 +25,7 @@ def lines_of(progress, service: str = SERVICE) -> list[dict[str, str]]:
     if payloads > sum(outcomes.values()):
         valid, sent = metrics["valid"]["n"], metrics["sent"]["n"]
         # The last dedup step holds one row per id; an earlier, spread one holds more.
-        held = min(op.numRowsTotal for op in progress.stateOperators)
+        held = min((op.numRowsTotal for op in progress.stateOperators), default=sent)
         lines.append(("FETCH_SUCCESS", "INFO", success_text(sent, valid - sent, held)))
     if late := sum(op.numRowsDroppedByWatermark for op in progress.stateOperators):
         lines.append(("LATE_DROPPED", "WARNING", LATE % late))
