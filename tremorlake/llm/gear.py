@@ -30,11 +30,15 @@ def cuts(data: np.ndarray, mean: int) -> np.ndarray:
     return at[(data[at] & 0xC0) != 0x80]
 
 
+#: Words after which a chunk ends if no border came.
+LONGEST = 64
+
+
 def word_cuts(data: np.ndarray, start: np.ndarray, doc: np.ndarray, reach: int) -> np.ndarray:
     """Numbers of the words that begin a chunk: the first of each text, and those at a local minimum of the hash.
 
     A word begins a chunk when the hash just before it is below those of the ``reach`` words before it and
-    not above those of the ``reach`` words after it, within its text. ``start`` and ``doc`` are each word's
+    not above those of the ``reach`` words after it, within its text; a chunk ends after ``LONGEST`` words. ``start`` and ``doc`` are each word's
     first byte in ``data`` and text; equal words have equal borders if ``data`` is :func:`textkit.Words.stream`.
     """
     if not len(start):
@@ -47,4 +51,8 @@ def word_cuts(data: np.ndarray, start: np.ndarray, doc: np.ndarray, reach: int)
         least[:-k] &= ~same | (value[:-k] <= value[k:])
     least[1:] |= doc[1:] != doc[:-1]
     least[0] = True
+    first = np.flatnonzero(least)
+    size = np.diff(np.append(first, len(start)))
+    for k in np.flatnonzero(size > LONGEST):  # words that repeat have no least one
+        least[first[k]:first[k] + size[k]:LONGEST] = True
     return np.flatnonzero(least)
