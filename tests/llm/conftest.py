@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 CLASHING = ("key", "norm", "kept", "score", "node", "group", "a", "b", "label", "words", "id", "place", "root", "copies",
             "text_hash", "bucket", "meeting", "side", "digest", "low", "class_id", "n_links", "__hash", "__place", "__part", "__bits",
             "__node", "__key", "__gone", "__runs", "__words", "__ids", "__cut", "__id", "__keep", "__twin", "row", "cut", "runs", "twin",
-            "slot", "address", "depth", "f_id", "k_id", "range", "grp", "absent", "chars", "keep_id")
+            "slot", "address", "depth", "f_id", "k_id", "range", "grp", "absent", "chars", "keep_id", "__score", "__w", "__hub", "__root")
 
 
 @pytest.fixture(scope="session")

@@ -13,14 +13,14 @@ whatever the corpus, goes to the tasks that score; scoring has no shuffle.
 
 Defined results: null and empty texts have no terms and get the score of the bias, which is held below 0.5; a
 sample without both labels gives the share of toxic rows in it (0 without rows) as every score; labels that are null are not
-learned from; rows that repeat an id are scored each; columns of other names pass through ``filtered``.
+learned from; rows that repeat an id are scored each; columns of all other names pass through ``filtered``.
 """
 
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorlake.llm.shipping import ship
@@ -191,9 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
     return bytes(got[0].machine) if got else Machine(-30.0, np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS))).to_bytes()
 
 
-def scored(docs: DataFrame, model: bytes, text: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with a score column more."""
-    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
+def scores(spark: SparkSession, model: bytes, text: Column) -> Column:
+    """The score of a text column."""
+    shared = ship(spark).sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -202,10 +202,14 @@ def scored(docs: DataFrame, model: bytes, text: str = "text", score: str = "scor
             out = [machine.score(terms(part)) for part in slices(as_bytes(batch), 8 << 20)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.withColumn(score, of(F.col(text).cast("string")))
+    return of(text.cast("string"))
+
+
+def scored(docs: DataFrame, model: bytes, text: str = "text", score: str = "score") -> DataFrame:
+    """``docs`` with a score column more."""
+    return docs.withColumn(score, scores(docs.sparkSession, model, F.col(text)))
 
 
 def filtered(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their columns."""
-    kept = scored(docs, fit(docs, labels), score="__score").filter(F.col("__score") < threshold)
-    return kept.drop("__score")
+    return docs.filter(scores(docs.sparkSession, fit(docs, labels), F.col("text")) < threshold)
