@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import itertools
 import random
 import re
 import textwrap
@@ -414,6 +415,21 @@ def test_toxicity_learns_pairs():
     assert float(machine.factors[7] @ machine.factors[9]) > 1
 
 
+def test_toxicity_margin_by_a_double_loop():
+    rng = np.random.default_rng(4)
+    machine = toxicity.Machine(-0.3, rng.normal(size=toxicity.BUCKETS), rng.normal(size=(toxicity.BUCKETS, toxicity.FACTORS)))
+    sets = [np.unique(rng.integers(0, toxicity.BUCKETS, n)).astype(np.int32) for n in (0, 1, 2, 7, 40)]
+    want = []
+    for own in sets:
+        total = machine.bias + sum(machine.weights[i] for i in own)
+        for i, j in itertools.combinations(own, 2):
+            total += sum(machine.factors[i][f] * machine.factors[j][f] for f in range(toxicity.FACTORS))
+        want.append(total)
+    got, _ = machine.margin(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert np.allclose(got, want)
+    assert np.allclose(machine.score(sets), 1 / (1 + np.exp(-np.clip(want, -30, 30))))
+
+
 # 7
 
 def _jaccard_by_hand(texts, n=5, threshold=0.8):
@@ -439,7 +455,9 @@ def _jaccard_by_hand(texts, n=5, threshold=0.8):
     return {i: (root[i], len(links[i])) for i in ids}
 
 
-def test_near_join_of_a_large_group_in_blocks(spark, documents, monkeypatch):
+@pytest.mark.parametrize("hubs", [4096, 20, 1])
+def test_near_join_of_a_large_group_in_blocks(spark, documents, monkeypatch, hubs):
+    monkeypatch.setattr(linking, "HUBS", hubs)
     monkeypatch.setattr(near_join, "LOOK_BLOCK", 16)
     monkeypatch.setattr(near_join, "VERIFY_BLOCK", 16)
     rng = random.Random(11)
@@ -470,6 +488,42 @@ def test_components_of_paths_and_stars(spark, tmp_path):
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}, 300: 300, 301: 300}
 
 
+@pytest.mark.parametrize("hubs", [4096, 30, 1])
+def test_components_equal_a_search(spark, tmp_path, monkeypatch, hubs):
+    """Hubs of greater, of lesser and of mixed neighbours, chains and chance edges, with and without a broadcast."""
+    monkeypatch.setattr(linking, "HUBS", hubs)
+    rng = random.Random(hubs)
+    edges = [(500, i) for i in range(400, 640)] + [(0, i) for i in range(1000, 1100)] + [(3000, i) for i in range(2900, 3000)]
+    edges += [(i, i + 1) for i in range(2000, 2040)] + [(rng.randrange(1000, 4000), rng.randrange(1000, 4000)) for _ in range(600)]
+    beside = defaultdict(set)
+    for a, b in edges:
+        if a != b:
+            beside[a].add(b)
+            beside[b].add(a)
+    want = {}
+    for i in sorted(beside):
+        todo = [] if i in want else [i]
+        while todo:
+            node = todo.pop()
+            if node not in want:
+                want[node] = i
+                todo += beside[node]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    found = linking.components(frame, str(tmp_path)).collect()
+    assert {r.node: r.root for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("hubs", [4096, 8, 1])
+def test_lookups_with_and_without_hubs(spark, monkeypatch, hubs):
+    monkeypatch.setattr(linking, "HUBS", hubs)
+    keys = [i % 7 if i % 2 else 100 for i in range(300)]
+    rows = spark.createDataFrame(list(enumerate(keys)), "i int, k int")
+    found = spark.createDataFrame([(k, k * k) for k in (0, 1, 2, 100)], "key int, square int")
+    got = {r.i: (r.k, r.square) for r in linking.looked_up(rows, "k", found, 300).collect()}
+    assert got == {i: (k, k * k if k in (0, 1, 2, 100) else None) for i, k in enumerate(keys)}
+    assert linking.looked_up(rows.limit(0), "k", found, 0).count() == 0
+
+
 # 8
 
 def _licenses_by_hand(text):
@@ -535,7 +589,9 @@ def test_codes_estimate_without_bias():
     assert abs(error.mean()) < 0.01 and (np.abs(error) < 4 * spread).mean() > 0.999
 
 
-def test_vector_groups_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("hubs", [4096, 20])
+def test_vector_groups_in_blocks(spark, monkeypatch, hubs):
+    monkeypatch.setattr(linking, "HUBS", hubs)
     monkeypatch.setattr(vector_dedup, "BLOCK", 16)
     rng = np.random.default_rng(9)
     centre = rng.normal(size=32)

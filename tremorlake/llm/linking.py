@@ -12,13 +12,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def meetings(members: DataFrame, group: str = "group", node: str = "node", *, block: int) -> DataFrame:
+#: Fewer keys than this are looked up from a broadcast, however many rows there are.
+HUBS = 4096
+
+
+def looked_up(rows: DataFrame, key: str, found: DataFrame, total: int) -> DataFrame:
+    """``rows`` with the columns of ``found``, whose first column holds each key once; null where it lacks a key.
+
+    ``total`` is the number of rows, or more. The keys with over 1 / HUBS of it are fewer than HUBS; they are looked up from a
+    broadcast, so no key brings more than that share of the rows into one task. Keys must not be null.
+    """
+    own, *more = found.columns
+    hubs = rows.groupBy(F.col(key).alias("__hub")).agg(F.count(F.lit(1)).alias("__rows")).filter(
+        F.col("__rows") > total // HUBS).select("__hub")
+    hot = hubs.join(found, F.col("__hub") == F.col(own), "left").select("__hub", *more)
+    met = rows.join(F.broadcast(hot), F.col(key) == F.col("__hub")).drop("__hub")
+    rest = rows.join(F.broadcast(hubs), F.col(key) == F.col("__hub"), "left_anti")
+    return met.unionByName(rest.join(found, F.col(key) == F.col(own), "left").drop(own))
+
+
+def meetings(members: DataFrame, total: int, group: str = "group", node: str = "node", *, block: int) -> DataFrame:
     """``members`` of groups of two or more, each once for every meeting of its block with a block of its group.
 
-    A block has ``block`` members on average. Adds meeting (its name: group and blocks), side (0 or 1) and alone (True where a block meets itself). ``group`` and ``node`` must be unique together.
+    A block has ``block`` members on average. Adds meeting (its name: group and blocks), side (0 or 1) and alone (True where a
+    block meets itself). ``group`` and ``node`` must be unique together; ``total`` is the number of members, or more: sizes of
+    the fewer than HUBS groups that hold over 1 / HUBS of it are broadcast.
     """
     sizes = members.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__size")).filter("__size > 1")
-    found = members.join(sizes, F.col(group) == F.col("__group"))
+    large, small = (sizes.filter(F.col("__size") > total // HUBS), sizes.filter(F.col("__size") <= total // HUBS))
+    same = F.col(group) == F.col("__group")
+    rest = members.join(F.broadcast(large.select("__group")), same, "left_anti")
+    found = members.join(F.broadcast(large), same).unionByName(rest.join(small, same))
     blocks = F.ceil(F.col("__size") / block)
     own = F.pmod(F.xxhash64(node, group, F.lit("block")), blocks)
     met = found.withColumns({"__own": own, "__other": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
@@ -97,27 +121,30 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, folder: str, a: str = "a", b: str = "b") -> DataFrame:
     """node and root, the smallest node it reaches, for every node of an edge; by alternating star contractions.
 
-    Each round is written to ``folder`` and read back, so a lost executor never repeats earlier rounds. Minima are combined in
-    map tasks; joins on a node with very many edges are left to Spark's handling of skewed joins.
+    Edges point from the greater node to the lesser. A round sends each edge to the least node its lesser end points to (itself
+    where there is none), then joins the other ends of a node to the least of them. Each half is written to
+    ``folder`` and read back, so a lost executor never repeats earlier rounds. Minima are combined in map tasks, and the
+    minima of nodes with very many edges are looked up from a broadcast of bounded size.
     """
     spark = edges.sparkSession
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     rows = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     past = None
-    for turn in range(100):
-        path = f"{folder}/stars-{turn}"
-        rows.write.parquet(path)
-        rows = spark.read.parquet(path)
+    for turn in range(100):  # the logarithm of the nodes bounds the rounds
+        rows = stored(rows, f"stars-{turn}")
         now = tuple(rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first())
         if now == past or not now[0]:
             return rows.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 rows.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         past = now
-        both = rows.unionByName(rows.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        small = large.join(lowest, F.col("a") == F.col("u"))
-        rows = small.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            small.select("a", F.col("m").alias("b"))).distinct()
+        least = rows.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        large = stored(looked_up(rows, "b", least, now[0]).select("a", F.coalesce("m", "b").alias("b")), f"ends-{turn}")
+        lowest = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.max("b").alias("most"))
+        several = lowest.filter("m != most").select("u", "m")
+        small = looked_up(large, "a", several, now[0]).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        rows = small.unionByName(lowest.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
     raise RuntimeError("components did not settle")

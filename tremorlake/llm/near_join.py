@@ -142,7 +142,7 @@ def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataF
                 yield pd.DataFrame({"a": node[linked], "b": node[root[linked]]}).drop_duplicates()
 
     keys = classes.select("node", F.explode("bands").alias("group"))
-    met = linking.meetings(keys, block=LOOK_BLOCK).join(classes.select(F.col("node").alias("__n"), "sketch"), F.col("node") == F.col("__n"))
+    met = linking.meetings(keys, BANDS * classes.count(), block=LOOK_BLOCK).join(classes.select(F.col("node").alias("__n"), "sketch"), F.col("node") == F.col("__n"))
     return linking.dealt(met.select("meeting", "side", "alone", "node", "sketch")).mapInPandas(run, "a string, b string")
 
 
@@ -165,8 +165,8 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verified(members: DataFrame, threshold: float) -> DataFrame:
-    """node, links (copies counted) and root for each class and meeting with a link; ``members`` has group, node, copies, shingles."""
+def _verified(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """node, links (copies counted) and root for each class and meeting with a link, of members (group, node, copies) with sets."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in linking.whole_groups(batches):
@@ -186,8 +186,8 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
                 if len(some):
                     yield pd.DataFrame({"node": node[some], "links": links[some], "root": node[root[some]]})
 
-    met = linking.meetings(members, block=VERIFY_BLOCK).select("meeting", "side", "alone", "node", "copies", "shingles")
-    return linking.dealt(met).mapInPandas(run, "node string, links long, root string")
+    met = linking.meetings(members, members.count(), block=VERIFY_BLOCK).join(sets, "node")
+    return linking.dealt(met.select("meeting", "side", "alone", "node", "copies", "shingles")).mapInPandas(run, "node string, links long, root string")
 
 
 def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -213,8 +213,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
          tolerance: float = TOLERANCE) -> DataFrame:
     """doc_id, class_id (smallest doc_id reachable over links), n_links (other rows linked directly) and kept."""
     rows, named, stored = _named_classes(docs, doc_id, text, threshold, tolerance)
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    decided = stored(named.join(smallest, "root").select(
+    smallest = named.groupBy(F.col("root").alias("__root")).agg(F.min("first_id").alias("class_id"))
+    decided = stored(linking.looked_up(named, "root", smallest, named.count()).select(
         "node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         (F.col("first_id").eqNullSafe(F.col("class_id"))).alias("first")), "decided")
     out = rows.select("doc_id", "node").join(decided, "node", "left")
@@ -239,9 +239,8 @@ def _named_classes(docs: DataFrame, doc_id: str, text: str, threshold: float,
         F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
     clusters = linking.components(_candidates(classes, threshold, tolerance), f"{folder}/candidates")
     clusters = stored(clusters.join(classes.select("node", "copies", "first_id"), "node"), "clusters")
-    members = clusters.join(_sets(docs, doc_id, text, clusters), "node").select(
-        F.col("root").alias("group"), "node", "copies", "shingles")
-    linked = stored(_verified(members, threshold), "linked")
+    members = clusters.select(F.col("root").alias("group"), "node", "copies")
+    linked = stored(_verified(members, _sets(docs, doc_id, text, clusters), threshold), "linked")
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     found = linking.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), f"{folder}/links")
     named = classes.select("node", "copies", "first_id").join(found, "node", "left").join(links, "node", "left").withColumn(
@@ -261,8 +260,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("one")).select(
         F.col("one.node").alias("__first"))
     stays = F.col("__first").isNotNull() & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    members = rows.select("doc_id", "node").join(groups.select("node", "first_id").join(
-        first, F.col("node") == F.col("__first"), "left"), "node")
+    # Stored, so that rows of a set with very many copies can be dealt anew where they join it.
+    firsts = stored(groups.select("node", "first_id").join(first, F.col("node") == F.col("__first"), "left"), "firsts")
+    members = rows.select("doc_id", "node").join(firsts, "node")
     # Rows that go, and rows that stand for a class but repeat both id and set.
     marks = stored(members.select("doc_id", "node", stays.alias("stays")).groupBy("doc_id", "node", "stays").count().filter(
         "NOT stays OR count > 1").select("doc_id", _key(F.col("doc_id"), F.col("node")).alias("__gone"), "stays"), "marks")

@@ -110,7 +110,7 @@ def _keyed(nodes: DataFrame, tables: int, bits: int) -> DataFrame:
         run, "node string, keys array<long>, code binary, factor double, copies long, unit array<double>")
 
 
-def _links(keyed: DataFrame, threshold: float, confidence: float) -> DataFrame:
+def _links(keyed: DataFrame, tables: int, threshold: float, confidence: float) -> DataFrame:
     """node, links (copies counted) and root for each node and meeting with a link."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame | None:
@@ -147,7 +147,7 @@ def _links(keyed: DataFrame, threshold: float, confidence: float) -> DataFrame:
                     yield found
 
     keys = keyed.select("node", F.posexplode("keys").alias("table", "group"))
-    met = linking.meetings(keys, block=BLOCK).join(keyed.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
+    met = linking.meetings(keys, tables * keyed.count(), block=BLOCK).join(keyed.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
     rows = met.select("meeting", "side", "alone", "table", "node", "keys", "code", "factor", "copies", "unit")
     return linking.dealt(rows).mapInPandas(run, "node string, links long, root string")
 
@@ -168,14 +168,14 @@ def dedup(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     tables, bits = layout(largest, threshold, miss)
     keyed = stored(_keyed(nodes, tables, bits), "keyed")
-    linked = stored(_links(keyed, threshold, confidence), "linked")
+    linked = stored(_links(keyed, tables, threshold, confidence), "linked")
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     found = linking.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), f"{folder}/links")
     named = nodes.select("node", "copies", "first_id").join(found, "node", "left").join(links, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     named = stored(named, "named")
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    decided = stored(named.join(smallest, "root").select(
+    smallest = named.groupBy(F.col("root").alias("__root")).agg(F.min("first_id").alias("component_id"))
+    decided = stored(linking.looked_up(named, "root", smallest, named.count()).select(
         "node", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "decided")
     out = rows.select("vec_id", "node").join(decided, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
