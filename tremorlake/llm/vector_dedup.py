@@ -7,9 +7,9 @@ below the threshold is dropped and every other pair is computed exactly, in doub
 
 1. *Equal vectors* of one label form a node and count as copies.
 2. *Candidates.* Signs of further random projections give ``tables`` keys of ``bits`` bits. Bits grow with the logarithm of
-   the largest label, so chance meetings grow with the rows only, and tables follow from ``MISS``, the chance that a pair
-   exactly at the threshold shares no key. (A pair at 0.99 is missed a thousand times less.) No number of partners or
-   bucket size is capped: large buckets meet block by block.
+   the largest label and ``SPARE`` bits leave most keys to one vector, which is then not dealt: chance meetings grow with the
+   rows only, and are few. Tables follow from ``MISS``, the chance that a pair exactly at the threshold shares no key. (A pair
+   at 0.99 is missed a thousand times less.) No number of partners or bucket size is capped: large buckets meet block by block.
 3. *Links.* A pair counts in the first table in which it meets. A meeting of two blocks gives a row per node, never per pair.
 4. *Components* of the links.
 
@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tremorlake.llm import linking
 from tremorlake.llm.shipping import ship
@@ -38,6 +39,8 @@ MISS = 1e-5
 #: Standard deviations of the estimate's error that a pair is given before it is dropped.
 CONFIDENCE = 6.0
 SEED = 20_240_501
+#: Bits of a key beyond those that give each vector of the largest label a key of its own on average.
+SPARE = 2
 #: Nodes of a block.
 BLOCK = 1024
 
@@ -71,7 +74,7 @@ def estimates(signs: np.ndarray, factor: np.ndarray, turned: np.ndarray) -> tupl
 def layout(largest: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[int, int]:
     """Tables and bits of a key for labels of up to ``largest`` rows."""
     same = 1 - acos(threshold) / pi
-    bits = min(32, max(8, ceil(log2(max(2, largest))) - 1))
+    bits = min(32, max(8, ceil(log2(max(2, largest))) + SPARE))
     return ceil(log(miss) / log(1 - same ** bits)), bits
 
 
@@ -87,8 +90,19 @@ def _usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> Data
     return rows.withColumn("node", F.when(sound, name))
 
 
-def _keyed(nodes: DataFrame, tables: int, bits: int) -> DataFrame:
-    """Nodes with a key per table, code and correction factor."""
+def _precision(vectors: DataFrame, embedding: str) -> str:
+    """How the numbers of a vector are kept: in single precision where they are of that type, which loses nothing."""
+    kind = getattr(vectors.select(embedding).schema[0].dataType, "elementType", None)
+    return "<f4" if isinstance(kind, FloatType) else "<f8"
+
+
+def _units(raw: np.ndarray) -> np.ndarray:
+    raw = raw / np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def _keyed(nodes: DataFrame, tables: int, bits: int, precision: str) -> DataFrame:
+    """Nodes with a key per table, the sides of the projections that these are made of, code, correction factor and vector."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -96,39 +110,41 @@ def _keyed(nodes: DataFrame, tables: int, bits: int) -> DataFrame:
             for d in np.unique(lengths):
                 part = batch[lengths == d]
                 raw = np.stack(part.v.to_numpy()).astype(np.float64)
-                raw = raw / np.abs(raw).max(axis=1, keepdims=True)
-                unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+                unit = _units(raw)
                 side = (unit @ _projections(int(d), tables * bits) > 0).reshape(len(part), tables, bits)
-                key = (side * (np.uint64(1) << np.arange(bits, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
+                sides = (side * (np.uint64(1) << np.arange(bits, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
                 salt = pd.util.hash_array(part.label.to_numpy(dtype=object)).astype(np.uint64)[:, None]
-                key = mix(mix(key + salt) + np.arange(tables, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d))
+                key = mix(mix(sides + salt) + np.arange(tables, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d))
                 bit, factor = codes(unit)
-                yield pd.DataFrame({"node": part.node, "keys": list(key.view(np.int64)), "code": [b.tobytes() for b in bit],
-                                    "factor": factor, "copies": part.copies, "unit": list(unit)})
+                yield pd.DataFrame({
+                    "node": part.node, "keys": list(key.view(np.int64)), "sides": [x.tobytes() for x in sides.astype("<u4")],
+                    "code": [b.tobytes() for b in bit], "factor": factor, "copies": part.copies,
+                    "vector": [x.tobytes() for x in raw.astype(precision)]})
 
     return nodes.mapInPandas(
-        run, "node string, keys array<long>, code binary, factor double, copies long, unit array<double>")
+        run, "node string, keys array<long>, sides binary, code binary, factor double, copies long, vector binary")
 
 
-def _links(keyed: DataFrame, tables: int, threshold: float, confidence: float) -> DataFrame:
+def _links(keyed: DataFrame, tables: int, precision: str, threshold: float, confidence: float) -> DataFrame:
     """node, links (copies counted) and root for each node and meeting with a link."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame | None:
-        unit = np.stack(frame.unit.to_numpy())
+        unit = _units(np.frombuffer(b"".join(frame.vector), dtype=precision).reshape(len(frame), -1).astype(np.float64))
         d = unit.shape[1]
         turned = (unit @ rotation(d)).astype(np.float32)
         signs = np.frombuffer(b"".join(frame.code), dtype=np.uint8).reshape(len(frame), -1)
-        factor, keys, table = frame.factor.to_numpy(), np.stack(frame["keys"].to_numpy()), frame.table.to_numpy()
+        factor, table = frame.factor.to_numpy(), frame.table.to_numpy()
+        sides = np.frombuffer(b"".join(frame.sides), dtype="<u4").reshape(len(frame), tables)
         copies, node = frame.copies.to_numpy(), frame.node.to_numpy()
         links, ends = np.zeros(len(frame), dtype=np.int64), []
-        earlier = np.arange(keys.shape[1])[None, :]
+        earlier = np.arange(tables)[None, :]
         for i, j in linking.pairs_of(frame, 1 << 17):
             guess, spread = estimates(signs[i], factor[i], turned[j])
             near = np.flatnonzero(guess + confidence * spread >= threshold)
             i, j = i[near], j[near]
             exact = np.flatnonzero((unit[i] * unit[j]).sum(axis=1) >= threshold)
             i, j = i[exact], j[exact]
-            first = np.flatnonzero(~((keys[i] == keys[j]) & (earlier < table[i][:, None])).any(axis=1))
+            first = np.flatnonzero(~((sides[i] == sides[j]) & (earlier < table[i][:, None])).any(axis=1))
             i, j = i[first], j[first]
             np.add.at(links, i, copies[j])
             np.add.at(links, j, copies[i])
@@ -140,15 +156,16 @@ def _links(keyed: DataFrame, tables: int, threshold: float, confidence: float) -
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in linking.whole_groups(batches):
-            lengths = frame.unit.map(len).to_numpy()
+            lengths = frame.vector.map(len).to_numpy()
             for d in np.unique(lengths):  # all of a meeting have one length
                 found = compare(frame[lengths == d].reset_index(drop=True))
                 if found is not None:
                     yield found
 
     keys = keyed.select("node", F.posexplode("keys").alias("table", "group"))
-    met = linking.meetings(keys, tables * keyed.count(), block=BLOCK).join(keyed.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
-    rows = met.select("meeting", "side", "alone", "table", "node", "keys", "code", "factor", "copies", "unit")
+    met = linking.meetings(keys, tables * keyed.count(), block=BLOCK).join(
+        keyed.drop("keys").withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"))
+    rows = met.select("meeting", "side", "alone", "table", "node", "sides", "code", "factor", "copies", "vector")
     return linking.dealt(rows).mapInPandas(run, "node string, links long, root string")
 
 
@@ -167,8 +184,9 @@ def dedup(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
         F.first("label").alias("label")), "nodes")
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     tables, bits = layout(largest, threshold, miss)
-    keyed = stored(_keyed(nodes, tables, bits), "keyed")
-    linked = stored(_links(keyed, tables, threshold, confidence), "linked")
+    precision = _precision(vectors, embedding)
+    keyed = stored(_keyed(nodes, tables, bits, precision), "keyed")
+    linked = stored(_links(keyed, tables, precision, threshold, confidence), "linked")
     links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     found = linking.components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), f"{folder}/links")
     named = nodes.select("node", "copies", "first_id").join(found, "node", "left").join(links, "node", "left").withColumn(
