@@ -555,6 +555,26 @@ def test_license_filters_lose_nothing(documents):
         assert got.get(i, set()) == _licenses_by_hand(text), (i, text)
 
 
+def test_license_windows_start_at_every_word(documents):
+    """Labels are those of any 64 consecutive words, so a line that held a notice by itself still does."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        w = license_scan.TEMPLATES[i % len(license_scan.TEMPLATES)][1].split()
+        gap = (64 - len(w)) // len(w) + (i % 7 == 0)
+        line = " ".join(x + " " + " ".join(rng.choice("some line of text".split()) for _ in range(gap)) for x in w)
+        rows.append((i, "filler word " * rng.randint(0, 50) + "\n" + line + "\n" + "the end " * rng.randint(0, 50)))
+    got, lost = {r.doc_id: set(r.labels.split(",")) - {""} for r in license_scan.scan(documents(rows)).collect()}, 0
+    for i, text in rows:
+        w = words_of(text)
+        windows = [set(w[at:at + 64]) for at in range(max(1, len(w) - 63))]
+        want = {label for label, t in license_scan.TEMPLATES if any(len(set(t.split()) & x) / len(set(t.split())) >= 0.8 for x in windows)}
+        want |= {label for p, label in license_scan.PHRASES.items() if f" {p} " in f" {' '.join(w)} "}
+        assert got[i] == want, (i, text)
+        lost += want > _licenses_by_hand(text)
+    assert lost > 10
+
+
 @pytest.mark.parametrize("width", [10_000, 40, 12])
 def test_every_notice_gives_its_label(documents, width):
     """Plain and wrapped, at the end of a long text and alone."""

@@ -3,11 +3,12 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z. Two ways to find a license:
 
 * *Phrases.* Every place where the words of a phrase stand consecutively.
-* *Set-similarity join.* A text block (a window of ``BLOCK_WORDS`` words, whatever its lines; windows overlap by half) matches a
-  template when it holds at least ``threshold`` of the template's distinct words. Words are ordered by their frequency in the whole
+* *Set-similarity join.* A text matches a template when any ``BLOCK_WORDS`` consecutive words, whatever their lines, hold at least
+  ``threshold`` of the template's distinct words. Windows that start within the same ``BLOCK_WORDS`` words are first taken together as
+  one block. Words are ordered by their frequency in the whole
   corpus, rarest first. A block that reaches the threshold must share one of the first ``n - need + 1`` words of the template's
   order (prefix filter), hold at least ``need`` distinct words (length filter), and at the first shared word enough words
-  must be left on both sides (positional filter). Pairs that pass are counted exactly, and every match stands: a
+  must be left on both sides (positional filter). Of the pairs that pass every window is counted exactly, and every match stands: a
   notice that holds a shorter one's words as well gets both labels.
 
 Templates are a short list of fixed values, so their prefixes are a literal in the scan and their table is
@@ -75,16 +76,32 @@ def word_counts(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
     return {r.word: r["count"] for r in found.groupBy("word").count().collect()}
 
 
-def _blocks(low: Column) -> Column:
-    """Word arrays of a text's blocks."""
-    half = BLOCK_WORDS // 2
-    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - half - 1, F.lit(0)), F.lit(half))
-    return F.flatten(F.transform(F.array(words(low)), lambda w: F.transform(starts(w), lambda at: F.slice(w, at + 1, BLOCK_WORDS))))
+def _last_window(words: Column, step: int) -> Column:
+    """Where the last window starts: the first that reaches the end."""
+    return F.greatest(F.size(words) - BLOCK_WORDS + step - 1, F.lit(0))
+
+
+def _blocks(low: Column, step: int) -> Column:
+    """Word arrays of a text's blocks: all words of the windows that start in the same ``BLOCK_WORDS`` words."""
+    starts = lambda w: F.sequence(F.lit(0), _last_window(w, step), F.lit(BLOCK_WORDS))
+    return F.flatten(F.transform(F.array(words(low)), lambda w: F.transform(
+        starts(w), lambda at: F.slice(w, at + 1, 2 * BLOCK_WORDS - step))))
+
+
+def _most_shared(block: str, tokens: str, step: int) -> Column:
+    """The most words of a template that one window of a block holds."""
+    starts = F.sequence(F.lit(0), _last_window(F.col(block), step), F.lit(step))
+    return F.array_max(F.transform(starts, lambda at: F.size(F.array_intersect(tokens, F.slice(block, at + 1, BLOCK_WORDS)))))
 
 
 def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=None,
-            threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, block, label and containment for each block and each template it holds."""
+            threshold: float = THRESHOLD, step: int = BLOCK_WORDS // 2) -> DataFrame:
+    """doc_id, text_hash, block, label and containment for each block and each template one of its windows holds.
+
+    Windows start at every ``step`` words, a divisor of ``BLOCK_WORDS``.
+    """
+    if BLOCK_WORDS % step:
+        raise ValueError(f"step must divide {BLOCK_WORDS}")
     spark = docs.sparkSession
     rows = _template_rows(TEMPLATES if templates is None else templates, threshold)
     vocabulary = sorted({t for _, _, tokens, _ in rows for t in tokens})
@@ -103,10 +120,10 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templat
     order, front = F.array(*map(F.lit, ranked)), F.array(*map(F.lit, prefixes))
     blocks = (docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), low.alias("low"))
               .filter(F.col("low").rlike(some))
-              .select("doc_id", "text_hash", F.posexplode(_blocks(F.col("low"))).alias("block", "words"))
+              .select("doc_id", "text_hash", F.posexplode(_blocks(F.col("low"), step)).alias("block", "words"))
               .filter(F.arrays_overlap("words", front))
               # Only words of templates can be shared; the others count as rarer or later words of the block.
-              .select("doc_id", "text_hash", "block", F.size(F.array_distinct("words")).alias("distinct_words"),
+              .select("doc_id", "text_hash", "block", "words", F.size(F.array_distinct("words")).alias("distinct_words"),
                       F.array_intersect(order, F.col("words")).alias("shared")))
     probes = blocks.select("*", F.posexplode("shared").alias("position", "word")).filter(F.col("word").isin(prefixes))
     joined = probes.join(table, "word")
@@ -117,7 +134,8 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templat
             # The first shared word of a pair decides, so a pair is counted once.
             .filter(F.array_position("shared", F.array_intersect("tokens", "shared")[0]) == F.col("position") + 1)
             .filter(left_in_both >= F.col("need"))
-            .withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("need"))
+            .filter(overlap >= F.col("need"))
+            .withColumn("overlap", _most_shared("words", "tokens", step)).filter(F.col("overlap") >= F.col("need"))
             .select("doc_id", "text_hash", "block", "label", (F.col("overlap") / F.size("tokens")).alias("containment")))
     # Rows that repeat a document repeat its hits.
     return hits.distinct()
@@ -143,9 +161,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
          threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: its words, the places of the phrases, the labels of both ways and a score.
 
-    The score is 1 with a phrase, else the largest containment of a matching template, else 0.
+    No window of a text is left out. The score is 1 with a phrase, else the largest containment of a matching template, else 0.
     """
-    found = matches(docs, doc_id, text, templates, threshold).groupBy("doc_id", "text_hash").agg(
+    found = matches(docs, doc_id, text, templates, threshold, step=1).groupBy("doc_id", "text_hash").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), lowered(F.col(text)).alias("low"))
             .withColumn("words", words(F.col("low")))

@@ -98,7 +98,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Every block against every template, without filters."""
+    """Every 64 consecutive words of a text against every template whose words the text holds."""
     templates = ", ".join(
         f"({i}, '{label}', {tokens}, {need})" for i, label, tokens, need in
         license_scan._template_rows(license_scan.TEMPLATES, license_scan.THRESHOLD))
@@ -109,16 +109,17 @@ def _license_sql() -> str:
     base = ", ".join(
         "CASE WHEN contains(' ' || array_to_string(words, ' ') || ' ', ' {p} ') THEN '{label}' END".format(
             p=phrase, label=label) for phrase, label in license_scan.PHRASES.items())
-    size, half = license_scan.BLOCK_WORDS, license_scan.BLOCK_WORDS // 2
+    size = license_scan.BLOCK_WORDS
     return f"""
 WITH templates(template, label, tokens, need) AS (VALUES {templates}),
 low AS (SELECT row_number() OVER () AS r, doc_id,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
 w AS (SELECT r, doc_id, regexp_extract_all(low, '{word}') AS words FROM low),
-block AS (SELECT r, pos, list_slice(words, pos + 1, pos + {size}) AS words FROM (
-    SELECT r, words, unnest(range(0, greatest(len(words) - {half}, 1), {half})) AS pos FROM w)),
+whole AS (SELECT r, label, tokens, need, words FROM w JOIN templates ON len(list_intersect(tokens, words)) >= need),
+block AS (SELECT r, label, tokens, need, list_slice(words, pos + 1, pos + {size}) AS words FROM (
+    SELECT *, unnest(range(0, greatest(len(words) - {size} + 1, 1))) AS pos FROM whole)),
 hit AS (SELECT r, label, len(list_intersect(tokens, words)) / len(tokens) AS containment
-    FROM block JOIN templates ON len(list_intersect(tokens, words)) >= need),
+    FROM block WHERE len(list_intersect(tokens, words)) >= need),
 more AS (SELECT r, list(DISTINCT label) AS more, max(containment) AS containment FROM hit GROUP BY r),
 p AS (SELECT r, doc_id, words, {places} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base FROM w)
 SELECT doc_id, len(words) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
