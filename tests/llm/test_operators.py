@@ -596,6 +596,25 @@ def test_license_phrases(documents):
     assert (got[2].n_base, got[2].base_labels, got[3].n_base, got[3].first_word, got[4].n_base) == (1, "cc-by-nc", 0, None, 1)
 
 
+def test_license_query_follows_its_contract(spark, tmp_path, odd_rows):
+    """Counts and places of the contract's phrases by a plain walk over the words."""
+    phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+    texts = ["MIT License", "Under the\tMIT-License, under the mit license", "wonder under the mit license2 the mit license", "cc-by-nc cc by nc",
+             "under the under the MIT LICENSE Apache License, Version 2.0", "apache license version 20", "\x00under\x7fthe{mit}license",
+             "\u00e9under the mit license", "under the m\u0130t license", "UNDER THE MIT LICEN\u017fE", "cc by \U0001f600 nc, cc by nc"]
+    rows = odd_rows + [(100 + i, text) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for doc_id, text in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        places = [(i, label) for p, label in phrases.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]
+        starts = [i for i, _ in places]
+        want.append((doc_id, len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))))
+    got = QUERIES["op8_license_scan"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)) for r in got)
+
+
 # 9
 
 def test_codes_estimate_without_bias():

@@ -158,19 +158,20 @@ def _places(phrase: str) -> Column:
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=None,
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
     """One row per document: its words, the places of the phrases, the labels of both ways and a score.
 
-    No window of a text is left out. The score is 1 with a phrase, else the largest containment of a matching template, else 0.
+    ``phrases`` maps the words of each phrase to its label (``PHRASES`` where none are given). No window of a text is left out. The score is 1 with a phrase, else the largest containment of a matching template, else 0.
     """
+    phrases = PHRASES if phrases is None else phrases
     found = matches(docs, doc_id, text, templates, threshold, step=1).groupBy("doc_id", "text_hash").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), lowered(F.col(text)).alias("low"))
             .withColumn("words", words(F.col("low")))
             .select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
-                    *[_places(p).alias(f"at_{k}") for k, p in enumerate(PHRASES)]))
-    places = F.concat(*[F.col(f"at_{k}") for k in range(len(PHRASES))])
-    base = F.array_compact(F.array(*[F.when(F.size(f"at_{k}") > 0, label) for k, label in enumerate(PHRASES.values())]))
+                    *[_places(p).alias(f"at_{k}") for k, p in enumerate(phrases)]))
+    places = F.concat(*[F.col(f"at_{k}") for k in range(len(phrases))])
+    base = F.array_compact(F.array(*[F.when(F.size(f"at_{k}") > 0, label) for k, label in enumerate(phrases.values())]))
     rows = rows.select("doc_id", "text_hash", "n_words", F.size(places).cast("long").alias("n_base"),
                        F.array_min(places).cast("long").alias("first_word"),
                        F.array_max(places).cast("long").alias("last_word"), F.array_distinct(base).alias("base"))
