@@ -1,5 +1,6 @@
 """What running jobs keep between batches: ids, marks, bookmarks, timers, counts."""
 
+import os
 import re
 import time
 from datetime import date, datetime, timedelta
@@ -299,3 +300,30 @@ def test_counts_come_from_footers(spark, tmp_path):
         assert "PushedAggregation: [COUNT(*), MIN(magnitude), MAX(magnitude)]" in found._jdf.queryExecution().toString()
         assert tuple(found.first()) == (1000, 0.0, 99.9)
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == listed
+
+
+def test_page_range_asks_for_its_folders_alone(spark, tmp_path, monkeypatch):
+    """Folders of two widths, replaced ones, and an archive without notes of its widths give the same pages."""
+    def pages(first, last, text):
+        return spark.range(first, last + 1).select(F.col("id").alias("page_num"), F.concat(F.lit(text), "id").alias("html"))
+
+    def found(root, first, last):
+        return sorted((r.page_num, r.html) for r in page_sink.read_html(spark, root, first, last).collect())
+
+    root = f"{tmp_path}/noted"
+    page_sink.archive_html(pages(-30, 300, "a"), root, 20)
+    page_sink.archive_html(pages(41, 45, "b"), root, 20)
+    page_sink.archive_html(pages(1000, 1150, "c"), root, 100)
+    assert not [name for name in os.listdir(root) if "staged" in name]
+    ranges = [(31, 238), (41, 41), (-25, 3), (290, 1010), (400, 900), (9, 2)]
+    named = [found(root, *r) for r in ranges]
+    assert named[0] == sorted([(n, f"a{n}") for n in [*range(31, 40), *range(60, 239)]] + [(n, f"b{n}") for n in range(41, 46)])
+    assert len(page_sink._folders_of(spark, root, 31, 238)) == 11 and page_sink._folders_of(spark, root, 0, 10**6) is None
+    monkeypatch.setattr(page_sink, "FOLDERS_ASKED", 0)
+    assert [found(root, *r) for r in ranges] == named
+    monkeypatch.undo()
+
+    pages(0, 39, "old").withColumn("first_page", F.lit(0)).withColumn("last_page", F.lit(39)).write.partitionBy(
+        "first_page", "last_page").parquet(f"{tmp_path}/plain/raw_html")
+    page_sink.archive_html(pages(40, 79, "new"), f"{tmp_path}/plain", 20)
+    assert [n for n, _ in found(f"{tmp_path}/plain", 35, 60)] == list(range(35, 61))

@@ -1,15 +1,18 @@
 """Archive of a page extraction: raw HTML, records per page and all records combined."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tremorlake import schemas
+from tremorlake import schemas, storage
 from tremorlake.operators import html_table
 from tremorlake.sources import landing
 
 #: Consecutive pages in one folder of an archive.
 PAGES_PER_FOLDER = 10_000
+#: A range of more folders than these is found by listing the archive.
+FOLDERS_ASKED = 1000
 
 _CSV = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false"}
@@ -29,21 +32,50 @@ def _in_folders(df: DataFrame, pages_per_folder: int) -> DataFrame:
 def archive_html(pages: DataFrame, root: str, pages_per_folder: int = PAGES_PER_FOLDER) -> None:
     """Raw HTML as a table in folders of consecutive pages, named by the first and last page; empty bodies are skipped.
 
-    Folders written again are replaced, others stay.
+    Folders written again are replaced, others stay. An archive that is not there yet is written beside its place and
+    named in one step, as replacing costs the driver several steps for each folder. The widths of an archive's folders are noted, for :func:`read_html`; those of an
+    archive that was begun without notes are not.
     """
+    spark, place, widths = pages.sparkSession, f"{root}/raw_html", f"{root}/raw_html_widths"
+    fresh = not storage.exists(spark, place)
+    if fresh or storage.exists(spark, widths):
+        storage.mark(spark, f"{widths}/{pages_per_folder}")
     first = F.col("page_num") - F.pmod("page_num", F.lit(pages_per_folder))
     foldered = pages.filter(F.length("html") > 0).withColumns(
         {"first_page": first, "last_page": first + (pages_per_folder - 1)})
-    (
-        (foldered if pages_per_folder == 1 else foldered.hint("rebalance", "first_page"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("first_page", "last_page").parquet(f"{root}/raw_html")
-    )
+    gathered = foldered if pages_per_folder == 1 else foldered.hint("rebalance", "first_page")
+
+    def write(mode: str, path: str) -> None:
+        gathered.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("first_page", "last_page").parquet(path)
+
+    if fresh:
+        staged = f"{place}_staged-{uuid.uuid4().hex}"
+        try:
+            write("static", staged)
+            if storage.move(spark, staged, place):
+                return
+        finally:
+            storage.remove(spark, staged)
+    write("dynamic", place)
+
+
+def _folders_of(spark: SparkSession, root: str, first: int | None, last: int | None) -> list[str] | None:
+    """The folders that can hold a range of pages, by their names; None where the archive has to be listed."""
+    widths = [int(name) for name in storage.children(spark, f"{root}/raw_html_widths")]
+    if first is None or last is None or not widths or sum((last - first) // w + 2 for w in widths) > FOLDERS_ASKED:
+        return None
+    named = [f"{root}/raw_html/first_page={at}/last_page={at + w - 1}" for w in widths for at in range(first - first % w, last + 1, w)]
+    return [path for path in named if storage.exists(spark, path)]
 
 
 def read_html(spark: SparkSession, root: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Archived pages, all or those of a range, such as ``*HISTORICAL_PAGES``; folders outside the range aren't opened."""
-    found = spark.read.schema("page_num bigint, html string, first_page bigint, last_page bigint").parquet(f"{root}/raw_html")
+    """Archived pages, all or those of a range, such as ``*HISTORICAL_PAGES``; folders outside the range aren't opened.
+
+    The folders of a closed range of moderate length are asked for by name; for any other, or where none is there, the whole archive is listed.
+    """
+    paths = _folders_of(spark, root, first, last)
+    found = spark.read.schema("page_num bigint, html string, first_page bigint, last_page bigint").option(
+        "basePath", f"{root}/raw_html").parquet(*(paths or [f"{root}/raw_html"]))
     if first is not None:
         found = found.filter(F.col("last_page") >= first)
     if last is not None:

@@ -17,6 +17,24 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _open(spark, path)
+    return files.exists(place)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Make a folder, if it is not there."""
+    place, files = _open(spark, path)
+    files.mkdirs(place)
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a folder another name on the same storage; false where that name is taken."""
+    place, files = _open(spark, path)
+    target, _ = _open(spark, to)
+    return not files.exists(target) and files.rename(place, target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds, if it is there."""
     place, files = _open(spark, path)
