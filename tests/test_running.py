@@ -327,3 +327,16 @@ def test_page_range_asks_for_its_folders_alone(spark, tmp_path, monkeypatch):
         "first_page", "last_page").parquet(f"{tmp_path}/plain/raw_html")
     page_sink.archive_html(pages(40, 79, "new"), f"{tmp_path}/plain", 20)
     assert [n for n, _ in found(f"{tmp_path}/plain", 35, 60)] == list(range(35, 61))
+
+
+def test_parts_of_the_input_are_dealt_over_the_cores(spark, tmp_path):
+    """A range of a table that lies in one split still gives every core a file, and the recovered query takes a part a batch."""
+    spark.range(1000).selectExpr("id AS event_id", "timestamp'2026-06-01' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.0D AS value",
+                                 "'' AS props").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    parts = inputs.event_slices(spark, str(tmp_path), 3, in_order=True)
+    assert [p.count() for p in parts] == [334, 333, 333]
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{tmp_path}/part{number}")
+        sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/part{number}").groupBy(F.input_file_name()).count().collect()]
+        assert len(sizes) == cores and max(sizes) < 2 * min(sizes)

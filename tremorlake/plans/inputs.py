@@ -48,12 +48,14 @@ def event_slices(spark: SparkSession, sf_dir: str, slices: int, in_order: bool)
     """The events table in parts that arrive one after the other.
 
     In order, a part is a range of event numbers; else it holds every ``slices``-th event, so arrival
-    times of a later part lie before those of an earlier one.
+    times of a later part lie before those of an earlier one. A range lies in few splits of the table, so
+    the narrow rows of a part are dealt over all cores before anything is made of them.
     """
     columns = events(spark, sf_dir)
     last = columns.agg(F.max("seq")).first()[0] or 0
     place = F.floor(F.col("seq") * slices / (last + 1)) if in_order else F.pmod(F.lit(slices - 1) - F.col("seq"), F.lit(slices))
-    return [columns.filter(place == number) for number in range(slices)]
+    tasks = max(2, spark.sparkContext.defaultParallelism)
+    return [columns.filter(place == number).repartition(tasks) for number in range(slices)]
 
 
 def _text(value: str) -> str:

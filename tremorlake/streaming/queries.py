@@ -108,7 +108,8 @@ def upsert_counts(records: DataFrame, path: str, checkpoint: str, interval: str
     A batch that is run again replaces its folder. :func:`latest_counts` reads the newest number of each topic.
     """
     def write(changed: DataFrame, number: int) -> None:
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        # Not coalesced: that would run all state partitions in one task.
+        changed.repartition(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = monitor.processed_counts(records).writeStream.outputMode("update").foreachBatch(write).option(
         "checkpointLocation", checkpoint)
