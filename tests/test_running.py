@@ -340,3 +340,12 @@ def test_parts_of_the_input_are_dealt_over_the_cores(spark, tmp_path):
         part.write.parquet(f"{tmp_path}/part{number}")
         sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/part{number}").groupBy(F.input_file_name()).count().collect()]
         assert len(sizes) == cores and max(sizes) < 2 * min(sizes)
+
+
+def test_buckets_of_few_ids_are_written_by_all_cores(spark, tmp_path):
+    memory = IdMemory(spark, f"{tmp_path}/ids")
+    memory.remember(spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("event_id")), 0)
+    writers = {name.split("-")[1] for _, _, names in os.walk(f"{tmp_path}/ids") for name in names if name.startswith("part-")}
+    assert len(writers) > 1
+    ids = spark.range(4000, 6000).select(F.md5(F.col("id").cast("string")).alias("event_id"))
+    assert memory.known(ids, 1).join(ids, "event_id").count() == 1000

@@ -49,7 +49,9 @@ class IdMemory:
         self._write(rows)
 
     def _write(self, rows: DataFrame) -> None:
-        rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        # A fixed number of tasks: few ids would else be gathered in one that writes all buckets.
+        tasks = min(self._buckets, max(2, self._spark.sparkContext.defaultParallelism))
+        rows.repartition(tasks, "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "bucket", "day", "batch").parquet(self._folder)
 
     def settle(self, number: int) -> None:
